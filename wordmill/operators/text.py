@@ -60,11 +60,12 @@ def normalize_counts(counts: DataFrame, word_col: str = "word",
     """Normalise the words of a (word, count) set and re-aggregate (P2, P3,
     F1, A3). Used by A1 on the raw-token counts."""
     normed = counts.select(T.normalize(word_col).alias(word_col), F.col(count_col))
-    # Pinned filter: `count` comes from the aggregate below, so this
-    # predicate cannot be pushed under it (see module docstring).
-    pinned = normed.where(F.length(word_col) * F.col(count_col) > 0)
-    return (pinned.groupBy(word_col)
-                  .agg(F.sum(count_col).cast("bigint").alias(count_col)))
+    summed = normed.groupBy(word_col).agg(F.sum(count_col).cast("bigint").alias(count_col))
+    # Pinned filter: it needs the sum, so Catalyst cannot push it under the
+    # aggregates (a plain `word != ''` would travel down to the raw tokens and
+    # run the regex per token). The regex runs once per distinct token; the
+    # empty word is one extra group, dropped here.
+    return summed.where(F.length(word_col) * F.col(count_col) > 0)
 
 
 def word_count(df: DataFrame, col: str = "text", word_col: str = "word",

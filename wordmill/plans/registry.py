@@ -17,6 +17,7 @@ from ..functions import text as T
 from ..operators import rank, runlog
 from ..operators import text as ops
 from ..sources import corpus as corpus_src
+from ..sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,8 +30,11 @@ TEXT_TABLES = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+          spread: bool = False) -> DataFrame:
+    """A driver table; text-heavy queries ask for ``spread`` (see
+    :func:`wordmill.sources.tables.spread`)."""
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", columns, spread)
 
 
 def _page_query(url_col: str = "url"):
@@ -43,45 +47,46 @@ def _page_query(url_col: str = "url"):
 
 def q_word_count(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return ops.word_count(table(spark, sf_dir, name), TEXT_TABLES[name])
+        return ops.word_count(table(spark, sf_dir, name, [TEXT_TABLES[name]], True), TEXT_TABLES[name])
     return run
 
 
 def q_token_count_documents(spark, sf_dir):
-    return ops.token_count(table(spark, sf_dir, "documents"), "text")
+    return ops.token_count(table(spark, sf_dir, "documents", ["text"], True), "text")
 
 
 def q_line_scan(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"], True)
     return ops.lines(docs, "text", keep=["doc_id"])
 
 
 def q_tokenize(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"], True)
     return docs.select("doc_id", ops.tokens_per_row("text").cast("long").alias("n_tokens"))
 
 
 def q_word_normalize(spark, sf_dir):
-    tokens = ops.explode_tokens(table(spark, sf_dir, "documents"), "text", keep=[])
+    tokens = ops.explode_tokens(table(spark, sf_dir, "documents", ["text"], True), "text", keep=[])
     return tokens.distinct().select("token", T.normalize("token").alias("word"))
 
 
 def q_token_rows(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"], True)
     return ops.explode_tokens(docs, "text", keep=["doc_id"], pos_col="pos")
 
 
 def q_merge_counts(spark, sf_dir):
-    parts = [ops.word_count(table(spark, sf_dir, t), c) for t, c in TEXT_TABLES.items()]
+    parts = [ops.word_count(table(spark, sf_dir, t, [c], True), c) for t, c in TEXT_TABLES.items()]
     return ops.merge_counts(*parts)
 
 
 def q_sorted_counts(spark, sf_dir):
-    return rank.sorted_counts(ops.word_count(table(spark, sf_dir, "documents"), "text"))
+    return rank.sorted_counts(ops.word_count(table(spark, sf_dir, "documents", ["text"], True), "text"))
 
 
 def q_top_words(spark, sf_dir):
-    return rank.top_words(ops.word_count(table(spark, sf_dir, "documents"), "text"), k=10)
+    return rank.top_words(ops.word_count(table(spark, sf_dir, "documents", ["text"], True), "text"),
+                          k=10)
 
 
 def q_extract_counters(spark, sf_dir):
@@ -124,7 +129,7 @@ def q_capacity(spark, sf_dir):
 
 
 def _doc_lines(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    docs = table(spark, sf_dir, "documents", ["lang", "text"], True)
     return ops.lines(docs, "text", keep=["lang"], pos_col=None)
 
 
