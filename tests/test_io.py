@@ -1,0 +1,90 @@
+"""S1, S4, S5, K1-K4 and the two job flows."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from wordmill.plans.jobs import format_elapsed, run_wordcount, wordcount_job
+from wordmill.sinks.text import append_run, stage, write_counts
+from wordmill.sources.text import InputNotFound, read_counts, read_lines
+
+
+def write_file(path, data: bytes):
+    with open(path, "wb") as fh:
+        fh.write(data)
+
+
+def test_read_lines_line_endings(spark, scratch):
+    p = os.path.join(scratch, "in.txt")
+    write_file(p, b"a b\r\nc\rd\ne\n")
+    assert [r["value"] for r in read_lines(spark, p).collect()] == ["a b", "c", "d", "e"]
+
+
+def test_missing_input_fails_early(spark, scratch):
+    with pytest.raises(InputNotFound):
+        read_lines(spark, os.path.join(scratch, "nope.txt"))
+
+
+def test_counts_round_trip_with_quotes(spark, scratch):
+    rows = [('say"hi', 3), ("a,b", 2), ("x", 10_000_000_000)]
+    df = spark.createDataFrame(rows, "word string, count bigint")
+    out = os.path.join(scratch, "out")
+    write_counts(df, out)
+    back = sorted((r["word"], r["count"]) for r in read_counts(spark, out).collect())
+    assert back == sorted(rows)
+    assert dict(read_counts(spark, out).dtypes) == {"word": "string", "count": "bigint"}
+
+
+def test_sink_modes(spark, scratch):
+    df = spark.createDataFrame([("a", 1)], "word string, count bigint")
+    out = os.path.join(scratch, "out")
+    write_counts(df, out)
+    with pytest.raises(AnalysisException):
+        write_counts(df, out)  # K1: existing output is an error
+    df2 = spark.createDataFrame([("b", 2)], "word string, count bigint")
+    write_counts(df2, out, mode="overwrite")  # K2
+    assert [r["word"] for r in read_counts(spark, out).collect()] == ["b"]
+
+    staged = os.path.join(scratch, "staged")
+    stage(spark.createDataFrame([("one",)], "value string"), staged)
+    stage(spark.createDataFrame([("two",)], "value string"), staged)  # K3: kept as is
+    assert [r["value"] for r in read_lines(spark, staged).collect()] == ["one"]
+
+    runs = os.path.join(scratch, "runs")
+    append_run(spark.createDataFrame([("R=1",)], "value string"), runs, first=True)
+    append_run(spark.createDataFrame([("R=2",)], "value string"), runs)
+    assert sorted(r["value"] for r in read_lines(spark, runs).collect()) == ["R=1", "R=2"]
+    append_run(spark.createDataFrame([("R=3",)], "value string"), runs, first=True)  # K4 reset
+    assert [r["value"] for r in read_lines(spark, runs).collect()] == ["R=3"]
+
+
+def test_wordcount_job_writes_sorted_tsv(spark, scratch):
+    p = os.path.join(scratch, "in.txt")
+    write_file(p, " The cat, the DOG\nthe end\n".encode())
+    out = os.path.join(scratch, "out")
+    wordcount_job(spark, p, out)
+    parts = sorted(f for f in os.listdir(out) if f.startswith("part-"))
+    text = "".join(open(os.path.join(out, f)).read() for f in parts)
+    assert text.splitlines() == ["cat\t1", "dog\t1", "end\t1", "the\t3"]
+    with pytest.raises(AnalysisException):
+        wordcount_job(spark, p, out)
+
+
+def test_run_wordcount_flow(spark, scratch):
+    src = spark.createDataFrame([(" b a b",), (" c b a",)], "value string")
+    res = run_wordcount(spark, src, os.path.join(scratch, "input"), os.path.join(scratch, "out"))
+    top = [(r["word"], r["count"]) for r in res.top.orderBy("rank").collect()]
+    assert top == [("b", 3), ("a", 2), ("c", 1)]
+    assert res.elapsed_text.endswith("s") and "m " in res.elapsed_text
+    # second run: input already staged, output replaced
+    res2 = run_wordcount(spark, src.limit(0), os.path.join(scratch, "input"),
+                         os.path.join(scratch, "out"))
+    assert res2.top.count() == 3
+
+
+def test_format_elapsed():
+    assert format_elapsed(0) == "0m 0s"
+    assert format_elapsed(125) == "2m 5s"

@@ -1,0 +1,105 @@
+"""Token edge cases (FIXTURES §3) for P1-P4, F1 and A1/A2."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from wordmill.functions import text as T
+from wordmill.operators.text import explode_tokens, token_count, word_count, word_count_line_first
+
+# (line, expected normalised words in order)
+EDGE_CASES = [
+    (" lead  a ", ["lead", "a"]),
+    ("a\x0bb", ["ab"]),
+    ("a\u00a0b c\u2003d", ["ab", "cd"]),
+    ("\u212aelvin", ["kelvin"]),
+    ("\u0130stanbul", ["istanbul"]),
+    ("don't e-mail C++", ["dont", "email", "c"]),
+    ("... -- !!", []),
+    ("", []),
+    ("A\tB\rC\fD\nE", ["a", "b", "c", "d", "e"]),
+    ("\u65e5\u672c\u8a9e x1", ["x1"]),
+    ("\u00c9tion na\u00efve", ["tion", "nave"]),
+    ("\u03a3\u0391\u03a3 z", ["z"]),
+    ("a\x1cb a\u0085b", ["ab", "ab"]),
+    ("\U0001F600q", ["q"]),
+    ("\ufeffbom", ["bom"]),
+]
+
+
+def normalised_words(spark, line):
+    df = spark.createDataFrame([(line,)], "text string")
+    toks = explode_tokens(df, "text", keep=[], pos_col="pos")
+    rows = toks.select("pos", T.normalize("token").alias("w")).where(T.is_word("w")).orderBy("pos")
+    return [r["w"] for r in rows.collect()]
+
+
+@pytest.mark.parametrize("line,expected", EDGE_CASES)
+def test_edge_case_words(spark, line, expected):
+    assert normalised_words(spark, line) == expected
+
+
+def test_edge_cases_through_word_count(spark):
+    rows = [(line,) for line, _ in EDGE_CASES] + [(None,)]
+    df = spark.createDataFrame(rows, "text string")
+    expected: dict[str, int] = {}
+    for _, words in EDGE_CASES:
+        for w in words:
+            expected[w] = expected.get(w, 0) + 1
+    got = {r["word"]: r["count"] for r in word_count(df).collect()}
+    assert got == expected
+    got_lf = {r["word"]: r["count"] for r in word_count_line_first(df).collect()}
+    assert got_lf == expected
+
+
+def test_null_text_gives_no_rows(spark):
+    df = spark.createDataFrame([(None,)], "text string")
+    assert explode_tokens(df, "text").count() == 0
+    assert word_count(df).count() == 0
+
+
+def test_raw_tokens_keep_case_and_punctuation(spark):
+    df = spark.createDataFrame([("The the THE don't\x0bstop",)], "text string")
+    got = {r["word"]: r["count"] for r in token_count(df).collect()}
+    assert got == {"The": 1, "the": 1, "THE": 1, "don't\x0bstop": 1}
+
+
+def test_vt_is_not_a_delimiter(spark):
+    df = spark.createDataFrame([("a\x0bb c",)], "text string")
+    assert df.select(T.tokenize("text").alias("t")).first()["t"] == ["a\x0bb", "c"]
+
+
+def test_invalid_utf8_through_text_source(spark, scratch):
+    path = os.path.join(scratch, "bad.txt")
+    with open(path, "wb") as fh:
+        fh.write(b"ab\xffcd Q\xe9 z\n")
+    lines = spark.read.text(path)
+    got = sorted(r["word"] for r in word_count(lines, "value").collect())
+    assert got == ["abcd", "q", "z"]
+
+
+def test_line_array_matches_text_source(spark, scratch):
+    texts = ["a\nb\n", "a\r\nb\rc", "", "\n", "x", "a\n\nb"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = {r["i"]: r["l"] for r in df.select("i", T.line_array("text").alias("l")).collect()}
+    for i, t in enumerate(texts):
+        path = os.path.join(scratch, f"f{i}.txt")
+        with open(path, "w", newline="") as fh:
+            fh.write(t)
+        from_source = [r["value"] for r in spark.read.text(path).collect()]
+        assert got[i] == from_source, (t, got[i], from_source)
+
+
+def test_tokens_per_row(spark):
+    from wordmill.operators.text import tokens_per_row
+    df = spark.createDataFrame([(" a  b\tc ",), ("",)], "text string")
+    assert [r[0] for r in df.select(tokens_per_row("text")).collect()] == [3, 0]
+
+
+def test_words_are_ascii_alnum(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    wc = word_count(docs)
+    assert wc.where(~F.col("word").rlike("^[a-z0-9]+$")).count() == 0
