@@ -1,0 +1,32 @@
+"""The command line (run in a child process: it owns its Spark session)."""
+
+from __future__ import annotations
+
+import os
+import subprocess
+import sys
+
+from tests.conftest import ROOT
+
+
+def cli(*args, timeout=300):
+    return subprocess.run([sys.executable, "-m", "wordmill", *args], cwd=ROOT,
+                          capture_output=True, text=True, timeout=timeout)
+
+
+def test_wrong_argument_count_exits_1():
+    assert cli("wordcount", "only-one").returncode == 1
+    assert cli().returncode == 1
+
+
+def test_wordcount_and_missing_input(scratch):
+    src = os.path.join(scratch, "in.txt")
+    with open(src, "w") as fh:
+        fh.write(" Big data\nbig DATA, big!\n")
+    out = os.path.join(scratch, "out")
+    r = cli("wordcount", src, out)
+    assert r.returncode == 0, r.stderr[-2000:]
+    text = "".join(open(os.path.join(out, f)).read()
+                   for f in sorted(os.listdir(out)) if f.startswith("part-"))
+    assert text.splitlines() == ["big\t3", "data\t2"]
+    assert cli("wordcount", os.path.join(scratch, "missing.txt"), out + "2").returncode == 1

@@ -12,6 +12,7 @@ from wordmill.operators.text import token_count, word_count
 from wordmill.plans.registry import _corpus_sql
 from wordmill.sources.corpus import VOCABULARY, corpus, corpus_for
 from wordmill.sources.splits import split_report
+from wordmill.plans.sweeps import split_size_sweep
 from wordmill.streaming.wordcount import start_word_count
 
 
@@ -57,9 +58,10 @@ def test_split_report(spark, scratch):
     line = (" ".join(VOCABULARY) + "\n").encode()
     with open(path, "wb") as fh:
         fh.write(line * (9 * 512 * 1024 // len(line)))  # about 4.5 MiB
-    rep = {r["split_mb"]: (r["splits"], r["rows"]) for r in split_report(spark, path, [1, 2, 4]).collect()}
+    rep = {r["split_mb"]: (r["tasks"], r["splits"], r["rows"])
+           for r in split_report(spark, path, [1, 2, 4]).collect()}
     n_rows = 9 * 512 * 1024 // len(line)
-    assert rep[1] == (5, n_rows) and rep[2] == (3, n_rows) and rep[4] == (2, n_rows)
+    assert rep[1] == (5, 5, n_rows) and rep[2] == (3, 3, n_rows) and rep[4] == (2, 2, n_rows)
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(1024 * 1024)
 
 
@@ -81,3 +83,15 @@ def test_streaming_word_count_incremental(spark, scratch):
     q.awaitTermination(120)
     second = {r["word"]: r["count"] for r in spark.read.parquet(out).collect()}
     assert second == {"the": 3, "cat": 1, "dog": 1, "end": 1}
+
+
+def test_split_size_sweep_report(spark, scratch):
+    path = os.path.join(scratch, "big.txt")
+    line = (" ".join(VOCABULARY) + "\n").encode()
+    with open(path, "wb") as fh:
+        fh.write(line * (9 * 512 * 1024 // len(line)))
+    rep = split_size_sweep(spark, path, [1, 2], records_path=os.path.join(scratch, "records"))
+    got = [(r["i"], r["BLOCKSIZE"], r["BLOCOS"], r["MAP_TASKS"], r["METADATA"])
+           for r in rep.orderBy("i").collect()]
+    assert got == [(1, 1, 5, 5, 750), (2, 2, 3, 3, 450)]
+    assert all(r["TEMPO_WC"] > 0 for r in rep.collect())

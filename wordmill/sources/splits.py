@@ -26,9 +26,16 @@ def splits_of(spark: SparkSession, path: str | list[str], fmt: str = "text") ->
               .agg(F.count(F.lit(1)).alias("rows")))
 
 
+def read_tasks(spark: SparkSession, path: str | list[str], fmt: str = "text") -> int:
+    """Read tasks Spark plans for the scan at the current split size (the
+    "Launched map tasks" figure). Planning only: no job runs."""
+    return spark.read.format(fmt).load(path).rdd.getNumPartitions()
+
+
 def split_report(spark: SparkSession, path: str | list[str], sizes_mb: Sequence[int],
                  fmt: str = "text") -> DataFrame:
-    """One row per split size: (split_mb, splits, rows).
+    """One row per split size: (split_mb, tasks, splits, rows) - the
+    planned read tasks, the splits that held rows, and the rows read.
 
     The split size is a read-time setting, so each size is its own scan;
     the session value is restored afterwards.
@@ -39,9 +46,10 @@ def split_report(spark: SparkSession, path: str | list[str], sizes_mb: Sequence[
     try:
         for size in sizes_mb:
             spark.conf.set(key, str(size * MB))
+            tasks = read_tasks(spark, path, fmt)
             got = splits_of(spark, path, fmt).agg(
                 F.count(F.lit(1)).alias("splits"), F.sum("rows").alias("rows")).first()
-            rows.append((int(size), int(got["splits"]), int(got["rows"] or 0)))
+            rows.append((int(size), tasks, int(got["splits"]), int(got["rows"] or 0)))
     finally:
         spark.conf.set(key, before)
-    return spark.createDataFrame(rows, "split_mb int, splits long, rows long")
+    return spark.createDataFrame(rows, "split_mb int, tasks int, splits long, rows long")
