@@ -1,0 +1,57 @@
+"""Spark's tokenising and normalising vs a plain-Python model of the
+reference mapper, on random lines over an adversarial alphabet."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from wordmill.functions import text as T
+from wordmill.operators.text import token_count, word_count, word_count_line_first
+
+# Delimiters, near-delimiters (VT, NBSP, EM SPACE, NEL, FS, BOM), chars whose
+# lower case is ASCII (KELVIN SIGN, DOTTED CAPITAL I), accents, CJK, emoji.
+ALPHABET = list("aAzZ09qQ-'.,+_") + [
+    " ", "\t", "\n", "\r", "\f", "\x0b", "\u00a0", "\u2003", "\u0085", "\x1c", "\ufeff",
+    "\u212a", "\u0130", "\u00c9", "\u00df", "\u03a3", "\u65e5", "\U0001F600", "\u0307",
+]
+
+
+def model_words(line: str) -> list[str]:
+    tokens = [t for t in re.split("[ \t\n\r\f]+", line) if t]
+    words = (re.sub("[^a-zA-Z0-9]", "", t.lower()) for t in tokens)
+    return [w for w in words if w]
+
+
+def model_tokens(line: str) -> list[str]:
+    return [t for t in re.split("[ \t\n\r\f]+", line) if t]
+
+
+def random_lines(n: int, seed: int) -> list[str]:
+    rng = random.Random(seed)
+    return ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 40))) for _ in range(n)]
+
+
+def check(spark, lines):
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "id int, text string")
+    want_words = Counter(w for s in lines for w in model_words(s))
+    want_tokens = Counter(t for s in lines for t in model_tokens(s))
+    assert {r["word"]: r["count"] for r in word_count(df).collect()} == dict(want_words)
+    assert {r["word"]: r["count"] for r in word_count_line_first(df).collect()} == dict(want_words)
+    assert {r["word"]: r["count"] for r in token_count(df).collect()} == dict(want_tokens)
+    per_row = {r["id"]: r["t"] for r in df.select("id", T.tokenize("text").alias("t")).collect()}
+    assert all(per_row[i] == model_tokens(s) for i, s in enumerate(lines))
+
+
+def test_random_lines_match_model(spark):
+    check(spark, random_lines(3000, seed=11))
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(ALPHABET), max_size=30), min_size=1, max_size=40))
+def test_hypothesis_lines_match_model(spark, lines):
+    check(spark, lines)
