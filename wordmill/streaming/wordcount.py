@@ -27,12 +27,22 @@ def streaming_counts(lines: DataFrame, normalized: bool = True, col: str = "valu
     return word_count_line_first(lines, col) if normalized else token_count(lines, col)
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def start_word_count(spark: SparkSession, input_dir: str, output_path: str,
                      checkpoint_location: str | None = None, normalized: bool = True,
                      available_now: bool = True, max_files_per_trigger: int | None = None,
                      processing_time: str | None = None) -> StreamingQuery:
     """Start the stream. ``available_now`` processes what is there and stops
-    (a repeatable incremental run); otherwise it runs on ``processing_time``."""
+    (a repeatable incremental run); otherwise it runs on ``processing_time``.
+
+    The state (one row per distinct word) is kept in RocksDB unless the
+    session already names a state store, so a large vocabulary lives on
+    local disk instead of the executor heap.
+    """
+    if not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
