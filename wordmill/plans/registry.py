@@ -89,6 +89,19 @@ def q_top_words(spark, sf_dir):
                           k=10)
 
 
+def q_word_count_line_first(spark, sf_dir):
+    return ops.word_count_line_first(table(spark, sf_dir, "documents", ["text"], True), "text")
+
+
+def q_sorted_tokens(spark, sf_dir):
+    return rank.sorted_counts(ops.token_count(table(spark, sf_dir, "documents", ["text"], True), "text"))
+
+
+def q_top_tokens(spark, sf_dir):
+    return rank.top_words(ops.token_count(table(spark, sf_dir, "documents", ["text"], True), "text"),
+                          k=10)
+
+
 def q_extract_counters(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return runlog.extract_counters(pages, "page=", col="url", keep=["page_id"])
@@ -205,6 +218,9 @@ QUERIES: dict[str, Query] = {
     "merge_counts": q_merge_counts,
     "sorted_counts": q_sorted_counts,
     "top_words": q_top_words,
+    "word_count_line_first": q_word_count_line_first,
+    "sorted_tokens": q_sorted_tokens,
+    "top_tokens": q_top_tokens,
     "extract_counters": q_extract_counters,
     "parse_kv": q_parse_kv,
     "counter_default": q_counter_default,
@@ -302,6 +318,15 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT word, count, row_number() OVER (ORDER BY count DESC, word || chr(9) DESC) AS rank "
         f"FROM ({_word_count_sql('documents', 'text')}) c "
         "ORDER BY count DESC, word || chr(9) DESC LIMIT 10"),
+    "word_count_line_first": _word_count_sql("documents", "text"),
+    "sorted_tokens": (
+        "SELECT word, count, row_number() OVER (ORDER BY word) AS rank FROM ("
+        f"SELECT tok AS word, count(*) AS count FROM ({_tokens_sql('documents', 'text')}) t "
+        "WHERE tok <> '' GROUP BY tok) c"),
+    "top_tokens": (
+        "SELECT word, count, row_number() OVER (ORDER BY count DESC, word || chr(9) DESC) AS rank "
+        f"FROM (SELECT tok AS word, count(*) AS count FROM ({_tokens_sql('documents', 'text')}) t "
+        "WHERE tok <> '' GROUP BY tok) c ORDER BY count DESC, word || chr(9) DESC LIMIT 10"),
     "extract_counters": (
         "SELECT page_id, pos, TRY_CAST(v AS BIGINT) AS value FROM ("
         "SELECT page_id, generate_subscripts(arr, 1) AS pos, unnest(arr) AS v FROM ("

@@ -47,6 +47,20 @@ def block_line(block: str | Column, seed: int = 0, words_per_line: int = WORDS_P
     return F.concat(F.lit(" "), F.concat_ws(" ", *words))
 
 
+# Target bytes of text per generated partition.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def _partitions_for(spark: SparkSession, lines: int, words_per_line: int,
+                    vocabulary: Sequence[str], n_blocks: int) -> int:
+    """Enough partitions for every core, and for about 128 MB of text each;
+    never more than there are blocks."""
+    avg_word = sum(len(w) for w in vocabulary) / len(vocabulary)
+    est_bytes = lines * (1 + words_per_line * (avg_word + 1))
+    by_size = math.ceil(est_bytes / PARTITION_BYTES)
+    return max(1, min(n_blocks, max(by_size, spark.sparkContext.defaultParallelism)))
+
+
 def corpus(spark: SparkSession, n_lines: int = TOTAL_LINES, words_per_line: int = WORDS_PER_LINE,
            block_lines: int = BLOCK_LINES, seed: int = 0,
            vocabulary: Sequence[str] = VOCABULARY, num_partitions: int | None = None,
@@ -57,8 +71,8 @@ def corpus(spark: SparkSession, n_lines: int = TOTAL_LINES, words_per_line: int
     ``with_ids`` adds ``line_id`` (0-based line number) and ``block``.
     """
     n_blocks = math.ceil(n_lines / block_lines)
-    parts = num_partitions or min(max(n_blocks, 1),
-                                  int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = num_partitions or _partitions_for(spark, n_blocks * block_lines, words_per_line,
+                                              vocabulary, n_blocks)
     blocks = spark.range(0, n_blocks, 1, parts).withColumnRenamed("id", "block")
     lined = blocks.select("block", block_line("block", seed, words_per_line, vocabulary)
                           .alias("value"))
