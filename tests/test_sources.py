@@ -48,7 +48,7 @@ def test_corpus_matches_sql_rebuild(spark):
 def test_corpus_full_size_totals(spark):
     df = corpus(spark)  # 4,000,000 lines x 15 words
     r = token_count(df, "value").agg(F.count(F.lit(1)).alias("n"), F.sum("count").alias("s")).first()
-    assert r["s"] == 60_000_000 and r["n"] <= 16
+    assert r["s"] == 60_000_000 and r["n"] == 16
     w = word_count(df, "value").agg(F.sum("count").alias("s")).first()
     assert w["s"] == 60_000_000
 
