@@ -51,3 +51,10 @@ def test_numbered_in_order(spark):
     df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "seq int, v string")
     got = [(r["seq"], r["i"]) for r in numbered(df, ["seq"]).orderBy("i").collect()]
     assert got == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_numbering_edge_cases(spark):
+    empty = counts(spark, [])
+    assert sorted_counts(empty).count() == 0
+    one = sorted_counts(counts(spark, [("a", 1)])).collect()
+    assert [(r["word"], r["rank"]) for r in one] == [("a", 1)]

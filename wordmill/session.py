@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     # P8/P9 read timestamps; pin the zone so results do not depend on the host.
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Remove checkpoint files (O1/O3 numbering) once their frame is gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
