@@ -20,12 +20,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     scan already has far more tasks than cores and this returns ``df``
     unchanged: no shuffle is added where it would cost a full copy.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    target = min_partitions or max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cores = df.sparkSession.sparkContext.defaultParallelism
     if scan_partitions(df) >= cores:
         return df
-    return df.repartition(target)
+    # Two tasks per core even out texts of very different lengths.
+    return df.repartition(min_partitions or 2 * cores)
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None,
