@@ -80,7 +80,8 @@ def word_count_line_first(df: DataFrame, col: str = "text", word_col: str = "wor
     delimiters are kept), then split and count. Same result as
     :func:`word_count`; it is the form a streaming query can use, since it
     has one aggregation."""
-    cleaned = F.regexp_replace(F.lower(F.col(col)), "[^a-z0-9 \t\n\r\f]", "")
+    # After lower() no ASCII capital is left, so \p{Alnum} keeps [a-z0-9].
+    cleaned = F.regexp_replace(F.lower(F.col(col)), T.STRIP_KEEP_DELIMITERS_REGEX, "")
     return (df.select(F.explode(T.split_blanks(cleaned)).alias(word_col))
               .where(F.col(word_col) != "")
               .groupBy(word_col)
