@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 # NOT delimiters.
 TOKEN_DELIMITERS = " \t\n\r\f"
 TOKEN_DELIMITER_REGEX = "[ \t\n\r\f]+"
+TOKEN_DELIMITER_CLASS = "[ \t\n\r\f]"
 # Characters kept inside a word after lower-casing: ASCII letters and digits.
 # In Java regex, POSIX \p{Alnum} is exactly [a-zA-Z0-9] (ASCII only unless
 # the UNICODE_CHARACTER_CLASS flag is set). Spelled this way because a class
@@ -25,29 +26,23 @@ STRIP_KEEP_DELIMITERS_REGEX = "[^\\p{Alnum} \t\n\r\f]+"
 # Line terminators of the text source: LF, CR or CRLF.
 LINE_BREAK_REGEX = "\r\n|\n|\r"
 
-_NON_SPACE_DELIMITERS = TOKEN_DELIMITERS[1:]
-
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def blanks_to_space(col: str | Column) -> Column:
-    """Map tab, LF, CR and FF to a plain space.
-
-    ``split`` on a single non-regex character takes the JDK fast path and
-    compiles no pattern per row, which a ``[ \\t\\n\\r\\f]+`` regex would.
-    """
-    return F.translate(_col(col), _NON_SPACE_DELIMITERS, " " * len(_NON_SPACE_DELIMITERS))
-
-
 def split_blanks(col: str | Column) -> Column:
     """P1 (raw form): split on single delimiters; may hold empty strings.
 
-    Pair it with ``explode`` and a ``!= ''`` filter (the filter then stays in
-    codegen), or use :func:`tokenize` for an array without empties.
+    A text with no tab, LF, CR or FF is split on one space, the JDK's fast
+    path (no pattern compiled, no regex run); only texts that hold one of
+    them are split on the delimiter class. Pair the result with ``explode``
+    and a ``!= ''`` filter (the filter then stays in codegen), or use
+    :func:`tokenize` for an array without empties.
     """
-    return F.split(blanks_to_space(col), " ", -1)
+    c = _col(col)
+    other = c.contains("\t") | c.contains("\n") | c.contains("\r") | c.contains("\f")
+    return F.when(other, F.split(c, TOKEN_DELIMITER_CLASS, -1)).otherwise(F.split(c, " ", -1))
 
 
 def tokenize(col: str | Column) -> Column:
