@@ -36,11 +36,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir``. Only a local-mode session without it
     (tests) gets a fresh scratch folder; a cluster must name a shared one.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        # A Spark Connect client has no SparkContext; the server's setting applies.
+        if configured:
+            return configured
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder on the cluster")
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured

@@ -20,8 +20,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     scan already has far more tasks than cores and this returns ``df``
     unchanged: no shuffle is added where it would cost a full copy.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if scan_partitions(df) >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if scan_partitions(df) >= cores:
+            return df
+    except Exception:  # no SparkContext here (a Spark Connect client): leave the scan as is
         return df
     # Two tasks per core even out texts of very different lengths.
     return df.repartition(min_partitions or 2 * cores)
