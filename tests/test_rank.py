@@ -58,3 +58,16 @@ def test_numbering_edge_cases(spark):
     assert sorted_counts(empty).count() == 0
     one = sorted_counts(counts(spark, [("a", 1)])).collect()
     assert [(r["word"], r["rank"]) for r in one] == [("a", 1)]
+
+
+def test_numbering_spreads_a_hot_key(spark):
+    # one key holds a third of the rows: the range partitioner must still split it
+    rows = [(0, i) for i in range(3000)] + [(k, i) for k in range(1, 6001) for i in (0,)]
+    df = spark.createDataFrame(rows, "k int, v int")
+    out = numbered(df, ["k"], num_partitions=6)
+    sizes = out.rdd.glom().map(len).collect()
+    assert max(sizes) < 3000 and sum(sizes) == 9000
+    got = out.select("i").rdd.map(lambda r: r[0]).collect()
+    assert sorted(got) == list(range(1, 9001))
+    firsts = [r["i"] for r in out.where("k = 0").collect()]
+    assert sorted(firsts) == list(range(1, 3001))

@@ -42,13 +42,16 @@ def global_index(df: DataFrame, order: list[str | Column], name: str = "rank",
                  num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of each row in ``order``.
 
-    ``order`` must be a total order (unique keys) for the numbering to be
-    deterministic. The result keeps the range partitioning and the order.
-    This runs one job at call time (the checkpoint).
+    Rows with equal ``order`` keys are ordered by a hash of the whole row,
+    which also lets the range partitioner split a key that holds a large
+    share of the rows instead of sending it to one task. The result keeps
+    the range partitioning and the order. This runs one job at call time
+    (the checkpoint).
     """
     cols = list(df.columns)
     checkpoint_dir(df.sparkSession)
-    frozen = range_sorted(df, order, num_partitions).checkpoint(eager=True)
+    tie = F.xxhash64(*[F.col(c) for c in cols]) if cols else F.lit(0)
+    frozen = range_sorted(df, [*order, tie], num_partitions).checkpoint(eager=True)
     tagged = frozen.select(
         *cols,
         F.spark_partition_id().alias("_wm_pid"),
