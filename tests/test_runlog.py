@@ -151,3 +151,18 @@ def test_no_cross_join_in_sweeps(spark):
     plan = physical_lines(ops.block_footprint(df))
     assert not any("CartesianProduct" in ln or "NestedLoop" in ln for ln in plan)
     assert F is not None
+
+
+def test_grouped_operators_combine_map_side(spark):
+    from wordmill.plans.inspect import below_first
+    df = logs(spark)
+    plans = {
+        "count_matching": ops.count_matching(df, {"f": "failed"}, by=["run"]),
+        "status": ops.status(df, "completed successfully", by=["run"]),
+        "log_summary": ops.log_summary(df, by=["run"],
+                                       counters=[ops.Counter("m", "Launched map tasks")]),
+        "block_footprint": ops.block_footprint(df.withColumnRenamed("line", "text"), by=["run"]),
+    }
+    for name, plan in plans.items():
+        below = below_first(plan, "Exchange")
+        assert any("partial_" in ln for ln in below), name
