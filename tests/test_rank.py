@@ -71,3 +71,9 @@ def test_numbering_spreads_a_hot_key(spark):
     assert sorted(got) == list(range(1, 9001))
     firsts = [r["i"] for r in out.where("k = 0").collect()]
     assert sorted(firsts) == list(range(1, 3001))
+
+
+def test_numbering_frame_with_map_column(spark):
+    df = spark.createDataFrame([(2, {"a": 1}), (1, {"b": 2})], "seq int, m map<string,int>")
+    got = [(r["seq"], r["i"]) for r in numbered(df, ["seq"]).orderBy("i").collect()]
+    assert got == [(1, 1), (2, 2)]

@@ -163,3 +163,14 @@ def test_grouped_operators_combine_map_side(spark):
     for name, plan in plans.items():
         below = below_first(plan, "Exchange")
         assert any("partial_" in ln for ln in below), name
+
+
+def test_log_summary_marker_line_without_number(spark):
+    df = spark.createDataFrame([("r", 1, "Launched map tasks"), ("r", 2, "Launched map tasks=4")],
+                               "run string, line_no int, line string")
+    got = ops.log_summary(df, by=["run"], counters=[ops.Counter("m", "Launched map tasks")],
+                          success_marker=None).first()
+    assert got["m"] == 4
+    only_bare = df.where("line_no = 1")
+    assert ops.log_summary(only_bare, by=["run"], counters=[ops.Counter("m", "Launched map tasks")],
+                           success_marker=None).first()["m"] == 0

@@ -210,7 +210,8 @@ def log_summary(logs: DataFrame, by: Sequence[str] = ("run",), col: str = "line"
     aggs: list[Column] = [F.count(F.lit(1)).alias("n_lines")]
     for ctr in counters:
         hit = _pred(ctr.marker)(line)
-        first = F.element_at(F.regexp_extract_all(line, F.lit(ctr.pattern), 1), 1)
+        # try_element_at: a marker line without a number gives null, not an error.
+        first = F.try_element_at(F.regexp_extract_all(line, F.lit(ctr.pattern), 1), F.lit(1))
         candidate = F.when(hit, first)
         # min_by over (line order) keeps the first matching value, bounded state.
         picked = F.min_by(candidate, F.when(candidate.isNotNull(), F.col(order_col)))

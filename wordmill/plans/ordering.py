@@ -50,7 +50,9 @@ def global_index(df: DataFrame, order: list[str | Column], name: str = "rank",
     """
     cols = list(df.columns)
     checkpoint_dir(df.sparkSession)
-    tie = F.xxhash64(*[F.col(c) for c in cols]) if cols else F.lit(0)
+    # Map columns cannot be hashed; the other columns still break ties.
+    hashable = [F.col(c) for c, t in df.dtypes if "map<" not in t]
+    tie = F.xxhash64(*hashable) if hashable else F.lit(0)
     frozen = range_sorted(df, [*order, tie], num_partitions).checkpoint(eager=True)
     tagged = frozen.select(
         *cols,
