@@ -67,5 +67,5 @@ def split_size_sweep(spark: SparkSession, path: str, sizes_mb: Sequence[int],
     finally:
         spark.conf.set(key, before)
     recs = read_lines(spark, records_path).withColumnRenamed("value", "record")
-    recs = recs.withColumn("seq", F.regexp_extract("record", r"(?:^|\|)SEQ=(\d+)", 1).cast("int"))
+    recs = recs.withColumn("seq", F.regexp_extract("record", r"(?:^|\|)SEQ=(\d+)", 1).try_cast("int"))
     return run_report(recs, SWEEP_FIELDS[1:], order=["seq"])

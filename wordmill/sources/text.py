@@ -37,5 +37,6 @@ def read_counts(spark: SparkSession, path: str, word_col: str = "word",
     lines = read_lines(spark, path)
     return lines.select(
         F.substring_index("value", "\t", 1).alias(word_col),
-        F.substring_index("value", "\t", -1).cast("bigint").alias(count_col),
+        # A malformed line gives a null count instead of failing the read.
+        F.substring_index("value", "\t", -1).try_cast("bigint").alias(count_col),
     )
