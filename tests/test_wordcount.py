@@ -74,3 +74,11 @@ def test_scan_reads_only_the_text_column(spark):
     lines = physical_lines(word_count(docs(spark)))
     scan = [ln for ln in lines if "FileScan parquet" in ln]
     assert scan and all("ReadSchema: struct<text:string>" in ln for ln in scan)
+
+
+def test_reference_points_sf01(spark):
+    # FIXTURES.md: normalised words at sf0.1.
+    from wordmill.plans.registry import QUERIES
+    want = {"documents": 218_897, "pages": 120_713, "conversations": 66_017, "benchmark": 3_633}
+    for table, n in want.items():
+        assert QUERIES[f"word_count_{table}"](spark, "/root/testdata/sf0.1").count() == n, table
