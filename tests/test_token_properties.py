@@ -55,3 +55,20 @@ def test_random_lines_match_model(spark):
 @given(st.lists(st.text(alphabet=st.sampled_from(ALPHABET), max_size=30), min_size=1, max_size=40))
 def test_hypothesis_lines_match_model(spark, lines):
     check(spark, lines)
+
+
+def model_lines(text: str) -> list[str]:
+    if text == "":
+        return []
+    text = re.sub("(\r\n|\n|\r)\\Z", "", text, count=1)  # \Z is the absolute end
+    return re.split("\r\n|\n|\r", text)
+
+
+def test_random_texts_split_into_lines_like_the_text_source(spark):
+    rng = random.Random(5)
+    alphabet = ["a", "b", " ", "\r", "\n", "\r\n", "\x0b", " ", "\u0085"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 12))) for _ in range(2000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    got = {r["id"]: r["l"] for r in df.select("id", T.line_array("text").alias("l")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == model_lines(t), repr(t)

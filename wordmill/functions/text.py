@@ -76,9 +76,12 @@ def line_array(col: str | Column) -> Column:
 
     A final line terminator does not open an extra empty line, and an empty
     value has no lines; a null value stays null (and explodes to nothing).
+    A text without CR is split on LF alone (the JDK's fast path, no regex);
+    only texts holding a CR go through the LF/CR/CRLF pattern.
     """
     c = _col(col)
-    trimmed = F.regexp_replace(c, "(\r\n|\n|\r)\\z", "")
-    return F.when(c == "", F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, LINE_BREAK_REGEX, -1)
-    )
+    lf_trimmed = F.when(c.endswith("\n"), c.substr(F.lit(1), F.length(c) - 1)).otherwise(c)
+    any_break = F.split(F.regexp_replace(c, "(\r\n|\n|\r)\\z", ""), LINE_BREAK_REGEX, -1)
+    return (F.when(c == "", F.array().cast("array<string>"))
+             .when(~c.contains("\r"), F.split(lf_trimmed, "\n", -1))
+             .otherwise(any_break))
