@@ -25,17 +25,17 @@ from ..session import checkpoint_dir
 _PARTITION_SHIFT = 33
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def range_sorted(df: DataFrame, order: list[str | Column],
                  num_partitions: int | None = None) -> DataFrame:
-    """Range-partition on ``order`` and sort inside each partition."""
-    n = _num_partitions(df, num_partitions)
-    return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    """Range-partition on ``order`` and sort inside each partition.
+
+    Without ``num_partitions`` adaptive execution may merge neighbouring
+    ranges of a small result (global order is kept), so a 4-row report is
+    not spread over hundreds of partitions while a large one keeps many.
+    """
+    if num_partitions:
+        return df.repartitionByRange(int(num_partitions), *order).sortWithinPartitions(*order)
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def global_index(df: DataFrame, order: list[str | Column], name: str = "rank",
