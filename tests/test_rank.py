@@ -77,3 +77,12 @@ def test_numbering_frame_with_map_column(spark):
     df = spark.createDataFrame([(2, {"a": 1}), (1, {"b": 2})], "seq int, m map<string,int>")
     got = [(r["seq"], r["i"]) for r in numbered(df, ["seq"]).orderBy("i").collect()]
     assert got == [(1, 1), (2, 2)]
+
+
+def test_numbering_without_broadcast(spark, monkeypatch):
+    from wordmill.plans import ordering
+    monkeypatch.setattr(ordering, "MAX_BROADCAST_PARTITIONS", 1)
+    df = counts(spark, [(f"w{i:04d}", i) for i in range(300)])
+    out = sorted_counts(df, num_partitions=4)
+    assert sorted((r["word"], r["rank"]) for r in out.collect()) == \
+        [(f"w{i:04d}", i + 1) for i in range(300)]

@@ -23,6 +23,9 @@ from ..session import checkpoint_dir
 
 # monotonically_increasing_id() = (partition index << 33) + row position.
 _PARTITION_SHIFT = 33
+# The offsets table has one (int, long) row per partition; broadcast it only
+# up to this many partitions (a few MB), else join it by a shuffle.
+MAX_BROADCAST_PARTITIONS = 200_000
 
 
 def range_sorted(df: DataFrame, order: list[str | Column],
@@ -65,5 +68,10 @@ def global_index(df: DataFrame, order: list[str | Column], name: str = "rank",
         (F.sum("_wm_n").over(Window.orderBy("_wm_pid")) - F.col("_wm_n")).alias("_wm_off"),
     )
     local_pos = F.col("_wm_mid") - F.shiftleft(F.col("_wm_pid").cast("long"), _PARTITION_SHIFT)
-    return (tagged.join(F.broadcast(offsets), "_wm_pid")
+    try:
+        parts = frozen.rdd.getNumPartitions()  # the checkpoint's partitions; no job runs
+    except Exception:  # no RDD access (Spark Connect): the table is still one row per partition
+        parts = 0
+    side = F.broadcast(offsets) if parts <= MAX_BROADCAST_PARTITIONS else offsets
+    return (tagged.join(side, "_wm_pid")
                   .select(*cols, (F.col("_wm_off") + local_pos + 1).alias(name)))
