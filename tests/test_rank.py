@@ -86,3 +86,11 @@ def test_numbering_without_broadcast(spark, monkeypatch):
     out = sorted_counts(df, num_partitions=4)
     assert sorted((r["word"], r["rank"]) for r in out.collect()) == \
         [(f"w{i:04d}", i + 1) for i in range(300)]
+
+
+def test_top_k_large_k_uses_distributed_numbering(spark, monkeypatch):
+    from wordmill.operators import rank
+    monkeypatch.setattr(rank, "WINDOW_RANK_MAX_ROWS", 2)
+    df = counts(spark, [("b", 5), ("a", 5), ("ab", 5), ("z", 10), ("q", 9)])
+    got = [(r["word"], r["rank"]) for r in rank.top_words(df, k=4).orderBy("rank").collect()]
+    assert got == [("z", 1), ("q", 2), ("b", 3), ("ab", 4)]

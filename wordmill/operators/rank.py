@@ -22,6 +22,10 @@ def sorted_counts(df: DataFrame, word_col: str = "word", rank_col: str | None =
     return global_index(df, [F.col(word_col)], rank_col, num_partitions)
 
 
+# Up to this many rows a top-k report is numbered by one window task.
+WINDOW_RANK_MAX_ROWS = 100_000
+
+
 def top_order(count_col: str = "count", word_col: str = "word") -> list[Column]:
     """Order of ``sort -t$'\\t' -k2 -nr`` on ``word<TAB>count`` lines (C
     locale): count descending, then the whole line compared bytewise and
@@ -38,6 +42,8 @@ def top_words(df: DataFrame, k: int = 10, count_col: str = "count", word_col: st
     top = df.orderBy(*order).limit(k)
     if rank_col is None:
         return top
+    if k > WINDOW_RANK_MAX_ROWS:
+        return global_index(top, order, rank_col)
     # At most k rows here, so a global window is bounded by k.
     return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
 
