@@ -103,11 +103,13 @@ def q_top_tokens(spark, sf_dir):
 
 
 def q_extract_counters(spark, sf_dir):
+    # Stand-in log lines: page URLs, marker "page=" (FIXTURES.md §7).
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return runlog.extract_counters(pages, "page=", col="url", keep=["page_id"])
 
 
 def q_parse_kv(spark, sf_dir):
+    # Stand-in records: URL query strings, pairs joined by "&".
     pages = table(spark, sf_dir, "pages").select("page_id", _page_query().alias("query"))
     fields = [runlog.Field("page", "int"), runlog.Field("ref"), runlog.Field("utm_source")]
     return runlog.parse_kv(pages, fields, col="query", pair_sep="&", kv_sep="=", keep=["page_id"])
@@ -135,6 +137,8 @@ def q_elapsed_text(spark, sf_dir):
 
 
 def q_capacity(spark, sf_dir):
+    # Stand-in setting: each document's n_chars is read as a node memory (MB)
+    # and as a vcore count, so the arithmetic runs over a whole table.
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.col("n_chars").alias("memory_mb"),
                        R.max_containers("n_chars").alias("containers"),
@@ -152,6 +156,7 @@ def q_count_matching(spark, sf_dir):
 
 
 def q_run_status(spark, sf_dir):
+    # Stand-in runs: conversations; a run succeeds when a turn holds "The ".
     conv = table(spark, sf_dir, "conversations")
     return runlog.status(conv, "The ", col="text", by=["conv_id"])
 
@@ -171,6 +176,8 @@ def q_numbered_report(spark, sf_dir):
 
 
 def q_run_report(spark, sf_dir):
+    # Records written from the block-size sweep over documents (R5 -> K4),
+    # then parsed back and numbered.
     sweep = runlog.block_footprint(table(spark, sf_dir, "documents"), "text")
     records = sweep.select(
         F.col("block_size_mb").alias("seq"),
@@ -187,6 +194,7 @@ def q_run_report(spark, sf_dir):
 
 
 def q_log_summary(spark, sf_dir):
+    # Stand-in job logs: the turns of each conversation, in turn order.
     conv = table(spark, sf_dir, "conversations")
     logs = conv.select(F.col("conv_id"), F.col("turn").alias("line_no"), F.col("text").alias("line"))
     return runlog.log_summary(
@@ -197,6 +205,7 @@ def q_log_summary(spark, sf_dir):
 
 
 def q_corpus_generate(spark, sf_dir):
+    # One corpus line per event id, so the corpus grows with the table.
     return corpus_src.corpus_for(table(spark, sf_dir, "events"), "event_id")
 
 
