@@ -3,7 +3,7 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query is fully computed into the ``noop`` sink (nothing is collected);
-every figure is the best of ``BENCH_REPEAT`` runs (default 2).
+every figure is the best of ``BENCH_REPEAT`` runs (default 3).
 ``corpus_*`` run the reference's own workload on a text file: 4,000,000
 generated lines of 15 words (60,000,000 tokens, 476,250,000 bytes), the
 raw-token count (the job its scripts time), the normalised count (its own
@@ -45,7 +45,7 @@ HEADLINE = [
 ]
 
 
-REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
 
 
 def run(df) -> None:
