@@ -7,6 +7,7 @@ its work grows with them. Column names and types are aligned with the SQL.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,10 @@ from ..functions import text as T
 from ..operators import rank, runlog
 from ..operators import text as ops
 from ..sources import corpus as corpus_src
+from ..sinks.text import write_counts
+from ..session import checkpoint_dir
 from ..sources.tables import read_table
+from ..sources.text import read_counts, read_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,6 +106,26 @@ def q_top_tokens(spark, sf_dir):
                           k=10)
 
 
+def _scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_counts_round_trip(spark, sf_dir):
+    # K1 then S4: the counts go through a tab-separated file and back.
+    path = _scratch_path(spark, "counts")
+    write_counts(ops.word_count(table(spark, sf_dir, "documents", ["text"], True), "text"), path)
+    return read_counts(spark, path)
+
+
+def q_text_source_lines(spark, sf_dir):
+    # The documents written as a text file (one value per row, each
+    # followed by LF), then read back line by line by the text source.
+    path = _scratch_path(spark, "text")
+    table(spark, sf_dir, "documents", ["text"]).write.text(path)
+    return read_lines(spark, path, line_col="line")
+
+
 def q_extract_counters(spark, sf_dir):
     # Stand-in log lines: page URLs, marker "page=" (FIXTURES.md §7).
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -230,6 +254,8 @@ QUERIES: dict[str, Query] = {
     "word_count_line_first": q_word_count_line_first,
     "sorted_tokens": q_sorted_tokens,
     "top_tokens": q_top_tokens,
+    "counts_round_trip": q_counts_round_trip,
+    "text_source_lines": q_text_source_lines,
     "extract_counters": q_extract_counters,
     "parse_kv": q_parse_kv,
     "counter_default": q_counter_default,
@@ -336,6 +362,9 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT word, count, row_number() OVER (ORDER BY count DESC, word || chr(9) DESC) AS rank "
         f"FROM (SELECT tok AS word, count(*) AS count FROM ({_tokens_sql('documents', 'text')}) t "
         "WHERE tok <> '' GROUP BY tok) c ORDER BY count DESC, word || chr(9) DESC LIMIT 10"),
+    "counts_round_trip": _word_count_sql("documents", "text"),
+    "text_source_lines": (
+        f"SELECT unnest({_lines_array_sql('(text || chr(10))')}) AS line FROM documents"),
     "extract_counters": (
         "SELECT page_id, pos, TRY_CAST(v AS BIGINT) AS value FROM ("
         "SELECT page_id, generate_subscripts(arr, 1) AS pos, unnest(arr) AS v FROM ("
