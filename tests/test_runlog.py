@@ -174,3 +174,17 @@ def test_log_summary_marker_line_without_number(spark):
     only_bare = df.where("line_no = 1")
     assert ops.log_summary(only_bare, by=["run"], counters=[ops.Counter("m", "Launched map tasks")],
                            success_marker=None).first()["m"] == 0
+
+
+def test_elapsed_with_zoned_timestamps(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")  # a +05:30 zone
+    try:
+        df = spark.sql("SELECT TIMESTAMP'2024-01-01 00:00:00.900 UTC' AS a, "
+                       "TIMESTAMP'2024-01-01 00:02:05.100 UTC' AS b")
+        r = df.select(R.elapsed_seconds("a", "b").alias("f"),
+                      R.elapsed_whole_seconds("a", "b").alias("d"),
+                      R.elapsed_text("a", "b").alias("t")).first()
+        assert abs(r["f"] - 124.2) < 1e-9 and r["d"] == 125 and r["t"] == "2m 5s"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
