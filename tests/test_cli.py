@@ -30,3 +30,21 @@ def test_wordcount_and_missing_input(scratch):
                    for f in sorted(os.listdir(out)) if f.startswith("part-"))
     assert text.splitlines() == ["big\t3", "data\t2"]
     assert cli("wordcount", os.path.join(scratch, "missing.txt"), out + "2").returncode == 1
+
+
+def test_corpus_run_and_sweep_commands(scratch):
+    corpus_dir = os.path.join(scratch, "corpus")
+    r = cli("corpus", corpus_dir, "--lines", "20000")
+    assert r.returncode == 0, r.stderr[-2000:]
+    r = cli("run", corpus_dir, os.path.join(scratch, "input"), os.path.join(scratch, "output"))
+    assert r.returncode == 0, r.stderr[-2000:]
+    out = r.stdout.splitlines()
+    assert out[0].startswith("job time: ") and out[0].endswith("s")
+    top = [ln.split("\t") for ln in out[1:]]
+    assert len(top) == 10 and sum(int(c) for _, c in top) <= 300_000
+    counts = [int(c) for _, c in top]
+    assert counts == sorted(counts, reverse=True)
+    r = cli("sweep", corpus_dir, "1", "2")
+    assert r.returncode == 0, r.stderr[-2000:]
+    lines = [ln for ln in r.stdout.splitlines() if ln.startswith("Result ")]
+    assert len(lines) == 2 and "BLOCKSIZE=1" in lines[0] and "BLOCKSIZE=2" in lines[1]
