@@ -88,3 +88,15 @@ def test_run_wordcount_flow(spark, scratch):
 def test_format_elapsed():
     assert format_elapsed(0) == "0m 0s"
     assert format_elapsed(125) == "2m 5s"
+
+
+def test_wordcount_job_on_gzip_input(spark, scratch):
+    import gzip
+    src = os.path.join(scratch, "in.txt.gz")
+    with gzip.open(src, "wb") as fh:
+        fh.write(b" big data\n" * 5000 + b"Big DATA!\n")
+    assert read_lines(spark, src).rdd.getNumPartitions() == 1  # not splittable
+    out = os.path.join(scratch, "out")
+    wordcount_job(spark, src, out)
+    assert sorted((r["word"], r["count"]) for r in read_counts(spark, out).collect()) == \
+        [("big", 5001), ("data", 5001)]
