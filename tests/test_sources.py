@@ -95,3 +95,15 @@ def test_split_size_sweep_report(spark, scratch):
            for r in rep.orderBy("i").collect()]
     assert got == [(1, 1, 5, 5, 750), (2, 2, 3, 3, 450)]
     assert all(r["TEMPO_WC"] > 0 for r in rep.collect())
+
+
+def test_streaming_raw_token_count(spark, scratch):
+    inp = os.path.join(scratch, "in")
+    os.makedirs(inp)
+    with open(os.path.join(inp, "a.txt"), "w") as fh:
+        fh.write("The the\tTHE,\nthe\n")
+    out = os.path.join(scratch, "out")
+    q = start_word_count(spark, inp, out, os.path.join(scratch, "ckpt"), normalized=False)
+    q.awaitTermination(120)
+    got = {r["word"]: r["count"] for r in spark.read.parquet(out).collect()}
+    assert got == {"The": 1, "the": 2, "THE,": 1}
