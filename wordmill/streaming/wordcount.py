@@ -40,6 +40,10 @@ def start_word_count(spark: SparkSession, input_dir: str, output_path: str,
     The state (one row per distinct word) is kept in RocksDB unless the
     session already names a state store, so a large vocabulary lives on
     local disk instead of the executor heap.
+
+    Pass the same ``checkpoint_location`` on every run to continue the
+    totals (and to recover after a failure); without one a new folder under
+    the shared checkpoint folder is used and counting starts afresh.
     """
     if not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
