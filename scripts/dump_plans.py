@@ -1,4 +1,4 @@
-"""Write PLANS.md: the physical plans of the headline queries.
+"""Write PLANS.md: the final physical plans of every registered query.
 
     python scripts/dump_plans.py [sf_dir]
 """
@@ -16,16 +16,44 @@ from wordmill.plans.registry import QUERIES  # noqa: E402
 from wordmill.session import build_session  # noqa: E402
 
 NOTES = {
-    "token_count_documents": "A2: one hash shuffle; `partial_count` runs before it (map-side combine). "
-                             "The round-robin exchange is the scan spread (the table is one row group).",
     "word_count_documents": "A1: the strip regex runs after the first shuffle, on distinct tokens only; "
-                            "the pinned filter sits on the final sum.",
-    "top_words": "O2: `TakeOrderedAndProject` keeps k rows per task.",
+                            "the pinned filter sits on the final sum. The round-robin exchange is the "
+                            "scan spread (the table is one row group).",
+    "word_count_conversations": "A1 on conversations: same plan.",
+    "word_count_benchmark": "A1 on benchmark: same plan.",
+    "word_count_pages": "A1 on the page HTML: same plan.",
+    "word_count_line_first": "A1, single-shuffle form: strip per character of the text, one "
+                             "aggregation (the streaming form).",
+    "token_count_documents": "A2: one hash shuffle; `partial_count` runs before it (map-side combine).",
+    "merge_counts": "A3: four A1 plans; the final merge reuses their hash partitioning by word "
+                    "(no extra shuffle for the union).",
+    "line_scan": "S2: no shuffle besides the scan spread; lines split on LF by the JDK fast path.",
+    "text_source_lines": "S1: the text file written from documents, read back by the text source.",
+    "counts_round_trip": "K1 then S4: A1 written as TSV, read back (the write is a separate job).",
+    "tokenize": "P1: per-row projection, no shuffle besides the scan spread.",
+    "word_normalize": "P2/P3: distinct raw tokens (partial dedupe before the shuffle), then the strip.",
+    "token_rows": "P4: per-row generator, no shuffle besides the scan spread.",
     "sorted_counts": "O1: reads the checkpointed, range-sorted counts; the broadcast side is one row "
                      "per partition.",
-    "log_summary": "R8: one grouped pass; every metric is a partial aggregate.",
+    "sorted_tokens": "O1 over A2: same numbering plan over raw tokens.",
+    "top_words": "O2: `TakeOrderedAndProject` keeps k rows per task.",
+    "top_tokens": "O2 over A2.",
+    "extract_counters": "P5: the marker test is pushed into the parquet scan; no shuffle.",
+    "parse_kv": "P6: per-row regex extraction; no shuffle.",
+    "counter_default": "P7: per-row; no shuffle.",
+    "elapsed_fraction": "P8: min/max per user, partially aggregated before the shuffle.",
+    "elapsed_text": "P9: same shape as P8.",
+    "capacity": "P10/P11: per-row arithmetic; no shuffle.",
+    "count_matching": "A5: lines of each document, then conditional counts per language, "
+                      "partially aggregated.",
+    "run_status": "A6: `bool_or` per conversation, partially aggregated.",
     "block_footprint": "R5: one scan, one aggregate column per block size, no join.",
-    "extract_counters": "P5: the marker test is pushed into the parquet scan.",
+    "replica_footprint": "R6: one scan, one aggregate, rows per factor by `explode`; no join.",
+    "numbered_report": "O3: a tiny aggregate numbered by the checkpointed range numbering.",
+    "run_report": "R7: R5 records written as K=V strings, parsed back, numbered.",
+    "log_summary": "R8: one grouped pass; every metric is a partial aggregate.",
+    "corpus_generate": "S3: per-row md5 draws keyed by event id; no shuffle.",
+    "corpus_word_count": "S3 then A1.",
 }
 
 
@@ -35,7 +63,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     out = ["# PLANS", "",
            "Final physical plans (after adaptive re-planning; `*(n)` marks a whole-stage "
-           f"codegen span) of the headline queries, run on `{sf_dir}` and written by "
+           f"codegen span) of every registered query, run on `{sf_dir}` and written by "
            "`scripts/dump_plans.py`.", ""]
     for name, note in NOTES.items():
         df = QUERIES[name](spark, sf_dir)
