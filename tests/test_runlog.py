@@ -188,3 +188,13 @@ def test_elapsed_with_zoned_timestamps(spark):
         assert abs(r["f"] - 124.2) < 1e-9 and r["d"] == 125 and r["t"] == "2m 5s"
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_footprints_of_an_empty_input(spark):
+    empty = spark.createDataFrame([], "text string")
+    got = [(r["block_size_mb"], r["files"], r["bytes"], r["blocks"], r["metadata_bytes"])
+           for r in ops.block_footprint(empty).orderBy("block_size_mb").collect()]
+    assert got == [(32, 0, 0, 0, 0), (64, 0, 0, 0, 0), (128, 0, 0, 0, 0)]
+    rep = [(r["replication"], r["logical_bytes"], r["total_bytes"])
+           for r in ops.replica_footprint(empty).orderBy("replication").collect()]
+    assert rep == [(1, 0, 0), (2, 0, 0), (3, 0, 0)]

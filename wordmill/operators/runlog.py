@@ -153,11 +153,13 @@ def block_footprint(df: DataFrame, col: str = "text", sizes_mb: Sequence[int] =
     costs 150 bytes of metadata. All sizes are summed in one scan.
     """
     nbytes = F.octet_length(F.col(col)).cast("long")
-    aggs = [F.count(F.lit(1)).alias("files"), F.sum(nbytes).alias("bytes")]
+    # coalesce: an empty input takes 0 bytes and 0 blocks, not null.
+    aggs = [F.count(F.lit(1)).alias("files"), F.coalesce(F.sum(nbytes), F.lit(0)).alias("bytes")]
     cols: dict[int, dict[str, str]] = {}
     for s in sizes_mb:
         name = f"_blocks_{s}"
-        aggs.append(F.sum(F.ceil(nbytes / F.lit(s * 1024 * 1024))).cast("long").alias(name))
+        blocks = F.sum(F.ceil(nbytes / F.lit(s * 1024 * 1024))).cast("long")
+        aggs.append(F.coalesce(blocks, F.lit(0).cast("long")).alias(name))
         cols[s] = {"files": "files", "bytes": "bytes", "blocks": name}
     grouped = df.groupBy(*by) if by else df.groupBy()
     wide = grouped.agg(*aggs)
@@ -171,7 +173,7 @@ def replica_footprint(df: DataFrame, col: str = "text",
     """Logical and replicated bytes per replication factor."""
     nbytes = F.octet_length(F.col(col)).cast("long")
     grouped = df.groupBy(*by) if by else df.groupBy()
-    wide = grouped.agg(F.sum(nbytes).alias("logical_bytes"))
+    wide = grouped.agg(F.coalesce(F.sum(nbytes), F.lit(0)).alias("logical_bytes"))
     cols = {r: {"logical_bytes": "logical_bytes"} for r in factors}
     out = _sweep(wide, by, factor_col, cols, factors)
     return out.withColumn("total_bytes", F.col("logical_bytes") * F.col(factor_col))
