@@ -81,11 +81,20 @@ def test_numbering_frame_with_map_column(spark):
 
 def test_numbering_without_broadcast(spark, monkeypatch):
     from wordmill.plans import ordering
-    monkeypatch.setattr(ordering, "MAX_BROADCAST_PARTITIONS", 1)
-    df = counts(spark, [(f"w{i:04d}", i) for i in range(300)])
-    out = sorted_counts(df, num_partitions=4)
-    assert sorted((r["word"], r["rank"]) for r in out.collect()) == \
-        [(f"w{i:04d}", i + 1) for i in range(300)]
+    monkeypatch.setattr(ordering, "MAX_BROADCAST_PARTITIONS", 0)
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = counts(spark, [(f"w{i:04d}", i) for i in range(300)])
+        out = sorted_counts(df, num_partitions=20)
+        rows = [(r["word"], r["rank"]) for r in out.collect()]
+        # ranks right, and the partitions still come back in global order
+        assert rows == [(f"w{i:04d}", i + 1) for i in range(300)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_top_k_large_k_uses_distributed_numbering(spark, monkeypatch):

@@ -72,6 +72,13 @@ def global_index(df: DataFrame, order: list[str | Column], name: str = "rank",
         parts = frozen.rdd.getNumPartitions()  # the checkpoint's partitions; no job runs
     except Exception:  # no RDD access (Spark Connect): the table is still one row per partition
         parts = 0
-    side = F.broadcast(offsets) if parts <= MAX_BROADCAST_PARTITIONS else offsets
-    return (tagged.join(side, "_wm_pid")
-                  .select(*cols, (F.col("_wm_off") + local_pos + 1).alias(name)))
+    if parts <= MAX_BROADCAST_PARTITIONS:
+        # The broadcast join streams the checkpointed partitions in place, so
+        # the range partitioning and the order are kept.
+        return (tagged.join(F.broadcast(offsets), "_wm_pid")
+                      .select(*cols, (F.col("_wm_off") + local_pos + 1).alias(name)))
+    # Shuffle join: it moves rows by partition id, so restore the global order
+    # by range-partitioning on the (unique, dense) number.
+    numbered_rows = (tagged.join(offsets, "_wm_pid")
+                           .select(*cols, (F.col("_wm_off") + local_pos + 1).alias(name)))
+    return range_sorted(numbered_rows, [F.col(name)], parts)

@@ -107,7 +107,9 @@ def q_top_tokens(spark, sf_dir):
 
 
 def _scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
+    """A fresh folder under the shared checkpoint folder. The returned frame
+    reads from it, so it is left in place (the checkpoint folder's own
+    retention applies)."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
