@@ -48,3 +48,20 @@ def test_corpus_run_and_sweep_commands(scratch):
     assert r.returncode == 0, r.stderr[-2000:]
     lines = [ln for ln in r.stdout.splitlines() if ln.startswith("Result ")]
     assert len(lines) == 2 and "BLOCKSIZE=1" in lines[0] and "BLOCKSIZE=2" in lines[1]
+
+
+def test_merge_command(scratch):
+    parts = []
+    for i, text in enumerate(["a b b\n", "b c\n"]):
+        src = os.path.join(scratch, f"in{i}.txt")
+        with open(src, "w") as fh:
+            fh.write(text)
+        out = os.path.join(scratch, f"counts{i}")
+        assert cli("wordcount", src, out).returncode == 0
+        parts.append(out)
+    merged = os.path.join(scratch, "merged")
+    r = cli("merge", merged, *parts)
+    assert r.returncode == 0, r.stderr[-2000:]
+    text = "".join(open(os.path.join(merged, f)).read()
+                   for f in sorted(os.listdir(merged)) if f.startswith("part-"))
+    assert text.splitlines() == ["a\t1", "b\t3", "c\t1"]

@@ -4,6 +4,7 @@
     run <source> <input_path> <output_path> [-k 10] [--normalized]
     corpus <output_path> [--lines N] [--seed S]
     sweep <input_path> <split_mb> [<split_mb> ...]
+    merge <output_path> <counts_path> [<counts_path> ...] [--overwrite]
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-USAGE = "usage: python -m wordmill {wordcount,run,corpus,sweep} ..."
+USAGE = "usage: python -m wordmill {wordcount,run,corpus,sweep,merge} ..."
 
 
 def _session():
@@ -42,6 +43,10 @@ def main(argv: list[str] | None = None) -> int:
     sw = sub.add_parser("sweep")
     sw.add_argument("input_path")
     sw.add_argument("sizes", nargs="+", type=int)
+    mg = sub.add_parser("merge")
+    mg.add_argument("output_path")
+    mg.add_argument("inputs", nargs="+")
+    mg.add_argument("--overwrite", action="store_true")
     try:
         args = parser.parse_args(argv)
     except SystemExit:
@@ -68,6 +73,14 @@ def main(argv: list[str] | None = None) -> int:
             from .sources.corpus import TOTAL_LINES, corpus
             n = args.lines or TOTAL_LINES
             corpus(spark, n, seed=args.seed).write.mode("overwrite").text(args.output_path)
+        elif args.cmd == "merge":
+            from .operators.rank import sorted_counts
+            from .operators.text import merge_counts
+            from .sinks.text import write_counts
+            from .sources.text import read_counts
+            merged = merge_counts(*[read_counts(spark, p) for p in args.inputs])
+            write_counts(sorted_counts(merged, rank_col=None), args.output_path,
+                         mode="overwrite" if args.overwrite else "errorifexists")
         elif args.cmd == "sweep":
             from .plans.sweeps import split_size_sweep
             report = split_size_sweep(spark, args.input_path, args.sizes)
