@@ -198,3 +198,28 @@ def test_footprints_of_an_empty_input(spark):
     rep = [(r["replication"], r["logical_bytes"], r["total_bytes"])
            for r in ops.replica_footprint(empty).orderBy("replication").collect()]
     assert rep == [(1, 0, 0), (2, 0, 0), (3, 0, 0)]
+
+
+def test_kv_value_matches_a_plain_parser(spark):
+    import random
+    rng = random.Random(3)
+    keys = ["V", "VC", "VCORES", "VCORES_TOTAL", "MAP_TASKS", "TASKS", "X.Y", "A+B"]
+
+    def parse(record, key):
+        for pair in record.split("|"):
+            k, sep, v = pair.partition("=")
+            if sep and k == key:
+                return v or None
+        return None
+
+    records = []
+    for _ in range(400):
+        pairs = [(rng.choice(keys), rng.choice(["", "1", "22", "1.5 G", "a=b", "x"]))
+                 for _ in range(rng.randint(0, 5))]
+        records.append("|".join(f"{k}={v}" for k, v in pairs))
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(records)], "i int, record string")
+    cols = [R.kv_value("record", k).alias(f"k{j}") for j, k in enumerate(keys)]
+    got = {r["i"]: r for r in df.select("i", *cols).collect()}
+    for i, rec in enumerate(records):
+        for j, k in enumerate(keys):
+            assert got[i][f"k{j}"] == parse(rec, k), (rec, k)
