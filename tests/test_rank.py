@@ -103,3 +103,18 @@ def test_top_k_large_k_uses_distributed_numbering(spark, monkeypatch):
     df = counts(spark, [("b", 5), ("a", 5), ("ab", 5), ("z", 10), ("q", 9)])
     got = [(r["word"], r["rank"]) for r in rank.top_words(df, k=4).orderBy("rank").collect()]
     assert got == [("z", 1), ("q", 2), ("b", 3), ("ab", 4)]
+
+
+def test_top_k_matches_sort_nr_model(spark):
+    import random
+    rng = random.Random(9)
+    alphabet = ["a", "b", "Z", "\x01", "\x08", "\x0b", "é", "~", "0"]
+    words = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randint(1, 4)))
+                    for _ in range(600)})
+    rows = [(w, rng.randint(1, 6)) for w in words]  # many ties
+    df = counts(spark, rows)
+    # sort -t$'\t' -k2 -nr in the C locale: count descending, then the whole
+    # line "word<TAB>count" compared bytewise, reversed.
+    model = sorted(rows, key=lambda r: (r[1], (r[0] + "\t" + str(r[1])).encode()), reverse=True)
+    got = [(r["word"], r["count"]) for r in top_words(df, k=25).orderBy("rank").collect()]
+    assert got == model[:25]

@@ -223,3 +223,17 @@ def test_kv_value_matches_a_plain_parser(spark):
     for i, rec in enumerate(records):
         for j, k in enumerate(keys):
             assert got[i][f"k{j}"] == parse(rec, k), (rec, k)
+
+
+def test_extract_counters_matches_findall(spark):
+    import random
+    import re
+    rng = random.Random(4)
+    parts = ["=", "12", "a", " ", "x=", "=7", "MARK", "==", "9"]
+    lines = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 8))) for _ in range(500)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "id int, line string")
+    got = sorted((r["id"], r["pos"], r["value"]) for r in
+                 ops.extract_counters(df, "MARK", keep=["id"]).collect())
+    want = sorted((i, p + 1, int(v)) for i, s in enumerate(lines) if "MARK" in s
+                  for p, v in enumerate(re.findall(r"=(\d+)", s)))
+    assert got == want
