@@ -237,3 +237,29 @@ def test_extract_counters_matches_findall(spark):
     want = sorted((i, p + 1, int(v)) for i, s in enumerate(lines) if "MARK" in s
                   for p, v in enumerate(re.findall(r"=(\d+)", s)))
     assert got == want
+
+
+def test_elapsed_matches_shell_arithmetic(spark):
+    import random
+    rng = random.Random(8)
+    epoch = dt.datetime(1970, 1, 1)
+    pairs = []
+    for _ in range(400):
+        a = epoch + dt.timedelta(microseconds=rng.randint(-10**15, 2 * 10**15))
+        b = a + dt.timedelta(microseconds=rng.randint(-10**10, 10**11))
+        pairs.append((a, b))
+    df = spark.createDataFrame(pairs, "a timestamp_ntz, b timestamp_ntz")
+    rows = df.select("a", "b", R.elapsed_seconds("a", "b").alias("f"),
+                     R.elapsed_whole_seconds("a", "b").alias("d"),
+                     R.elapsed_text("a", "b").alias("t")).collect()
+
+    def floor_s(x):  # date +%s: whole seconds, floored
+        return ((x - epoch) // dt.timedelta(microseconds=1)) // 10**6
+
+    for r in rows:
+        us = (r["b"] - r["a"]) // dt.timedelta(microseconds=1)
+        assert r["f"] == us / 1e6
+        d = floor_s(r["b"]) - floor_s(r["a"])
+        assert r["d"] == d
+        q = int(d / 60)  # shell: truncate toward zero
+        assert r["t"] == f"{q}m {d - 60 * q}s"
