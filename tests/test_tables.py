@@ -29,3 +29,17 @@ def test_enough_tasks_are_left_alone(spark, scratch):
         assert spread(df) is df
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_one_row_group_planned_as_many_splits_is_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1024 * 1024))
+    try:
+        df = read_table(spark, "/root/testdata/sf0.1/documents.parquet", ["text"])
+        planned = df.rdd.getNumPartitions()
+        assert cores <= planned < 4 * cores  # the range where planning alone is not enough
+        out = spread(df, check_row_groups=True)
+        assert out is not df and out.rdd.getNumPartitions() == 2 * cores
+        assert spread(df) is df  # without the footer check the plan looks busy enough
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A scan with at least this many read tasks per core is left alone without
+# looking closer: it has work for every core.
+CLEARLY_ENOUGH_TASKS_PER_CORE = 4
 
 
 def scan_partitions(df: DataFrame) -> int:
@@ -11,18 +16,33 @@ def scan_partitions(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that has fewer read tasks than the cluster has
-    cores, so per-row work (tokenising long texts) uses every core.
+def busy_partitions(df: DataFrame) -> int:
+    """Read tasks of a parquet scan that get any rows. No column is read:
+    the row counts come from the row-group footers. Only used below
+    4 tasks per core, so the set of task ids is small."""
+    ids = df.select(F.spark_partition_id().alias("p")).agg(F.collect_set("p").alias("ids"))
+    return len(ids.first()["ids"])
+
 
-    A parquet row group is never split between tasks, so a table written as
-    a few huge row groups is read by a few tasks only. On a large input the
-    scan already has far more tasks than cores and this returns ``df``
-    unchanged: no shuffle is added where it would cost a full copy.
+def spread(df: DataFrame, min_partitions: int | None = None,
+           check_row_groups: bool = False) -> DataFrame:
+    """Round-robin a scan that would keep fewer tasks busy than the cluster
+    has cores, so per-row work (tokenising long texts) uses every core.
+
+    A parquet row group is never split between tasks: a file of one large
+    row group is planned as several splits, but only one of them reads rows.
+    With ``check_row_groups`` a scan planned with between 1x and 4x as many
+    tasks as cores is checked by a footer-only job that counts the tasks
+    holding rows. A large input plans far more tasks than that and is left
+    unchanged without any check, so no shuffle is added where it would cost
+    a full copy.
     """
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
-        if scan_partitions(df) >= cores:
+        planned = scan_partitions(df)
+        if planned >= CLEARLY_ENOUGH_TASKS_PER_CORE * cores:
+            return df
+        if planned >= cores and not (check_row_groups and busy_partitions(df) < cores):
             return df
     except Exception:  # no SparkContext here (a Spark Connect client): leave the scan as is
         return df
@@ -33,8 +53,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None,
                spread_rows: bool = False) -> DataFrame:
     """Read a parquet table; ``columns`` are pruned at the scan, and with
-    ``spread_rows`` a scan with too few tasks is spread (see :func:`spread`)."""
+    ``spread_rows`` a scan that keeps too few tasks busy is spread (see
+    :func:`spread`)."""
     df = spark.read.parquet(path)
     if columns:
         df = df.select(*columns)
-    return spread(df) if spread_rows else df
+    return spread(df, check_row_groups=True) if spread_rows else df
