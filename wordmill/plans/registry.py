@@ -307,6 +307,9 @@ def _kv_sql(col: str, key: str, sep: str) -> str:
     return f"NULLIF(regexp_extract({col}, '(?:^|{s}){key}=([^{s}]*)', 1), '')"
 
 
+# What the text sink writes for one row: the value (a null as an empty
+# string) followed by LF.
+_TEXT_FILE_VALUE = "(coalesce(text, '') || chr(10))"
 _PAGES_Q = "SELECT page_id, regexp_extract(url, '\\?([^#]*)', 1) AS q FROM pages"
 _SIZES = "(VALUES (32), (64), (128)) s(sz)"
 _FACTORS = "(VALUES (1), (2), (3)) f(r)"
@@ -366,7 +369,7 @@ ORACLE_SQL: dict[str, str] = {
         "WHERE tok <> '' GROUP BY tok) c ORDER BY count DESC, word || chr(9) DESC LIMIT 10"),
     "counts_round_trip": _word_count_sql("documents", "text"),
     "text_source_lines": (
-        f"SELECT unnest({_lines_array_sql('(text || chr(10))')}) AS line FROM documents"),
+        f"SELECT unnest({_lines_array_sql(_TEXT_FILE_VALUE)}) AS line FROM documents"),
     "extract_counters": (
         "SELECT page_id, pos, TRY_CAST(v AS BIGINT) AS value FROM ("
         "SELECT page_id, generate_subscripts(arr, 1) AS pos, unnest(arr) AS v FROM ("
@@ -403,20 +406,22 @@ ORACLE_SQL: dict[str, str] = {
     "block_footprint": (
         "SELECT lang, CAST(sz AS INTEGER) AS block_size_mb, files, bytes, blocks, "
         "blocks * 150 AS metadata_bytes FROM ("
-        "SELECT d.lang, s.sz, count(*) AS files, CAST(sum(strlen(d.text)) AS BIGINT) AS bytes, "
-        "CAST(sum(ceil(strlen(d.text) / (s.sz * 1048576))) AS BIGINT) AS blocks "
+        "SELECT d.lang, s.sz, count(*) AS files, "
+        "CAST(coalesce(sum(strlen(d.text)), 0) AS BIGINT) AS bytes, "
+        "CAST(coalesce(sum(ceil(strlen(d.text) / (s.sz * 1048576))), 0) AS BIGINT) AS blocks "
         f"FROM documents d CROSS JOIN {_SIZES} GROUP BY d.lang, s.sz) g"),
     "replica_footprint": (
         "SELECT lang, CAST(r AS INTEGER) AS replication, logical_bytes, "
         "logical_bytes * r AS total_bytes FROM ("
-        "SELECT d.lang, f.r, CAST(sum(strlen(d.text)) AS BIGINT) AS logical_bytes "
+        "SELECT d.lang, f.r, CAST(coalesce(sum(strlen(d.text)), 0) AS BIGINT) AS logical_bytes "
         f"FROM documents d CROSS JOIN {_FACTORS} GROUP BY d.lang, f.r) g"),
     "numbered_report": (
         "SELECT quality, toxic, count(*) AS n_docs, "
         "row_number() OVER (ORDER BY quality NULLS FIRST, toxic NULLS FIRST) AS i "
         "FROM labels GROUP BY quality, toxic"),
     "run_report": (
-        "WITH fp AS (SELECT s.sz, CAST(sum(ceil(strlen(d.text) / (s.sz * 1048576))) AS BIGINT) "
+        "WITH fp AS (SELECT s.sz, "
+        "CAST(coalesce(sum(ceil(strlen(d.text) / (s.sz * 1048576))), 0) AS BIGINT) "
         f"AS blocks FROM documents d CROSS JOIN {_SIZES} GROUP BY s.sz), "
         "rec AS (SELECT CAST(sz AS INTEGER) AS seq, 'BLOCKSIZE=' || sz || '|BLOCOS=' || blocks || "
         "'|METADATA=' || (blocks * 150) AS record FROM fp) "
