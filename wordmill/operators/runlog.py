@@ -89,7 +89,8 @@ def field_column(col: str | Column, field: Field, pair_sep: str = "|", kv_sep: s
 
 
 def parse_kv(df: DataFrame, fields: Sequence[Field | str], col: str = "record",
-             pair_sep: str = "|", kv_sep: str = "=", keep: Sequence[str] | None = None) -> DataFrame:
+             pair_sep: str = "|", kv_sep: str = "=",
+             keep: Sequence[str] | None = None) -> DataFrame:
     """P6 (+P7): parse ``K=V<sep>K=V`` records into typed columns.
 
     A missing key gives null (or the field default); a value that does not

@@ -51,7 +51,8 @@ def _page_query(url_col: str = "url"):
 
 def q_word_count(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return ops.word_count(table(spark, sf_dir, name, [TEXT_TABLES[name]], True), TEXT_TABLES[name])
+        col = TEXT_TABLES[name]
+        return ops.word_count(table(spark, sf_dir, name, [col], True), col)
     return run
 
 
@@ -85,12 +86,13 @@ def q_merge_counts(spark, sf_dir):
 
 
 def q_sorted_counts(spark, sf_dir):
-    return rank.sorted_counts(ops.word_count(table(spark, sf_dir, "documents", ["text"], True), "text"))
+    docs = table(spark, sf_dir, "documents", ["text"], True)
+    return rank.sorted_counts(ops.word_count(docs, "text"))
 
 
 def q_top_words(spark, sf_dir):
-    return rank.top_words(ops.word_count(table(spark, sf_dir, "documents", ["text"], True), "text"),
-                          k=10)
+    docs = table(spark, sf_dir, "documents", ["text"], True)
+    return rank.top_words(ops.word_count(docs, "text"), k=10)
 
 
 def q_word_count_line_first(spark, sf_dir):
@@ -98,12 +100,13 @@ def q_word_count_line_first(spark, sf_dir):
 
 
 def q_sorted_tokens(spark, sf_dir):
-    return rank.sorted_counts(ops.token_count(table(spark, sf_dir, "documents", ["text"], True), "text"))
+    docs = table(spark, sf_dir, "documents", ["text"], True)
+    return rank.sorted_counts(ops.token_count(docs, "text"))
 
 
 def q_top_tokens(spark, sf_dir):
-    return rank.top_words(ops.token_count(table(spark, sf_dir, "documents", ["text"], True), "text"),
-                          k=10)
+    docs = table(spark, sf_dir, "documents", ["text"], True)
+    return rank.top_words(ops.token_count(docs, "text"), k=10)
 
 
 def _scratch_path(spark: SparkSession, name: str) -> str:
@@ -222,7 +225,8 @@ def q_run_report(spark, sf_dir):
 def q_log_summary(spark, sf_dir):
     # Stand-in job logs: the turns of each conversation, in turn order.
     conv = table(spark, sf_dir, "conversations")
-    logs = conv.select(F.col("conv_id"), F.col("turn").alias("line_no"), F.col("text").alias("line"))
+    logs = conv.select(F.col("conv_id"), F.col("turn").alias("line_no"),
+                       F.col("text").alias("line"))
     return runlog.log_summary(
         logs, by=["conv_id"], col="line", order_col="line_no",
         counters=[runlog.Counter("map_tasks", "Launched map tasks", default=0)],
@@ -380,7 +384,8 @@ ORACLE_SQL: dict[str, str] = {
         f"{_kv_sql('q', 'ref', '&')} AS ref, {_kv_sql('q', 'utm_source', '&')} AS utm_source "
         f"FROM ({_PAGES_Q}) p"),
     "counter_default": (
-        f"SELECT page_id, TRY_CAST(COALESCE({_kv_sql('q', 'page', '&')}, '1') AS BIGINT) AS page_no "
+        f"SELECT page_id, "
+        f"TRY_CAST(COALESCE({_kv_sql('q', 'page', '&')}, '1') AS BIGINT) AS page_no "
         f"FROM ({_PAGES_Q}) p"),
     "elapsed_fraction": (
         "SELECT user_id, count(*) AS n_events, "
@@ -445,6 +450,7 @@ ORACLE_SQL: dict[str, str] = {
     "corpus_word_count": (
         "SELECT word, count(*) AS count FROM ("
         f"SELECT regexp_replace(lower(tok), '{STRIP}', '', 'g') AS word FROM ("
-        f"SELECT unnest(regexp_split_to_array(value, '{WS}')) AS tok FROM ({_CORPUS_EVENTS}) c) t) w "
+        f"SELECT unnest(regexp_split_to_array(value, '{WS}')) AS tok "
+        f"FROM ({_CORPUS_EVENTS}) c) t) w "
         "WHERE word <> '' GROUP BY word"),
 }

@@ -45,7 +45,8 @@ def split_size_sweep(spark: SparkSession, path: str, sizes_mb: Sequence[int],
                      records_path: str | None = None, normalized: bool = False,
                      fmt: str = "text") -> DataFrame:
     """Run the count once per split size; return the numbered report."""
-    records_path = records_path or f"{checkpoint_dir(spark).rstrip('/')}/sweep-{int(time.time() * 1e3)}"
+    if records_path is None:
+        records_path = f"{checkpoint_dir(spark).rstrip('/')}/sweep-{int(time.time() * 1e3)}"
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
     try:
@@ -67,5 +68,6 @@ def split_size_sweep(spark: SparkSession, path: str, sizes_mb: Sequence[int],
     finally:
         spark.conf.set(key, before)
     recs = read_lines(spark, records_path).withColumnRenamed("value", "record")
-    recs = recs.withColumn("seq", F.regexp_extract("record", r"(?:^|\|)SEQ=(\d+)", 1).try_cast("int"))
+    seq = F.regexp_extract("record", r"(?:^|\|)SEQ=(\d+)", 1).try_cast("int")
+    recs = recs.withColumn("seq", seq)
     return run_report(recs, SWEEP_FIELDS[1:], order=["seq"])

@@ -51,7 +51,8 @@ def start_word_count(spark: SparkSession, input_dir: str, output_path: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     counts = streaming_counts(reader.load(input_dir), normalized)
-    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/stream-wc-{uuid.uuid4().hex}"
+    location = (checkpoint_location
+                or f"{checkpoint_dir(spark).rstrip('/')}/stream-wc-{uuid.uuid4().hex}")
 
     def publish(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("overwrite").parquet(output_path)
