@@ -263,3 +263,14 @@ def test_elapsed_matches_shell_arithmetic(spark):
         assert r["d"] == d
         q = int(d / 60)  # shell: truncate toward zero
         assert r["t"] == f"{q}m {d - 60 * q}s"
+
+
+def test_extract_counter_after_a_phrase(spark):
+    # P5 also reads the number after "replication factor" and blanks.
+    df = spark.createDataFrame([(1, "Average block replication factor   2"),
+                                (2, "replication factor: none"),
+                                (3, "default replication factor 3, max 5")],
+                               "run int, line string")
+    got = ops.extract_counters(df, "replication factor", keep=["run"],
+                               pattern=r"replication factor\s+(\d+)")
+    assert sorted((r["run"], r["value"]) for r in got.collect()) == [(1, 2), (3, 3)]
