@@ -4,10 +4,11 @@
 
 Each query is fully computed into the ``noop`` sink (nothing is collected);
 every figure is the best of ``BENCH_REPEAT`` runs (default 3).
-``corpus_*`` run the reference's own workload on a text file: 4,000,000
-generated lines of 15 words (60,000,000 tokens, 476,250,000 bytes), the
-raw-token count (the job its scripts time), the normalised count (its own
-mapper) and the whole driver job (text in, sorted TSV out).
+``corpus_*`` run the reference's own workload: generating 4,000,000 lines of
+15 words (into the noop sink), then, on that corpus as a text file (60,000,000
+tokens, 476,250,000 bytes, written once and reused), the raw-token count (the
+job its scripts time), the normalised count (its own mapper) and the whole
+driver job (text in, sorted TSV out).
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from wordmill.operators.text import token_count, word_count  # noqa: E402
 from wordmill.plans.jobs import wordcount_job  # noqa: E402
 from wordmill.plans.registry import QUERIES  # noqa: E402
 from wordmill.session import build_session  # noqa: E402
+from wordmill.sinks.text import stage  # noqa: E402
 from wordmill.sources.corpus import TOTAL_LINES, corpus  # noqa: E402
 from wordmill.sources.text import read_lines  # noqa: E402
 
@@ -78,12 +80,16 @@ def main() -> None:
     for name in HEADLINE:
         times[name] = best_of(lambda: run(QUERIES[name](spark, sf_dir)))
 
-    # The reference's workload on a text source: write the corpus file once
-    # (timed as the generator), then count it as the job does.
-    scratch = tempfile.mkdtemp(prefix="wordmill-bench-")
-    corpus_path = os.path.join(scratch, "corpus")
-    times["corpus_generate_4M_lines"] = best_of(
-        lambda: corpus(spark, TOTAL_LINES).write.mode("overwrite").text(corpus_path))
+    # The reference's workload on a text source. The 476 MB corpus file is
+    # written once and reused by later runs (staged only if no complete copy
+    # is there); generation itself is timed into the noop sink.
+    times["corpus_generate_4M_lines"] = best_of(lambda: run(corpus(spark, TOTAL_LINES)))
+    corpus_path = os.path.join(tempfile.gettempdir(), "wordmill-bench-corpus-4M")
+    if not os.path.exists(os.path.join(corpus_path, "_SUCCESS")):
+        if os.path.exists(corpus_path):  # an incomplete copy: use a fresh folder
+            corpus_path = os.path.join(tempfile.mkdtemp(prefix="wordmill-bench-"), "corpus")
+        stage(corpus(spark, TOTAL_LINES), corpus_path)
+    scratch = tempfile.mkdtemp(prefix="wordmill-bench-")  # small job output only
     times["corpus_token_count_60M"] = best_of(
         lambda: run(token_count(read_lines(spark, corpus_path), "value")))
     times["corpus_word_count_60M"] = best_of(
