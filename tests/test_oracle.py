@@ -8,8 +8,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.conftest import SF_SMALL
+from wordmill.plans.registry import ORACLE_SQL, QUERIES
 
 TABLES = ("events documents pages benchmark labels conversations").split()
 
@@ -37,14 +38,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE_SQL) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    cur = con.execute(oracle_sql()[name])
+    cur = con.execute(ORACLE_SQL[name])
     orows = cur.fetchall()
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
