@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
 from .line_dedup import MIN_PAGES, RATIO, line_dedup
+from .simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +19,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), digest_all=True)
 
@@ -29,6 +34,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
