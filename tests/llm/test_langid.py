@@ -1,0 +1,74 @@
+"""Language identification: held-out accuracy, a plain version, hard rows."""
+
+from __future__ import annotations
+
+import zlib
+from collections import Counter
+
+from tests.llm.helpers import hard_docs
+from wordmill.llm import langid
+from wordmill.llm.queries import QUERIES
+
+
+def plain_grams(text):
+    out, blank = [" "], True
+    for c in text.lower():
+        if c.isalpha():
+            out.append(c)
+            blank = False
+        elif not blank:
+            out.append(" ")
+            blank = True
+    if out[-1] != " ":
+        out.append(" ")
+    s = "".join(out)
+    return Counter(s[i:i + n] for n in (1, 2, 3) for i in range(len(s) - n + 1) if s[i:i + n] != " ")
+
+
+def key(gram):
+    codes = [0 if c == " " else ord(c) + 1 for c in gram]
+    if len(codes) == 1:
+        return codes[0]
+    return (codes[0] + 1 << 21) + codes[1] if len(codes) == 2 else ((codes[0] + 1 << 42) + (codes[1] << 21) + codes[2])
+
+
+def plain_rank(counts, size):
+    return [g for g, _ in sorted(((key(g), n) for g, n in counts.items()), key=lambda x: (-x[1], x[0]))[:size]]
+
+
+def test_matches_a_plain_version_and_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text").collect()
+    learned = {}
+    for r in docs:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 5:
+            learned.setdefault(r.lang, Counter()).update(plain_grams(r.text))
+    profiles = {lang: plain_rank(c, langid.SIZE) for lang, c in learned.items()}
+    got = {r.doc_id: r for r in QUERIES["op3_language_id"](spark, sf).collect()}
+    assert len(got) == len(docs)
+    right = Counter()
+    for n, r in enumerate(docs):
+        out = got[r.doc_id]
+        assert out.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= out.score <= 1
+        right[out.held_out, out.lang_pred == r.lang] += 1
+        if n % 10 == 0:
+            own = plain_rank(plain_grams(r.text), langid.SIZE)
+            far = {lang: sum(abs(p.index(g) - i) if g in p else langid.SIZE for i, g in enumerate(own))
+                   for lang, p in profiles.items()}
+            lang = min(sorted(far), key=far.get)
+            assert (out.lang_pred, round(out.score, 9)) == (lang, round(1 - far[lang] / (langid.SIZE * len(own)), 9))
+    assert right[True, True] / (right[True, True] + right[True, False]) > 0.98
+
+
+def test_hard_rows(spark):
+    docs = hard_docs(spark)
+    profiles = langid.learn(docs)
+    rows = langid.identify(docs, profiles).collect()
+    assert len(rows) == docs.count()
+    by_id = {r.doc_id: r for r in rows}
+    assert by_id[5].lang_pred == by_id[3].lang_pred == by_id[9].lang_pred == "und"
+    assert by_id[5].score == 0 and by_id[4].lang_pred == "en"
+    assert langid.learn(docs.limit(0)) == []
+    assert {r.lang_pred for r in langid.identify(docs, []).collect()} == {"und"}
+    assert langid.identify(docs.limit(0), profiles).where(langid.accepted()).collect() == []

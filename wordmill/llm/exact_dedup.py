@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import frozen, text_or_empty
+from .common import broadcast_if_small, frozen, text_or_empty
 
 PREFIX_CHARS = 256
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -29,8 +29,10 @@ def normalised(text_col: str):
 
 
 def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The keys that at least two rows have."""
-    return frozen(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys))
+    """The keys that at least two rows have; while they are few, the rows of
+    the next level stay where they are, whatever share one key holds."""
+    shared = frozen(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys))
+    return broadcast_if_small(shared, 16 + 8 * len(keys))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -5,12 +5,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
+from .langid import held_out, identify, learn
 from .line_dedup import MIN_PAGES, RATIO, line_dedup
+from .packing import pack
 from .simhash import near_duplicates
+from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +23,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    profiles = learn(docs.where(~held_out("doc_id")))
+    return identify(docs, profiles).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
 
@@ -27,6 +42,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The documents name their site in `source`.
     return line_dedup(_table(spark, sf_dir, "documents")).select(
@@ -34,8 +53,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_token_counts": op1_token_counts,
+    "op3_language_id": op3_language_id,
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
 }
 
