@@ -9,12 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import scratch_path
 from .exact_dedup import exact_dedup
 from .langid import held_out, identify, learn
 from .line_dedup import MIN_PAGES, RATIO, line_dedup
 from .packing import pack
 from .simhash import near_duplicates
 from .token_counts import token_counts
+from .warc import read_warc, write_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +36,13 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = scratch_path(spark, "warc")
+    write_warc(_table(spark, sf_dir, "pages"), target)
+    return read_warc(spark, target).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
 
@@ -55,6 +64,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op3_language_id": op3_language_id,
+    "op4_warc": op4_warc,
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_packing": op9_packing,
@@ -62,6 +72,15 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_warc": """
+        WITH p AS (
+          SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+          FROM pages),
+        m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS top FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+        FROM m""",
     "op7_exact_dedup": r"""
         WITH n AS (
           SELECT doc_id, length(coalesce(text, '')) AS n_cp,
