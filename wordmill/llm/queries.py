@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import scratch_path
+from .decontaminate import leaks
 from .exact_dedup import exact_dedup
 from .langid import held_out, identify, learn
 from .line_dedup import MIN_PAGES, RATIO, line_dedup
@@ -29,6 +30,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "coverage", "verbatim")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     profiles = learn(docs.where(~held_out("doc_id")))
@@ -63,6 +69,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op4_warc": op4_warc,
     "op6_simhash": op6_simhash,
