@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .common import scratch_path
 from .decontaminate import leaks
 from .exact_dedup import exact_dedup
+from .extraction import extract, train
 from .langid import held_out, identify, learn
 from .line_dedup import MIN_PAGES, RATIO, line_dedup
 from .packing import pack
@@ -57,6 +58,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return extract(pages, train(pages))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -74,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op4_warc": op4_warc,
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_html_extraction": op8_html_extraction,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
 }
