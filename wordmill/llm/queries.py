@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chaining import repeated_passages
 from .common import scratch_path
 from .decontaminate import leaks
 from .exact_dedup import exact_dedup
@@ -50,6 +51,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op4_warc": op4_warc,
+    "op5_repeated_passages": op5_repeated_passages,
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_html_extraction": op8_html_extraction,
