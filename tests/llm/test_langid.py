@@ -71,4 +71,4 @@ def test_hard_rows(spark):
     assert by_id[5].score == 0 and by_id[4].lang_pred == "en"
     assert langid.learn(docs.limit(0)) == []
     assert {r.lang_pred for r in langid.identify(docs, []).collect()} == {"und"}
-    assert langid.identify(docs.limit(0), profiles).where(langid.accepted()).collect() == []
+    assert langid.identify(docs.limit(0), profiles).collect() == []

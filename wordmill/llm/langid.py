@@ -11,17 +11,17 @@ with numpy. Learning counts per task, sums the counts in Spark and ranks them
 per language; only the profiles (languages x ``size`` rows) reach the driver.
 """
 
-from __future__ import annotations
-
 import sys
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_texts, text_slices
+from .common import text_slices
 
 #: N-grams in a profile.
 SIZE = 400
@@ -148,6 +148,17 @@ class Classifier:
         return self.langs[best], float(1 - distance[best] / (self.size * len(own)))
 
 
+def verdict(profiles: list[tuple], text: Column, size: int = SIZE) -> Column:
+    """``struct<lang_pred, score>`` of a text column; the rows stay in the JVM,
+    only their texts are looked at."""
+    @F.pandas_udf("lang_pred string, score double")
+    def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = Classifier(profiles, size)
+        for texts in batches:
+            yield pd.DataFrame([model.predict(t or "") for t in texts], columns=["lang_pred", "score"])
+    return classify(text)
+
+
 def identify(docs: DataFrame, profiles: list[tuple], id_col: str = "doc_id", text_col: str = "text",
              size: int = SIZE) -> DataFrame:
     """One row per input row: ``id, lang_pred, score``.
@@ -157,20 +168,10 @@ def identify(docs: DataFrame, profiles: list[tuple], id_col: str = "doc_id", tex
     any text if nothing was learned) is ``und`` with score 0. Only the text is
     looked at, and all of it; repeated rows are each returned.
     """
-    def start():
-        model = Classifier(profiles, size)
-
-        def work(ids, texts):
-            found = [model.predict(t) for t in texts]
-            return {"id": pa.array(ids, pa.int64()),
-                    "lang_pred": pa.array([f[0] for f in found], pa.string()),
-                    "score": pa.array([f[1] for f in found], pa.float64())}
-        return work
-    return map_texts(docs, id_col, text_col, "id long, lang_pred string, score double",
-                     start).withColumnRenamed("id", id_col)
+    found = docs.select(F.col(id_col), verdict(profiles, F.col(text_col), size).alias("found"))
+    return found.select(id_col, "found.lang_pred", "found.score")
 
 
-def accepted() -> Column:
-    """A filter on the result of :func:`identify`: a language was found and its
-    profile fits at all."""
-    return (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)
+def accepted(verdict_col: Column) -> Column:
+    """A language was found and its profile fits at all."""
+    return (verdict_col["lang_pred"] != UNKNOWN) & (verdict_col["score"] >= MIN_SCORE)

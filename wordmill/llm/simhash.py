@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import frozen, map_texts
+from .common import broadcast_if_small, frozen, map_texts, text_or_empty
 from .components import components
 
 SEED = 42
@@ -57,13 +57,20 @@ def fingerprint(text: str, shingle_words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
-    """``id, fp`` (the fingerprint as a signed long) for every row."""
+    """``id, text_hash, fp`` (the fingerprint as a signed long) for every row."""
     def start():
-        def work(ids, texts):
-            return {"id": pa.array(ids, pa.int64()),
+        def work(keys, texts):
+            return {"id": pa.array([k["id"] for k in keys], pa.int64()),
+                    "text_hash": pa.array([k["text_hash"] for k in keys], pa.int64()),
                     "fp": pa.array([fingerprint(t, shingle_words) for t in texts], pa.int64())}
         return work
-    return map_texts(docs, id_col, text_col, "id long, fp long", start)
+    keyed = docs.select(F.struct(F.col(id_col).cast("long").alias("id"), _text_hash(text_col).alias("text_hash"))
+                        .alias("key"), F.col(text_col).alias("text"))
+    return map_texts(keyed, "key", "text", "id long, text_hash long, fp long", start)
+
+
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(text_or_empty(text_col), F.crc32(text_or_empty(text_col)))
 
 
 def _embedding(fp: Column) -> Column:
@@ -133,15 +140,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other. Rows with a null id take part and get the component of their
     fingerprint (null if no member has an id); repeated rows are each returned.
     """
-    rows = frozen(fingerprints(docs, id_col, text_col, shingle_words))
-    classes = frozen(rows.groupBy("fp").agg(F.min("id").alias("first_id")))
-    roots = components(links(classes.select("fp"), max_bits))
-    joined = (classes.join(roots, classes["fp"] == roots["node"], "left")
-              .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
-    joined = frozen(joined)
-    least = frozen(joined.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    of_fp = frozen(joined.join(least, "root").select("fp", "component_id"))
+    rows, of_fp = _groups(docs, id_col, text_col, shingle_words, max_bits)
     return rows.join(of_fp, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id")
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, shingle_words: int,
+            max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (``id, text_hash, fp``) and, by fingerprint, the component
+    (``fp, root, component_id``)."""
+    rows = frozen(fingerprints(docs, id_col, text_col, shingle_words))
+    classes = frozen(rows.groupBy("fp").agg(F.min("id").alias("first_id")))
+    roots = components(links(classes.select("fp"), max_bits))
+    joined = frozen(classes.join(roots, classes["fp"] == roots["node"], "left")
+                    .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
+    least = frozen(joined.groupBy("root").agg(F.min("first_id").alias("component_id")))
+    return rows, frozen(joined.join(least, "root").select("fp", "root", "component_id"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
+    """The rows and columns of ``docs``, one row of each component: the one
+    with the smallest id (a null id comes last); of rows that repeat the id,
+    one."""
+    rows, of_fp = _groups(docs, id_col, text_col, shingle_words, max_bits)
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash"))
+    keep = frozen(rows.join(of_fp, "fp").groupBy("root").agg(first.alias("r"))
+                  .select(F.col("r.id").alias("__keep_id"), F.col("r.text_hash").alias("__keep_hash")))
+    same = F.col(id_col).eqNullSafe(F.col("__keep_id")) & (_text_hash(text_col) == F.col("__keep_hash"))
+    kept = docs.join(broadcast_if_small(keep, 32), same, "left_semi")
+    # Rows that repeat both id and text: only these few are brought together.
+    repeated = frozen(rows.groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                      .select(F.col("id").alias("__keep_id"), F.col("text_hash").alias("__keep_hash")))
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, same, "left_anti")
+    several = kept.join(repeated, same, "left_semi").withColumn("__keep_hash", _text_hash(text_col))
+    return once.unionByName(several.dropDuplicates([id_col, "__keep_hash"]).drop("__keep_hash"))
