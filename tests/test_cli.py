@@ -17,6 +17,9 @@ def cli(*args, timeout=300):
 def test_wrong_argument_count_exits_1():
     assert cli("wordcount", "only-one").returncode == 1
     assert cli().returncode == 1
+    assert cli("report", "no_such_layout", "x").returncode == 1
+    assert cli("run", "a", "b", "c", "-k", "100000000").returncode == 1
+    assert cli("--conf", "nokey", "corpus", "x").returncode == 1
 
 
 def test_wordcount_and_missing_input(scratch):
@@ -39,8 +42,8 @@ def test_corpus_run_and_sweep_commands(scratch):
     r = cli("run", corpus_dir, os.path.join(scratch, "input"), os.path.join(scratch, "output"))
     assert r.returncode == 0, r.stderr[-2000:]
     out = r.stdout.splitlines()
-    assert out[0].startswith("job time: ") and out[0].endswith("s")
-    top = [ln.split("\t") for ln in out[1:]]
+    assert [ln.split(":")[0] for ln in out[:3]] == ["job time", "staging time", "total time"]
+    top = [ln.split("\t") for ln in out[3:]]
     assert len(top) == 10 and sum(int(c) for _, c in top) <= 300_000
     counts = [int(c) for _, c in top]
     assert counts == sorted(counts, reverse=True)
@@ -48,6 +51,26 @@ def test_corpus_run_and_sweep_commands(scratch):
     assert r.returncode == 0, r.stderr[-2000:]
     lines = [ln for ln in r.stdout.splitlines() if ln.startswith("Result ")]
     assert len(lines) == 2 and "BLOCKSIZE=1" in lines[0] and "BLOCKSIZE=2" in lines[1]
+    assert "UPLOAD=" in lines[0]
+    assert cli("sweep", os.path.join(scratch, "missing"), "1").returncode == 1
+
+
+def test_report_and_summary_commands(scratch):
+    records = os.path.join(scratch, "records.txt")
+    with open(records, "w") as fh:
+        fh.write("VCORES=2|MAP_TASKS=3|TEMPO_WC=1.5|VCORES_TOTAL=4\nVCORES=4|MAP_TASKS=3|VCORES_TOTAL=8\n")
+    r = cli("--conf", "spark.sql.shuffle.partitions=2", "report", "vcores", records)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert [ln for ln in r.stdout.splitlines() if ln.startswith("Result ")] == [
+        "Result 1: VCORES=2, MAP_TASKS=3, REDUCE_TASKS=None, TEMPO_WC=1.5, VCORES_TOTAL=4",
+        "Result 2: VCORES=4, MAP_TASKS=3, REDUCE_TASKS=None, TEMPO_WC=None, VCORES_TOTAL=8"]
+    log = os.path.join(scratch, "job.log")
+    with open(log, "w") as fh:
+        fh.write("Launched map tasks=3\nLaunched map tasks=4 of=9\nResubmitting\ncompleted successfully\n")
+    r = cli("summary", log)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert "map_tasks=3 4 9, map_tasks_value=3, reduce_tasks=0" in r.stdout and "reexec=1" in r.stdout
+    assert "status=SUCCESS" in r.stdout
 
 
 def test_merge_command(scratch):

@@ -9,7 +9,8 @@ from pyspark.errors import AnalysisException
 
 from wordmill.plans.jobs import format_elapsed, run_wordcount, wordcount_job
 from wordmill.sinks.text import append_run, stage, write_counts
-from wordmill.sources.text import InputNotFound, read_counts, read_lines
+from wordmill.operators.text import merge_counts
+from wordmill.sources.text import InputNotFound, bad_count_lines, read_counts, read_lines
 
 
 def write_file(path, data: bytes):
@@ -38,6 +39,14 @@ def test_counts_round_trip_with_quotes(spark, scratch):
     assert dict(read_counts(spark, out).dtypes) == {"word": "string", "count": "bigint"}
 
 
+def test_damaged_counts_are_not_lost(spark, scratch):
+    path = os.path.join(scratch, "counts")
+    spark.createDataFrame([("a\t1",), ("b\tx",), ("no tab",), ("c\t3",)], "value string").write.text(path)
+    assert sorted(r["value"] for r in bad_count_lines(spark, path).collect()) == ["b\tx", "no tab"]
+    with pytest.raises(Exception, match="not a word<TAB>count line"):
+        merge_counts(read_counts(spark, path)).collect()
+
+
 def test_sink_modes(spark, scratch):
     df = spark.createDataFrame([("a", 1)], "word string, count bigint")
     out = os.path.join(scratch, "out")
@@ -79,6 +88,7 @@ def test_run_wordcount_flow(spark, scratch):
     top = [(r["word"], r["count"]) for r in res.top.orderBy("rank").collect()]
     assert top == [("b", 3), ("a", 2), ("c", 1)]
     assert res.elapsed_text.endswith("s") and "m " in res.elapsed_text
+    assert 0 < res.staging_seconds < res.total_seconds and res.total_text.endswith("s")
     # second run: input already staged, output replaced
     res2 = run_wordcount(spark, src.limit(0), os.path.join(scratch, "input"),
                          os.path.join(scratch, "out"))
@@ -97,6 +107,6 @@ def test_wordcount_job_on_gzip_input(spark, scratch):
         fh.write(b" big data\n" * 5000 + b"Big DATA!\n")
     assert read_lines(spark, src).rdd.getNumPartitions() == 1  # not splittable
     out = os.path.join(scratch, "out")
-    wordcount_job(spark, src, out)
+    wordcount_job(spark, src, out, partitions=4)
     assert sorted((r["word"], r["count"]) for r in read_counts(spark, out).collect()) == \
         [("big", 5001), ("data", 5001)]

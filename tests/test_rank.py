@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wordmill.operators.rank import numbered, sorted_counts, top_words
+from wordmill.operators.rank import numbered, rank_words, sorted_counts, top_words
 from wordmill.plans.inspect import physical_lines
 
 
@@ -79,30 +79,21 @@ def test_numbering_frame_with_map_column(spark):
     assert got == [(1, 1), (2, 2)]
 
 
-def test_numbering_without_broadcast(spark, monkeypatch):
-    from wordmill.plans import ordering
-    monkeypatch.setattr(ordering, "MAX_BROADCAST_PARTITIONS", 0)
-    keys = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
-    before = {k: spark.conf.get(k) for k in keys}
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = counts(spark, [(f"w{i:04d}", i) for i in range(300)])
-        out = sorted_counts(df, num_partitions=20)
-        rows = [(r["word"], r["rank"]) for r in out.collect()]
-        # ranks right, and the partitions still come back in global order
-        assert rows == [(f"w{i:04d}", i + 1) for i in range(300)]
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-
-
-def test_top_k_large_k_uses_distributed_numbering(spark, monkeypatch):
-    from wordmill.operators import rank
-    monkeypatch.setattr(rank, "WINDOW_RANK_MAX_ROWS", 2)
+def test_numbering_splits_identical_rows(spark):
+    rows = [(0, 0)] * 3000 + [(k, 0) for k in range(1, 6001)]
+    out = numbered(spark.createDataFrame(rows, "k int, v int"), ["k"], num_partitions=6)
+    parts = out.rdd.glom().map(lambda part: [(r["k"], r["i"]) for r in part]).collect()
+    assert max(sum(k == 0 for k, _ in part) for part in parts) < 3000
+    flat = [x for part in parts for x in part]
+    assert sorted(i for _, i in flat) == list(range(1, 9001))
+    assert sorted(i for k, i in flat if k == 0) == list(range(1, 3001))
+    assert [k for k, _ in flat] == sorted(k for k, _ in flat)  # the order is kept
+
+
+def test_rank_words_ranks_the_whole_set(spark):
     df = counts(spark, [("b", 5), ("a", 5), ("ab", 5), ("z", 10), ("q", 9)])
-    got = [(r["word"], r["rank"]) for r in rank.top_words(df, k=4).orderBy("rank").collect()]
-    assert got == [("z", 1), ("q", 2), ("b", 3), ("ab", 4)]
+    got = [(r["word"], r["rank"]) for r in rank_words(df, num_partitions=3).orderBy("rank").collect()]
+    assert got == [("z", 1), ("q", 2), ("b", 3), ("ab", 4), ("a", 5)]
 
 
 def test_top_k_matches_sort_nr_model(spark):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from wordmill.functions import runlog as R
 from wordmill.operators import runlog as ops
 
@@ -104,10 +106,22 @@ def test_log_summary(spark):
                   ops.Counter("reduce_tasks", "Launched reduce tasks", default=1)],
         line_counts={"reexec": "Resubmitting", "failed": "failed"})
     got = {r["run"]: r.asDict() for r in s.collect()}
-    assert got["r1"] == {"run": "r1", "n_lines": 7, "map_tasks": 15, "reduce_tasks": 1,
+    assert got["r1"] == {"run": "r1", "n_lines": 7, "map_tasks": "15", "map_tasks_value": 15,
+                         "reduce_tasks": "1", "reduce_tasks_value": 1,
                          "reexec": 1, "failed": 1, "status": "SUCCESS"}
-    assert got["r2"]["map_tasks"] == 8 and got["r2"]["reduce_tasks"] == 1
-    assert got["r2"]["status"] == "FAILURE"
+    assert got["r2"]["map_tasks"] == "8\n9" and got["r2"]["map_tasks_value"] == 8
+    assert got["r2"]["reduce_tasks_value"] == 1 and got["r2"]["status"] == "FAILURE"
+
+
+def test_log_summary_keeps_every_number_and_text_defaults(spark):
+    rows = [("r", 2, "Launched map tasks=4 of=9"), ("r", 1, "Launched map tasks=3"), ("r", 2, "Launched map tasks=4 of=7"),
+            ("s", 1, "nothing here")]
+    df = spark.createDataFrame(rows, "run string, line_no int, line string")
+    got = {r["run"]: r for r in ops.log_summary(
+        df, by=["run"], counters=[ops.Counter("m", "Launched map tasks", default="N/A")],
+        success_marker=None).collect()}
+    assert (got["r"]["m"], got["r"]["m_value"]) == ("3\n4\n7\n4\n9", 3)
+    assert (got["s"]["m"], got["s"]["m_value"]) == ("N/A", None)
 
 
 def test_block_and_replica_footprint(spark):
@@ -170,10 +184,10 @@ def test_log_summary_marker_line_without_number(spark):
                                "run string, line_no int, line string")
     got = ops.log_summary(df, by=["run"], counters=[ops.Counter("m", "Launched map tasks")],
                           success_marker=None).first()
-    assert got["m"] == 4
+    assert (got["m"], got["m_value"]) == ("4", 4)
     only_bare = df.where("line_no = 1")
     assert ops.log_summary(only_bare, by=["run"], counters=[ops.Counter("m", "Launched map tasks")],
-                           success_marker=None).first()["m"] == 0
+                           success_marker=None).first()["m_value"] == 0
 
 
 def test_elapsed_with_zoned_timestamps(spark):
@@ -190,6 +204,42 @@ def test_elapsed_with_zoned_timestamps(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_elapsed_over_daylight_saving_changes(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        # The clocks of New York change at 07:00 UTC on 2024-03-10 and 06:00 UTC on 2024-11-03.
+        spans = spark.sql(
+            "SELECT * FROM VALUES (TIMESTAMP'2024-03-10 06:59:00 UTC', TIMESTAMP'2024-03-10 07:01:00 UTC'),"
+            "(TIMESTAMP'2024-11-03 05:59:00 UTC', TIMESTAMP'2024-11-03 06:01:00 UTC') AS t(a, b)")
+        for r in spans.select(R.elapsed_seconds("a", "b"), R.elapsed_whole_seconds("a", "b"),
+                              R.elapsed_text("a", "b")).collect():
+            assert tuple(r) == (120.0, 120, "2m 0s")
+        walls = spark.sql(
+            "SELECT * FROM VALUES (TIMESTAMP_NTZ'2024-03-10 02:30:00', TIMESTAMP_NTZ'2024-03-10 03:30:00'),"
+            "(TIMESTAMP_NTZ'2024-11-03 00:30:00', TIMESTAMP_NTZ'2024-11-03 01:30:00'),"
+            "(TIMESTAMP_NTZ'1969-12-31 23:59:59.5', TIMESTAMP_NTZ'1970-01-01 00:59:59.5') AS t(a, b)")
+        for r in walls.select(R.elapsed_seconds("a", "b"), R.elapsed_whole_seconds("a", "b"),
+                              R.elapsed_text("a", "b")).collect():
+            assert tuple(r) == (3600.0, 3600, "60m 0s")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("sep", ["; ", "||", "|", ";"])
+def test_kv_value_with_longer_separators(spark, sep):
+    record = sep.join(["A=hello world", "AB=1;2|3" if len(sep) > 1 else "AB=123", "B=2"])
+    df = spark.createDataFrame([(record,)], "record string")
+    got = df.select(*[R.kv_value("record", k, pair_sep=sep) for k in ("A", "AB", "B", "C")]).first()
+    assert tuple(got) == ("hello world", "1;2|3" if len(sep) > 1 else "123", "2", None)
+
+
+def test_whole_numbers_are_exact(spark):
+    df = spark.createDataFrame([(2 ** 61 + 1,)], "m long")
+    assert df.select(R.max_containers("m")).first()[0] == (2 * (2 ** 61 + 1) - 512) // 1024
+
+
 def test_footprints_of_an_empty_input(spark):
     empty = spark.createDataFrame([], "text string")
     got = [(r["block_size_mb"], r["files"], r["bytes"], r["blocks"], r["metadata_bytes"])

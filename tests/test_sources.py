@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import time
 
+import pytest
+
 import duckdb
 from pyspark.sql import functions as F
 
@@ -13,7 +15,8 @@ from wordmill.plans.registry import _corpus_sql
 from wordmill.sources.corpus import VOCABULARY, corpus, corpus_for
 from wordmill.sources.splits import split_report
 from wordmill.plans.sweeps import split_size_sweep
-from wordmill.streaming.wordcount import start_word_count
+from wordmill.sources.text import InputNotFound
+from wordmill.streaming.wordcount import latest_counts, start_word_count
 
 
 def test_corpus_line_shape_and_blocks(spark):
@@ -74,15 +77,18 @@ def test_streaming_word_count_incremental(spark, scratch):
         fh.write("The cat\nthe dog\n")
     q = start_word_count(spark, inp, out, ckpt)
     q.awaitTermination(120)
-    first = {r["word"]: r["count"] for r in spark.read.parquet(out).collect()}
+    first = {r["word"]: r["count"] for r in latest_counts(spark, out).collect()}
     assert first == {"the": 2, "cat": 1, "dog": 1}
     time.sleep(1)
     with open(os.path.join(inp, "b.txt"), "w") as fh:
         fh.write("THE end.\n")
     q = start_word_count(spark, inp, out, ckpt)
     q.awaitTermination(120)
-    second = {r["word"]: r["count"] for r in spark.read.parquet(out).collect()}
+    second = {r["word"]: r["count"] for r in latest_counts(spark, out).collect()}
     assert second == {"the": 3, "cat": 1, "dog": 1, "end": 1}
+    # A batch that is still being written has no _SUCCESS file and is not read.
+    os.makedirs(os.path.join(out, "epoch-999999999999"))
+    assert latest_counts(spark, out).count() == 4
 
 
 def test_split_size_sweep_report(spark, scratch):
@@ -94,7 +100,11 @@ def test_split_size_sweep_report(spark, scratch):
     got = [(r["i"], r["BLOCKSIZE"], r["BLOCOS"], r["MAP_TASKS"], r["METADATA"])
            for r in rep.orderBy("i").collect()]
     assert got == [(1, 1, 5, 5, 750), (2, 2, 3, 3, 450)]
-    assert all(r["TEMPO_WC"] > 0 for r in rep.collect())
+    assert all(r["TEMPO_WC"] > 0 and r["UPLOAD"] == 0 for r in rep.collect())
+    staged = split_size_sweep(spark, path, [1], stage_input=True).first()
+    assert staged["UPLOAD"] > 0 and staged["METADATA"] == 150 * staged["BLOCOS"]
+    with pytest.raises(InputNotFound):
+        split_size_sweep(spark, path + ".missing", [1])
 
 
 def test_streaming_raw_token_count(spark, scratch):
@@ -105,5 +115,5 @@ def test_streaming_raw_token_count(spark, scratch):
     out = os.path.join(scratch, "out")
     q = start_word_count(spark, inp, out, os.path.join(scratch, "ckpt"), normalized=False)
     q.awaitTermination(120)
-    got = {r["word"]: r["count"] for r in spark.read.parquet(out).collect()}
+    got = {r["word"]: r["count"] for r in latest_counts(spark, out).collect()}
     assert got == {"The": 1, "the": 2, "THE,": 1}

@@ -1,45 +1,33 @@
-"""Scan spreading: only scans with fewer read tasks than cores are spread."""
+"""Table sources: the caller decides whether a scan is dealt out."""
 
 from __future__ import annotations
 
-import os
-
 from wordmill.plans.inspect import physical_lines
-from wordmill.sources.tables import read_table, spread
+from wordmill.plans.registry import QUERIES
+from wordmill.sources.tables import SCAN_PARTITIONS, read_table
+
+DOCUMENTS = "/root/testdata/sf0.01/documents.parquet"
 
 
-def test_few_tasks_are_spread(spark):
-    df = read_table(spark, "/root/testdata/sf0.01/documents.parquet", ["text"])
-    cores = spark.sparkContext.defaultParallelism
-    assert df.rdd.getNumPartitions() < cores
-    out = spread(df)
-    assert out.rdd.getNumPartitions() == 2 * cores
+def test_a_scan_is_left_alone_unless_asked(spark):
+    df = read_table(spark, DOCUMENTS, ["text"])
+    assert not any("Exchange" in ln for ln in physical_lines(df))
+    out = read_table(spark, DOCUMENTS, ["text"], partitions=12)
+    assert out.rdd.getNumPartitions() == 12
     assert any("RoundRobinPartitioning" in ln for ln in physical_lines(out))
 
 
-def test_enough_tasks_are_left_alone(spark, scratch):
-    cores = spark.sparkContext.defaultParallelism
-    path = os.path.join(scratch, "many")
-    spark.range(0, 10_000, 1, 4 * cores).selectExpr("cast(id as string) as text") \
-        .write.option("maxRecordsPerFile", 10_000 // (4 * cores)).parquet(path)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+def test_registered_queries_read_the_session_setting(spark):
+    def dealt(df):
+        return any("RoundRobinPartitioning" in ln for ln in physical_lines(df))
+    assert not dealt(QUERIES["tokenize"](spark, "/root/testdata/sf0.01"))
+    spark.conf.set(SCAN_PARTITIONS, "4")
     try:
-        df = read_table(spark, path, ["text"])
-        assert df.rdd.getNumPartitions() >= cores
-        assert spread(df) is df
+        assert dealt(QUERIES["tokenize"](spark, "/root/testdata/sf0.01"))
     finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset(SCAN_PARTITIONS)
 
 
-def test_one_row_group_planned_as_many_splits_is_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1024 * 1024))
-    try:
-        df = read_table(spark, "/root/testdata/sf0.1/documents.parquet", ["text"])
-        planned = df.rdd.getNumPartitions()
-        assert cores <= planned < 4 * cores  # the range where planning alone is not enough
-        out = spread(df, check_row_groups=True)
-        assert out is not df and out.rdd.getNumPartitions() == 2 * cores
-        assert spread(df) is df  # without the footer check the plan looks busy enough
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+def test_merge_counts_plan(spark):
+    plan = physical_lines(QUERIES["merge_counts"](spark, "/root/testdata/sf0.01"))
+    assert sum("Exchange" in ln for ln in plan) <= 6

@@ -34,7 +34,8 @@ def kv_value(col: str | Column, key: str, pair_sep: str = "|", kv_sep: str = "="
     The first occurrence wins. An empty value is null.
     """
     ps = regex_quote(pair_sep)
-    pattern = f"(?:^|{ps}){regex_quote(key)}{regex_quote(kv_sep)}([^{ps}]*)"
+    # Up to the separator itself, which may be longer than one character.
+    pattern = f"(?s)(?:^|{ps}){regex_quote(key)}{regex_quote(kv_sep)}(.*?)(?:{ps}|\\z)"
     return F.nullif(F.regexp_extract(_col(col), pattern, 1), F.lit(""))
 
 
@@ -45,10 +46,34 @@ def or_default(col: str | Column, default) -> Column:
     return F.coalesce(F.nullif(_col(col).cast("string"), F.lit("")), fallback)
 
 
+_MICROS = 1_000_000
+
+
+def _div(a: Column, b: int) -> Column:
+    """Integer division that truncates toward zero (exact for any BIGINT)."""
+    return F.call_function("div", a, F.lit(b))
+
+
+def epoch_micros(ts: str | Column) -> Column:
+    """Microseconds since 1970, independent of the session time zone.
+
+    A TIMESTAMP is an instant: its own microseconds, as ``date +%s`` counts
+    them. A TIMESTAMP_NTZ (how parquet times read) is a wall-clock time with
+    no zone: its day number and time of day. The type is known when the plan
+    is made, so only one branch remains in it.
+    """
+    c = _col(ts)
+    instant = F.unix_micros(c.cast("timestamp"))
+    wall = c.cast("timestamp_ntz")
+    # date_part('SECOND') is DECIMAL(8,6): seconds with the fraction, exact.
+    second = (F.date_part(F.lit("SECOND"), wall) * F.lit(_MICROS)).cast("long")
+    minutes = ((F.unix_date(wall.cast("date")).cast("long") * 24 + F.hour(wall)) * 60 + F.minute(wall))
+    return F.when(F.typeof(c) == "timestamp", instant).otherwise(minutes * (60 * _MICROS) + second)
+
+
 def micros_between(start: str | Column, end: str | Column) -> Column:
-    """Microseconds from ``start`` to ``end``. TIMESTAMP_NTZ values (how
-    parquet times read) are compared as wall-clock times, with no zone."""
-    return F.timestamp_diff("MICROSECOND", _col(start), _col(end))
+    """Microseconds from ``start`` to ``end`` (see :func:`epoch_micros`)."""
+    return epoch_micros(end) - epoch_micros(start)
 
 
 def elapsed_seconds(start: str | Column, end: str | Column) -> Column:
@@ -56,24 +81,23 @@ def elapsed_seconds(start: str | Column, end: str | Column) -> Column:
     return micros_between(start, end).cast("double") / F.lit(1e6)
 
 
-def _micros_of_second(ts: str | Column) -> Column:
-    # date_part('SECOND') is DECIMAL(8,6): seconds with the fraction, exact.
-    secs = F.date_part(F.lit("SECOND"), _col(ts))
-    return F.pmod((secs * F.lit(1_000_000)).cast("long"), F.lit(1_000_000))
+def _epoch_seconds(ts: str | Column) -> Column:
+    """Whole seconds, floored (``date +%s``)."""
+    micros = epoch_micros(ts)
+    return _div(micros - F.pmod(micros, F.lit(_MICROS)), _MICROS)
 
 
 def elapsed_whole_seconds(start: str | Column, end: str | Column) -> Column:
     """Difference of two whole-second stamps, as the reference's
     ``$((END - START))`` on ``date +%s`` values (each end floored first)."""
-    exact = micros_between(start, end) + _micros_of_second(start) - _micros_of_second(end)
-    return (exact / F.lit(1_000_000)).cast("long")
+    return _epoch_seconds(end) - _epoch_seconds(start)
 
 
 def elapsed_text(start: str | Column, end: str | Column) -> Column:
     """``Xm Ys`` with shell arithmetic ``X = d / 60``, ``Y = d % 60``
     (both truncate toward zero)."""
     d = elapsed_whole_seconds(start, end)
-    return F.concat((d / 60).cast("long").cast("string"), F.lit("m "),
+    return F.concat(_div(d, 60).cast("string"), F.lit("m "),
                     (d % 60).cast("string"), F.lit("s"))
 
 
@@ -81,8 +105,7 @@ def max_containers(memory_mb: str | Column) -> Column:
     """P10: ``max(1, (NODES * mem - 512) div 1024)``."""
     m = _col(memory_mb).cast("long")
     avail = m * NODES - AM_MEMORY_MB
-    per = F.floor(avail / CONTAINER_MB).cast("long")
-    return F.greatest(per, F.lit(MIN_CONTAINERS).cast("long"))
+    return F.greatest(_div(avail, CONTAINER_MB), F.lit(MIN_CONTAINERS).cast("long"))
 
 
 def vcores_total(vcores: str | Column) -> Column:

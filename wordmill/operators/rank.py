@@ -19,11 +19,7 @@ def sorted_counts(df: DataFrame, word_col: str = "word", rank_col: str | None =
     """
     if rank_col is None:
         return range_sorted(df, [F.col(word_col)], num_partitions)
-    return global_index(df, [F.col(word_col)], rank_col, num_partitions)
-
-
-# Up to this many rows a top-k report is numbered by one window task.
-WINDOW_RANK_MAX_ROWS = 100_000
+    return global_index(df, [F.col(word_col)], rank_col, num_partitions, distinct_rows=True)
 
 
 def top_order(count_col: str = "count", word_col: str = "word") -> list[Column]:
@@ -37,17 +33,22 @@ def top_order(count_col: str = "count", word_col: str = "word") -> list[Column]:
 def top_words(df: DataFrame, k: int = 10, count_col: str = "count", word_col: str = "word",
               rank_col: str | None = "rank") -> DataFrame:
     """O2: the k most frequent words (planned as TakeOrderedAndProject: each
-    task keeps its own top k, so only k rows per task reach the merge)."""
+    task keeps its own top k). The k rows of every task meet in one task, so
+    this is for reports; :func:`rank_words` ranks whole result sets."""
     order = top_order(count_col, word_col)
     top = df.orderBy(*order).limit(k)
     if rank_col is None:
         return top
-    if k > WINDOW_RANK_MAX_ROWS:
-        return global_index(top, order, rank_col)
-    # At most k rows here, so a global window is bounded by k.
     return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
+def rank_words(df: DataFrame, count_col: str = "count", word_col: str = "word", rank_col: str = "rank",
+               num_partitions: int | None = None) -> DataFrame:
+    """O2 for a whole result set or a very large k: every word with its rank,
+    numbered by the distributed numbering (filter on the rank for a top k)."""
+    return global_index(df, top_order(count_col, word_col), rank_col, num_partitions, distinct_rows=True)
+
+
 def numbered(df: DataFrame, order: list[str | Column], name: str = "i",
              num_partitions: int | None = None) -> DataFrame:
     """O3: number report rows 1..n in ``order`` (the ``i=1; i++`` loop)."""

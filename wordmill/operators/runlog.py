@@ -21,6 +21,7 @@ from .rank import numbered
 # parameters (block sizes in MB, replication factors).
 METADATA_BYTES_PER_BLOCK = 150
 BLOCK_SIZES_MB = (32, 64, 128)
+MB = 1024 * 1024
 REPLICATION_FACTORS = (1, 2, 3)
 # `grep -oP "=\K\d+"`: every run of digits right after an equals sign.
 COUNTER_PATTERN = "=(\\d+)"
@@ -101,6 +102,22 @@ def parse_kv(df: DataFrame, fields: Sequence[Field | str], col: str = "record",
     return df.select(*keep, *[field_column(col, f, pair_sep, kv_sep) for f in specs])
 
 
+# The fields of the reference's five record layouts, in order.
+RECORD_LAYOUTS: dict[str, tuple[Field, ...]] = {
+    "block_size": (Field("BLOCKSIZE", "int"), Field("BLOCOS", "int"), Field("MAP_TASKS", "int"),
+                   Field("TEMPO_WC", "double"), Field("UPLOAD", "double"), Field("METADATA", "bigint")),
+    "node_memory": (Field("MEMORIA", "int"), Field("MAP_TASKS", "int"), Field("REDUCE_TASKS", "int"),
+                    Field("TEMPO_WC", "double"), Field("CONTAINERS_MAX", "bigint")),
+    "task_memory": (Field("MAP_MB", "int"), Field("REDUCE_MB", "int"), Field("MAP_TASKS", "int"),
+                    Field("REDUCE_TASKS", "int"), Field("REEXEC", "bigint"), Field("FAILED", "bigint"),
+                    Field("TEMPO_WC", "double")),
+    "replication": (Field("REPLICACAO", "int"), Field("UPLOAD", "double"), Field("LEITURA", "double"),
+                    Field("ESPACO_USADO"), Field("ESPACO_TOTAL"), Field("DATANODES", "int")),
+    "vcores": (Field("VCORES", "int"), Field("MAP_TASKS", "int"), Field("REDUCE_TASKS", "int"),
+               Field("TEMPO_WC", "double"), Field("VCORES_TOTAL", "bigint")),
+}
+
+
 def to_record(fields: Sequence[tuple[str, str | Column]], pair_sep: str = "|",
               kv_sep: str = "=") -> Column:
     """K4 line: ``KEY=VALUE`` pairs joined by ``|`` (the appended record)."""
@@ -145,26 +162,28 @@ def _sweep(agg_df: DataFrame, by: Sequence[str], param_col: str,
                   .select(*by, "_s.*"))
 
 
-def block_footprint(df: DataFrame, col: str = "text", sizes_mb: Sequence[int] = BLOCK_SIZES_MB,
-                    by: Sequence[str] = (), size_col: str = "block_size_mb") -> DataFrame:
+def block_footprint(df: DataFrame, col: str = "text", sizes: Sequence[int] = BLOCK_SIZES_MB,
+                    by: Sequence[str] = (), size_col: str = "block_size_mb",
+                    unit_bytes: int = MB) -> DataFrame:
     """Per block size, the files, bytes, blocks and metadata bytes.
 
     Each row is one file of ``octet_length(col)`` bytes; it takes
     ``ceil(bytes / block)`` blocks (an empty file takes none) and every block
-    costs 150 bytes of metadata. All sizes are summed in one scan.
+    costs 150 bytes of metadata. ``sizes`` are in units of ``unit_bytes``
+    (MB unless given). All sizes are summed in one scan.
     """
     nbytes = F.octet_length(F.col(col)).cast("long")
     # coalesce: an empty input takes 0 bytes and 0 blocks, not null.
     aggs = [F.count(F.lit(1)).alias("files"), F.coalesce(F.sum(nbytes), F.lit(0)).alias("bytes")]
     cols: dict[int, dict[str, str]] = {}
-    for s in sizes_mb:
+    for s in sizes:
         name = f"_blocks_{s}"
-        blocks = F.sum(F.ceil(nbytes / F.lit(s * 1024 * 1024))).cast("long")
+        blocks = F.sum(F.ceil(nbytes / F.lit(s * unit_bytes))).cast("long")
         aggs.append(F.coalesce(blocks, F.lit(0).cast("long")).alias(name))
         cols[s] = {"files": "files", "bytes": "bytes", "blocks": name}
     grouped = df.groupBy(*by) if by else df.groupBy()
     wide = grouped.agg(*aggs)
-    out = _sweep(wide, by, size_col, cols, sizes_mb)
+    out = _sweep(wide, by, size_col, cols, sizes)
     return out.withColumn("metadata_bytes", F.col("blocks") * METADATA_BYTES_PER_BLOCK)
 
 
@@ -191,8 +210,8 @@ def run_report(records: DataFrame, fields: Sequence[Field | str], order: Sequenc
 
 @dataclass(frozen=True)
 class Counter:
-    """A number pulled from the log lines that hold ``marker`` (P5); the
-    first one in log order is kept, else ``default`` (P7)."""
+    """The numbers on the log lines that hold ``marker`` (P5), all of them in
+    log order, else the text ``default`` (P7)."""
     name: str
     marker: str | Predicate
     default: object = 0
@@ -208,17 +227,26 @@ def log_summary(logs: DataFrame, by: Sequence[str] = ("run",), col: str = "line"
 
     Counters (P5+P7), marker line counts (A5, e.g. ``Resubmitting`` and
     ``failed``, case-sensitive) and the run status (A6).
+
+    A counter ``c`` gives two columns. ``c`` is text: every number found, in
+    line order, one per line as ``grep -o`` prints them, or the default as it
+    is (``N/A`` stays ``N/A``). ``c_value`` is the first of them as BIGINT
+    (null if it is no number). A run's numbers are kept in its row, as the
+    reference keeps them in a variable; for logs with very many marker lines
+    per run use :func:`extract_counters`, which gives one row each.
     """
     line = F.col(col)
     aggs: list[Column] = [F.count(F.lit(1)).alias("n_lines")]
     for ctr in counters:
-        hit = _pred(ctr.marker)(line)
-        # try_element_at: a marker line without a number gives null, not an error.
-        first = F.try_element_at(F.regexp_extract_all(line, F.lit(ctr.pattern), 1), F.lit(1))
-        candidate = F.when(hit, first)
-        # min_by over (line order) keeps the first matching value, bounded state.
-        picked = F.min_by(candidate, F.when(candidate.isNotNull(), F.col(order_col)))
-        aggs.append(R.or_default(picked, ctr.default).try_cast("bigint").alias(ctr.name))
+        found = F.regexp_extract_all(line, F.lit(ctr.pattern), 1)
+        hit = _pred(ctr.marker)(line) & (F.size(found) > 0)
+        # Lines of equal order sort by their numbers, so the result is the same on every run.
+        ordered = F.sort_array(F.collect_list(F.when(
+            hit, F.struct(F.col(order_col).alias("at"), found.alias("numbers")))))
+        numbers = F.flatten(F.transform(ordered, lambda o: o["numbers"]))
+        text = R.or_default(F.array_join(numbers, "\n"), ctr.default)
+        first = F.coalesce(F.try_element_at(numbers, F.lit(1)), F.lit(str(ctr.default)))
+        aggs += [text.alias(ctr.name), first.try_cast("bigint").alias(f"{ctr.name}_value")]
     for name, marker in (line_counts or {}).items():
         aggs.append(F.count_if(_pred(marker)(line)).alias(name))
     if success_marker is not None:

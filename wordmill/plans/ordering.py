@@ -23,9 +23,6 @@ from ..session import checkpoint_dir
 
 # monotonically_increasing_id() = (partition index << 33) + row position.
 _PARTITION_SHIFT = 33
-# The offsets table has one (int, long) row per partition; broadcast it only
-# up to this many partitions (a few MB), else join it by a shuffle.
-MAX_BROADCAST_PARTITIONS = 200_000
 
 
 def range_sorted(df: DataFrame, order: list[str | Column],
@@ -42,21 +39,28 @@ def range_sorted(df: DataFrame, order: list[str | Column],
 
 
 def global_index(df: DataFrame, order: list[str | Column], name: str = "rank",
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, distinct_rows: bool = False) -> DataFrame:
     """Add ``name`` = 1-based position of each row in ``order``.
 
     Rows with equal ``order`` keys are ordered by a hash of the whole row,
     which also lets the range partitioner split a key that holds a large
-    share of the rows instead of sending it to one task. The result keeps
-    the range partitioning and the order. This runs one job at call time
-    (the checkpoint).
+    share of the rows instead of sending it to one task. Identical rows are
+    counted first and numbered among themselves (copy 1..n), so they are split
+    as well, and a retried task numbers them as before; ``distinct_rows`` tells
+    that there are none (the counts of words) and saves that aggregation. The
+    result keeps the range partitioning and the order. This runs one job at
+    call time (the checkpoint).
     """
     cols = list(df.columns)
     checkpoint_dir(df.sparkSession)
     # Map columns cannot be hashed; the other columns still break ties.
     hashable = [F.col(c) for c, t in df.dtypes if "map<" not in t]
-    tie = F.xxhash64(*hashable) if hashable else F.lit(0)
-    frozen = range_sorted(df, [*order, tie], num_partitions).checkpoint(eager=True)
+    tie = [F.xxhash64(*hashable) if hashable else F.lit(0)]
+    if not distinct_rows:
+        df = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_wm_copies"))
+              .select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), "_wm_copies")).alias("_wm_copy")))
+        tie.append(F.col("_wm_copy"))
+    frozen = range_sorted(df, [*order, *tie], num_partitions).checkpoint(eager=True)
     tagged = frozen.select(
         *cols,
         F.spark_partition_id().alias("_wm_pid"),
@@ -68,17 +72,8 @@ def global_index(df: DataFrame, order: list[str | Column], name: str = "rank",
         (F.sum("_wm_n").over(Window.orderBy("_wm_pid")) - F.col("_wm_n")).alias("_wm_off"),
     )
     local_pos = F.col("_wm_mid") - F.shiftleft(F.col("_wm_pid").cast("long"), _PARTITION_SHIFT)
-    try:
-        parts = frozen.rdd.getNumPartitions()  # the checkpoint's partitions; no job runs
-    except Exception:  # no RDD access (Spark Connect): the table is still one row per partition
-        parts = 0
-    if parts <= MAX_BROADCAST_PARTITIONS:
-        # The broadcast join streams the checkpointed partitions in place, so
-        # the range partitioning and the order are kept.
-        return (tagged.join(F.broadcast(offsets), "_wm_pid")
-                      .select(*cols, (F.col("_wm_off") + local_pos + 1).alias(name)))
-    # Shuffle join: it moves rows by partition id, so restore the global order
-    # by range-partitioning on the (unique, dense) number.
-    numbered_rows = (tagged.join(offsets, "_wm_pid")
-                           .select(*cols, (F.col("_wm_off") + local_pos + 1).alias(name)))
-    return range_sorted(numbered_rows, [F.col(name)], parts)
+    # One (int, long) row per partition, whatever the data holds: a broadcast
+    # join streams the checkpointed partitions in place, so the range
+    # partitioning and the order are kept.
+    return (tagged.join(F.broadcast(offsets), "_wm_pid")
+                  .select(*cols, (F.col("_wm_off") + local_pos + 1).alias(name)))

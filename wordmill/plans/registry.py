@@ -7,7 +7,6 @@ its work grows with them. Column names and types are aligned with the SQL.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +17,9 @@ from ..functions import text as T
 from ..operators import rank, runlog
 from ..operators import text as ops
 from ..sources import corpus as corpus_src
-from ..sinks.text import write_counts
-from ..session import checkpoint_dir
-from ..sources.tables import read_table
+from ..sinks.text import append_run, stage, write_counts
+from ..session import scratch_path
+from ..sources.tables import read_table, scan_partitions
 from ..sources.text import read_counts, read_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,9 +35,10 @@ TEXT_TABLES = {
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
           spread: bool = False) -> DataFrame:
-    """A driver table; text-heavy queries ask for ``spread`` (see
-    :func:`wordmill.sources.tables.spread`)."""
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", columns, spread)
+    """A driver table; the rows of text-heavy queries (``spread``) are dealt
+    out first if the session asks for it (``sources.tables.SCAN_PARTITIONS``)."""
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", columns,
+                      scan_partitions(spark) if spread else None)
 
 
 def _page_query(url_col: str = "url"):
@@ -81,8 +81,9 @@ def q_token_rows(spark, sf_dir):
 
 
 def q_merge_counts(spark, sf_dir):
-    parts = [ops.word_count(table(spark, sf_dir, t, [c], True), c) for t, c in TEXT_TABLES.items()]
-    return ops.merge_counts(*parts)
+    # Raw counts of four tables are merged, and only the merged set is normalised.
+    parts = [ops.token_count(table(spark, sf_dir, t, [c], True), c) for t, c in TEXT_TABLES.items()]
+    return ops.normalize_counts(ops.merge_counts(*parts))
 
 
 def q_sorted_counts(spark, sf_dir):
@@ -95,6 +96,11 @@ def q_top_words(spark, sf_dir):
     return rank.top_words(ops.word_count(docs, "text"), k=10)
 
 
+def q_rank_words(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", ["text"], True)
+    return rank.rank_words(ops.word_count(docs, "text"))
+
+
 def q_word_count_line_first(spark, sf_dir):
     return ops.word_count_line_first(table(spark, sf_dir, "documents", ["text"], True), "text")
 
@@ -109,32 +115,61 @@ def q_top_tokens(spark, sf_dir):
     return rank.top_words(ops.token_count(docs, "text"), k=10)
 
 
-def _scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder. The returned frame
-    reads from it, so it is left in place (the checkpoint folder's own
-    retention applies)."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def q_counts_round_trip(spark, sf_dir):
     # K1 then S4: the counts go through a tab-separated file and back.
-    path = _scratch_path(spark, "counts")
+    path = f"{scratch_path(spark, 'counts')}/out"
     write_counts(ops.word_count(table(spark, sf_dir, "documents", ["text"], True), "text"), path)
     return read_counts(spark, path)
 
 
+def q_replace_output(spark, sf_dir):
+    # K2: the counts of one table are replaced by those of another.
+    path = f"{scratch_path(spark, 'replace')}/out"
+    write_counts(ops.word_count(table(spark, sf_dir, "benchmark", ["text"]), "text"), path)
+    write_counts(ops.word_count(table(spark, sf_dir, "conversations", ["text"], True), "text"), path,
+                 mode="overwrite")
+    return read_counts(spark, path)
+
+
+def q_stage_if_absent(spark, sf_dir):
+    # K3: the first staged input stays; staging another one is a no-op.
+    path = f"{scratch_path(spark, 'stage')}/in"
+    stage(table(spark, sf_dir, "conversations", ["text"]), path)
+    stage(table(spark, sf_dir, "benchmark", ["text"]), path)
+    return read_lines(spark, path, line_col="line")
+
+
+def q_append_records(spark, sf_dir):
+    # K4: one record per text table, the first replacing an earlier set.
+    path = f"{scratch_path(spark, 'records')}/records"
+    first = next(iter(TEXT_TABLES))
+    for name, col in [(first, TEXT_TABLES[first]), *TEXT_TABLES.items()]:  # the second one starts anew
+        size = table(spark, sf_dir, name, [col]).agg(
+            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(col)), F.lit(0)).alias("b"))
+        record = size.select(runlog.to_record(
+            [("TABELA", F.lit(name)), ("LINHAS", "n"), ("BYTES", "b")]).alias("value"))
+        append_run(record, path, first=(name == first))
+    fields = [runlog.Field("TABELA"), runlog.Field("LINHAS", "bigint"), runlog.Field("BYTES", "bigint")]
+    return runlog.parse_kv(read_lines(spark, path, line_col="record"), fields)
+
+
 def q_text_source_lines(spark, sf_dir):
     # The documents written as a text file (one value per row, each
     # followed by LF), then read back line by line by the text source.
-    path = _scratch_path(spark, "text")
+    path = f"{scratch_path(spark, 'text')}/out"
     table(spark, sf_dir, "documents", ["text"]).write.text(path)
     return read_lines(spark, path, line_col="line")
 
 
 def q_extract_counters(spark, sf_dir):
-    # Stand-in log lines: page URLs, marker "page=" (FIXTURES.md §7).
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return runlog.extract_counters(pages, "page=", col="url", keep=["page_id"])
+    # Stand-in log lines: a page's URL and its number, marker "page="
+    # (FIXTURES.md §7), so a line holds two numbers.
+    pages = table(spark, sf_dir, "pages").select("page_id", _numbered_url().alias("line"))
+    return runlog.extract_counters(pages, "page=", col="line", keep=["page_id"])
+
+
+def _numbered_url():
+    return F.concat("url", F.lit(" n="), F.col("page_id").cast("string"))
 
 
 def q_parse_kv(spark, sf_dir):
@@ -190,10 +225,19 @@ def q_run_status(spark, sf_dir):
     return runlog.status(conv, "The ", col="text", by=["conv_id"])
 
 
+# Block sizes small against the texts, so that each gives its own block count.
+SMALL_BLOCKS_KB = (1, 4, 16)
+
+
 def q_block_footprint(spark, sf_dir):
     return runlog.block_footprint(table(spark, sf_dir, "documents"), "text", by=["lang"])
 
 
+def q_block_footprint_kb(spark, sf_dir):
+    return runlog.block_footprint(table(spark, sf_dir, "documents"), "text", sizes=SMALL_BLOCKS_KB,
+                                  by=["lang"], size_col="block_size_kb", unit_bytes=1024)
+
+
 def q_replica_footprint(spark, sf_dir):
     return runlog.replica_footprint(table(spark, sf_dir, "documents"), "text", by=["lang"])
 
@@ -207,10 +251,11 @@ def q_numbered_report(spark, sf_dir):
 def q_run_report(spark, sf_dir):
     # Records written from the block-size sweep over documents (R5 -> K4),
     # then parsed back and numbered.
-    sweep = runlog.block_footprint(table(spark, sf_dir, "documents"), "text")
+    sweep = runlog.block_footprint(table(spark, sf_dir, "documents"), "text", sizes=SMALL_BLOCKS_KB,
+                                   size_col="size", unit_bytes=1024)
     records = sweep.select(
-        F.col("block_size_mb").alias("seq"),
-        runlog.to_record([("BLOCKSIZE", "block_size_mb"), ("BLOCOS", "blocks"),
+        F.col("size").alias("seq"),
+        runlog.to_record([("BLOCKSIZE", "size"), ("BLOCOS", "blocks"),
                           ("METADATA", "metadata_bytes")]).alias("record"))
     fields = [
         runlog.Field("BLOCKSIZE", "int"),
@@ -222,16 +267,40 @@ def q_run_report(spark, sf_dir):
     return runlog.run_report(records, fields, order=["seq"])
 
 
+# One setting per language: its documents stand in for a run, their number for
+# the map tasks, their characters for a memory or vcore setting.
+def _settings(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"),
+        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"),
+        F.count_if(F.col("text").contains("License")).alias("reexec"),
+        F.count_if(F.col("text").contains("the")).alias("failed")).withColumns({
+            "setting": (F.col("chars") % 10_000).cast("long"),
+            "seconds": (F.col("n") / F.lit(8)).cast("decimal(20,3)")})
+
+
+def q_layout(layout: str, columns: Callable[[], dict]) -> Query:
+    """R7 for one of the record layouts: write the records, parse, number."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fields = runlog.RECORD_LAYOUTS[layout]
+        given = columns()  # expressions need a session
+        values = [(f.key, given[f.key]) for f in fields if f.key in given]
+        records = _settings(spark, sf_dir).select("lang", runlog.to_record(values).alias("record"))
+        return runlog.run_report(records, fields, order=["lang"])
+    return run
+
+
 def q_log_summary(spark, sf_dir):
-    # Stand-in job logs: the turns of each conversation, in turn order.
-    conv = table(spark, sf_dir, "conversations")
-    logs = conv.select(F.col("conv_id"), F.col("turn").alias("line_no"),
-                       F.col("text").alias("line"))
+    # Stand-in job logs: the page URLs of each host in page order; a run
+    # succeeds when it has an .html page.
+    host = F.regexp_extract("url", r"//([^/]*)", 1)
+    logs = table(spark, sf_dir, "pages").select(
+        host.alias("host"), F.col("page_id").alias("line_no"), _numbered_url().alias("line"))
     return runlog.log_summary(
-        logs, by=["conv_id"], col="line", order_col="line_no",
-        counters=[runlog.Counter("map_tasks", "Launched map tasks", default=0)],
-        line_counts={"resubmits": "Resubmitting", "failed": "failed", "lines_the": "the"},
-        success_marker="The ")
+        logs, by=["host"], col="line", order_col="line_no",
+        counters=[runlog.Counter("pages", "page=", default="N/A"), runlog.Counter("feeds", "=feed", default=0)],
+        line_counts={"tops": "#top", "resubmits": "Resubmitting"}, success_marker=".html")
 
 
 def q_corpus_generate(spark, sf_dir):
@@ -257,10 +326,14 @@ QUERIES: dict[str, Query] = {
     "merge_counts": q_merge_counts,
     "sorted_counts": q_sorted_counts,
     "top_words": q_top_words,
+    "rank_words": q_rank_words,
     "word_count_line_first": q_word_count_line_first,
     "sorted_tokens": q_sorted_tokens,
     "top_tokens": q_top_tokens,
     "counts_round_trip": q_counts_round_trip,
+    "replace_output": q_replace_output,
+    "stage_if_absent": q_stage_if_absent,
+    "append_records": q_append_records,
     "text_source_lines": q_text_source_lines,
     "extract_counters": q_extract_counters,
     "parse_kv": q_parse_kv,
@@ -271,9 +344,23 @@ QUERIES: dict[str, Query] = {
     "count_matching": q_count_matching,
     "run_status": q_run_status,
     "block_footprint": q_block_footprint,
+    "block_footprint_kb": q_block_footprint_kb,
     "replica_footprint": q_replica_footprint,
     "numbered_report": q_numbered_report,
     "run_report": q_run_report,
+    "report_node_memory": q_layout("node_memory", lambda: {
+        "MEMORIA": "setting", "MAP_TASKS": "n", "TEMPO_WC": "seconds",
+        "CONTAINERS_MAX": R.max_containers("setting")}),
+    "report_task_memory": q_layout("task_memory", lambda: {
+        "MAP_MB": "setting", "REDUCE_MB": F.col("setting") * 2, "MAP_TASKS": "n", "REDUCE_TASKS": F.lit(1),
+        "REEXEC": "reexec", "FAILED": "failed", "TEMPO_WC": "seconds"}),
+    "report_replication": q_layout("replication", lambda: {
+        "REPLICACAO": F.lit(2), "UPLOAD": "seconds", "LEITURA": "seconds",
+        "ESPACO_USADO": F.concat(F.col("bytes").cast("string"), F.lit(" B")),
+        "ESPACO_TOTAL": F.concat((F.col("bytes") * 2).cast("string"), F.lit(" B")), "DATANODES": F.lit(2)}),
+    "report_vcores": q_layout("vcores", lambda: {
+        "VCORES": "setting", "MAP_TASKS": "n", "REDUCE_TASKS": F.lit(1), "TEMPO_WC": "seconds",
+        "VCORES_TOTAL": R.vcores_total("setting")}),
     "log_summary": q_log_summary,
     "corpus_generate": q_corpus_generate,
     "corpus_word_count": q_corpus_word_count,
@@ -316,6 +403,35 @@ def _kv_sql(col: str, key: str, sep: str) -> str:
 _TEXT_FILE_VALUE = "(coalesce(text, '') || chr(10))"
 _PAGES_Q = "SELECT page_id, regexp_extract(url, '\\?([^#]*)', 1) AS q FROM pages"
 _SIZES = "(VALUES (32), (64), (128)) s(sz)"
+_SMALL_SIZES = "(VALUES " + ", ".join(f"({k})" for k in SMALL_BLOCKS_KB) + ") s(sz)"
+_NUMBERED_URL = "(url || ' n=' || CAST(page_id AS VARCHAR))"
+_SETTINGS = (
+    "SELECT lang, count(*) AS n, CAST(sum(n_chars) % 10000 AS BIGINT) AS setting, "
+    "CAST(round(count(*) / 8, 3) AS DOUBLE) AS seconds, CAST(coalesce(sum(strlen(text)), 0) AS BIGINT) AS bytes, "
+    "count(*) FILTER (WHERE contains(text, 'License')) AS reexec, "
+    "count(*) FILTER (WHERE contains(text, 'the')) AS failed FROM documents GROUP BY lang")
+
+
+def _footprint_sql(sizes: str, unit: int, name: str) -> str:
+    return (f"SELECT lang, CAST(sz AS INTEGER) AS {name}, files, bytes, blocks, "
+            "blocks * 150 AS metadata_bytes FROM ("
+            "SELECT d.lang, s.sz, count(*) AS files, "
+            "CAST(coalesce(sum(strlen(d.text)), 0) AS BIGINT) AS bytes, "
+            f"CAST(coalesce(sum(ceil(strlen(d.text) / (s.sz * {unit}))), 0) AS BIGINT) AS blocks "
+            f"FROM documents d CROSS JOIN {sizes} GROUP BY d.lang, s.sz) g")
+
+
+def _layout_sql(columns: str) -> str:
+    return f"SELECT lang, {columns}, row_number() OVER (ORDER BY lang) AS i FROM ({_SETTINGS}) s"
+
+
+def _counter_sql(name: str, marker: str, default: str) -> str:
+    """All numbers of a host's marker lines in page order, and the first."""
+    found = (f"array_to_string(flatten(list(regexp_extract_all({_NUMBERED_URL}, '=(\\d+)', 1) ORDER BY page_id) "
+             f"FILTER (WHERE contains({_NUMBERED_URL}, '{marker}'))), chr(10))")
+    text = f"coalesce(nullif({found}, ''), '{default}')"
+    return f"{text} AS {name}, TRY_CAST(string_split({text}, chr(10))[1] AS BIGINT) AS {name}_value"
+
 _FACTORS = "(VALUES (1), (2), (3)) f(r)"
 
 
@@ -377,7 +493,7 @@ ORACLE_SQL: dict[str, str] = {
     "extract_counters": (
         "SELECT page_id, pos, TRY_CAST(v AS BIGINT) AS value FROM ("
         "SELECT page_id, generate_subscripts(arr, 1) AS pos, unnest(arr) AS v FROM ("
-        "SELECT page_id, regexp_extract_all(url, '=(\\d+)', 1) AS arr FROM pages "
+        f"SELECT page_id, regexp_extract_all({_NUMBERED_URL}, '=(\\d+)', 1) AS arr FROM pages "
         "WHERE contains(url, 'page=')) a) b"),
     "parse_kv": (
         f"SELECT page_id, TRY_CAST({_kv_sql('q', 'page', '&')} AS INTEGER) AS page, "
@@ -408,13 +524,8 @@ ORACLE_SQL: dict[str, str] = {
     "run_status": (
         "SELECT conv_id, CASE WHEN bool_or(contains(text, 'The ')) THEN 'SUCCESS' "
         "ELSE 'FAILURE' END AS status FROM conversations GROUP BY conv_id"),
-    "block_footprint": (
-        "SELECT lang, CAST(sz AS INTEGER) AS block_size_mb, files, bytes, blocks, "
-        "blocks * 150 AS metadata_bytes FROM ("
-        "SELECT d.lang, s.sz, count(*) AS files, "
-        "CAST(coalesce(sum(strlen(d.text)), 0) AS BIGINT) AS bytes, "
-        "CAST(coalesce(sum(ceil(strlen(d.text) / (s.sz * 1048576))), 0) AS BIGINT) AS blocks "
-        f"FROM documents d CROSS JOIN {_SIZES} GROUP BY d.lang, s.sz) g"),
+    "block_footprint": _footprint_sql(_SIZES, 1048576, "block_size_mb"),
+    "block_footprint_kb": _footprint_sql(_SMALL_SIZES, 1024, "block_size_kb"),
     "replica_footprint": (
         "SELECT lang, CAST(r AS INTEGER) AS replication, logical_bytes, "
         "logical_bytes * r AS total_bytes FROM ("
@@ -426,8 +537,8 @@ ORACLE_SQL: dict[str, str] = {
         "FROM labels GROUP BY quality, toxic"),
     "run_report": (
         "WITH fp AS (SELECT s.sz, "
-        "CAST(coalesce(sum(ceil(strlen(d.text) / (s.sz * 1048576))), 0) AS BIGINT) "
-        f"AS blocks FROM documents d CROSS JOIN {_SIZES} GROUP BY s.sz), "
+        "CAST(coalesce(sum(ceil(strlen(d.text) / (s.sz * 1024))), 0) AS BIGINT) "
+        f"AS blocks FROM documents d CROSS JOIN {_SMALL_SIZES} GROUP BY s.sz), "
         "rec AS (SELECT CAST(sz AS INTEGER) AS seq, 'BLOCKSIZE=' || sz || '|BLOCOS=' || blocks || "
         "'|METADATA=' || (blocks * 150) AS record FROM fp) "
         f"SELECT seq, TRY_CAST({_kv_sql('record', 'BLOCKSIZE', '|')} AS INTEGER) AS BLOCKSIZE, "
@@ -437,15 +548,33 @@ ORACLE_SQL: dict[str, str] = {
         f"TRY_CAST({_kv_sql('record', 'METADATA', '|')} AS BIGINT) AS METADATA, "
         "row_number() OVER (ORDER BY seq) AS i FROM rec"),
     "log_summary": (
-        "SELECT conv_id, count(*) AS n_lines, "
-        "TRY_CAST(COALESCE(NULLIF(arg_min(regexp_extract_all(text, '=(\\d+)', 1)[1], turn) "
-        "FILTER (WHERE contains(text, 'Launched map tasks') "
-        "AND len(regexp_extract_all(text, '=(\\d+)', 1)) > 0), ''), '0') AS BIGINT) AS map_tasks, "
-        "count(*) FILTER (WHERE contains(text, 'Resubmitting')) AS resubmits, "
-        "count(*) FILTER (WHERE contains(text, 'failed')) AS failed, "
-        "count(*) FILTER (WHERE contains(text, 'the')) AS lines_the, "
-        "CASE WHEN bool_or(contains(text, 'The ')) THEN 'SUCCESS' ELSE 'FAILURE' END AS status "
-        "FROM conversations GROUP BY conv_id"),
+        "SELECT regexp_extract(url, '//([^/]*)', 1) AS host, count(*) AS n_lines, "
+        + _counter_sql("pages", "page=", "N/A") + ", " + _counter_sql("feeds", "=feed", "0") + ", "
+        "count(*) FILTER (WHERE contains(url, '#top')) AS tops, "
+        "count(*) FILTER (WHERE contains(url, 'Resubmitting')) AS resubmits, "
+        "CASE WHEN bool_or(contains(url, '.html')) THEN 'SUCCESS' ELSE 'FAILURE' END AS status "
+        "FROM pages GROUP BY 1"),
+    "rank_words": (
+        "SELECT word, count, row_number() OVER (ORDER BY count DESC, word || chr(9) DESC) AS rank "
+        f"FROM ({_word_count_sql('documents', 'text')}) c"),
+    "replace_output": _word_count_sql("conversations", "text"),
+    "stage_if_absent": (
+        f"SELECT unnest({_lines_array_sql(_TEXT_FILE_VALUE)}) AS line FROM conversations"),
+    "append_records": " UNION ALL ".join(
+        f"SELECT '{t}' AS TABELA, count(*) AS LINHAS, CAST(coalesce(sum(strlen({c})), 0) AS BIGINT) AS BYTES FROM {t}"
+        for t, c in TEXT_TABLES.items()),
+    "report_node_memory": _layout_sql(
+        "CAST(setting AS INTEGER) AS MEMORIA, CAST(n AS INTEGER) AS MAP_TASKS, CAST(NULL AS INTEGER) AS REDUCE_TASKS, "
+        "seconds AS TEMPO_WC, greatest(CAST(floor((setting * 2 - 512) / 1024) AS BIGINT), 1) AS CONTAINERS_MAX"),
+    "report_task_memory": _layout_sql(
+        "CAST(setting AS INTEGER) AS MAP_MB, CAST(setting * 2 AS INTEGER) AS REDUCE_MB, "
+        "CAST(n AS INTEGER) AS MAP_TASKS, 1 AS REDUCE_TASKS, reexec AS REEXEC, failed AS FAILED, seconds AS TEMPO_WC"),
+    "report_replication": _layout_sql(
+        "2 AS REPLICACAO, seconds AS UPLOAD, seconds AS LEITURA, bytes || ' B' AS ESPACO_USADO, "
+        "(bytes * 2) || ' B' AS ESPACO_TOTAL, 2 AS DATANODES"),
+    "report_vcores": _layout_sql(
+        "CAST(setting AS INTEGER) AS VCORES, CAST(n AS INTEGER) AS MAP_TASKS, 1 AS REDUCE_TASKS, "
+        "seconds AS TEMPO_WC, setting * 2 AS VCORES_TOTAL"),
     "corpus_generate": _CORPUS_EVENTS,
     "corpus_word_count": (
         "SELECT word, count(*) AS count FROM ("

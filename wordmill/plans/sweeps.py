@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from ..operators.runlog import METADATA_BYTES_PER_BLOCK, Field, run_report, to_record
 from ..operators.text import token_count, word_count
-from ..session import checkpoint_dir
-from ..sinks.text import append_run
-from ..sources.splits import MB, read_tasks
+from ..session import scratch_path
+from ..sinks.text import append_run, stage
+from ..sources.splits import MB, read_tasks, session_with_splits
 from ..sources.text import read_lines
 
 SWEEP_FIELDS = [
@@ -29,6 +29,7 @@ SWEEP_FIELDS = [
     Field("BLOCOS", "int"),
     Field("MAP_TASKS", "int"),
     Field("TEMPO_WC", "double"),
+    Field("UPLOAD", "double"),
     Field("METADATA", "bigint"),
 ]
 
@@ -43,30 +44,38 @@ def blocks_of(spark: SparkSession, path: str, block_mb: int) -> int:
 
 def split_size_sweep(spark: SparkSession, path: str, sizes_mb: Sequence[int],
                      records_path: str | None = None, normalized: bool = False,
-                     fmt: str = "text") -> DataFrame:
-    """Run the count once per split size; return the numbered report."""
+                     stage_input: bool = False) -> DataFrame:
+    """Run the count once per split size; return the numbered report.
+
+    With ``stage_input`` each setting first stages its own copy of the input,
+    as the reference does (``UPLOAD`` is that time in seconds, else 0). The split
+    size is set in a child session, so other queries never see it. A missing
+    ``path`` raises :class:`~wordmill.sources.text.InputNotFound` (S5).
+    """
+    source = read_lines(spark, path)
     if records_path is None:
-        records_path = f"{checkpoint_dir(spark).rstrip('/')}/sweep-{int(time.time() * 1e3)}"
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    try:
-        for seq, size in enumerate(sizes_mb, start=1):
-            spark.conf.set(key, str(size * MB))
-            lines = spark.read.format(fmt).load(path).select(F.col("value"))
-            counts = word_count(lines, "value") if normalized else token_count(lines, "value")
+        records_path = f"{scratch_path(spark, 'sweep')}/records"
+    for seq, size in enumerate(sizes_mb, start=1):
+        child = session_with_splits(spark, size)
+        staged, upload = path, 0.0
+        if stage_input:
+            staged = f"{scratch_path(spark, 'sweep-input')}/input"
             t0 = time.perf_counter()
-            counts.write.format("noop").mode("overwrite").save()
-            seconds = time.perf_counter() - t0
-            tasks = read_tasks(spark, path, fmt)
-            blocks = blocks_of(spark, path, size)
-            record = spark.range(1).select(to_record([
-                ("SEQ", F.lit(seq)), ("BLOCKSIZE", F.lit(size)), ("BLOCOS", F.lit(blocks)),
-                ("MAP_TASKS", F.lit(tasks)), ("TEMPO_WC", F.lit(round(seconds, 3))),
-                ("METADATA", F.lit(blocks * METADATA_BYTES_PER_BLOCK)),
-            ]).alias("value"))
-            append_run(record, records_path, first=(seq == 1))
-    finally:
-        spark.conf.set(key, before)
+            stage(source, staged)
+            upload = time.perf_counter() - t0
+        lines = read_lines(child, staged)
+        counts = word_count(lines, "value") if normalized else token_count(lines, "value")
+        t0 = time.perf_counter()
+        counts.write.format("noop").mode("overwrite").save()
+        seconds = time.perf_counter() - t0
+        tasks = read_tasks(child, staged)
+        blocks = blocks_of(child, staged, size)
+        record = spark.range(1).select(to_record([
+            ("SEQ", F.lit(seq)), ("BLOCKSIZE", F.lit(size)), ("BLOCOS", F.lit(blocks)),
+            ("MAP_TASKS", F.lit(tasks)), ("TEMPO_WC", F.lit(round(seconds, 3))),
+            ("UPLOAD", F.lit(round(upload, 3))), ("METADATA", F.lit(blocks * METADATA_BYTES_PER_BLOCK)),
+        ]).alias("value"))
+        append_run(record, records_path, first=(seq == 1))
     recs = read_lines(spark, records_path).withColumnRenamed("value", "record")
     seq = F.regexp_extract("record", r"(?:^|\|)SEQ=(\d+)", 1).try_cast("int")
     recs = recs.withColumn("seq", seq)

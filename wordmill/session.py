@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -55,3 +56,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="wordmill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the shared checkpoint folder, deleted when the
+    application's JVM ends (Hadoop's ``deleteOnExit``)."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    hadoop_path = sc._jvm.org.apache.hadoop.fs.Path(path)
+    store = hadoop_path.getFileSystem(sc._jsc.hadoopConfiguration())
+    store.mkdirs(hadoop_path)
+    store.deleteOnExit(hadoop_path)
+    return path

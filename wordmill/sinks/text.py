@@ -22,16 +22,16 @@ def count_lines(df: DataFrame, word_col: str = "word", count_col: str = "count")
 
 def write_counts(df: DataFrame, path: str, mode: str = "errorifexists",
                  word_col: str = "word", count_col: str = "count",
-                 single_file: bool = False) -> None:
+                 max_lines_per_file: int | None = None) -> None:
     """K1/K2: write (word, count) as tab-separated text.
 
     Keeps the partitioning of ``df``: a range-sorted frame (O1) gives part
-    files in global word order. ``single_file`` is for small results only.
+    files in global word order; ``max_lines_per_file`` cuts them further.
     """
-    out = count_lines(df, word_col, count_col)
-    if single_file:
-        out = out.coalesce(1)
-    out.write.mode(mode).text(path)
+    writer = count_lines(df, word_col, count_col).write.mode(mode)
+    if max_lines_per_file:
+        writer = writer.option("maxRecordsPerFile", max_lines_per_file)
+    writer.text(path)
 
 
 def stage(df: DataFrame, path: str, fmt: str = "text") -> None:

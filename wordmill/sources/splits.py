@@ -17,6 +17,13 @@ from pyspark.sql import functions as F
 MB = 1024 * 1024
 
 
+def session_with_splits(spark: SparkSession, size_mb: int) -> SparkSession:
+    """A child session (same context, own settings) with this split size."""
+    child = spark.newSession()
+    child.conf.set("spark.sql.files.maxPartitionBytes", str(size_mb * MB))
+    return child
+
+
 def splits_of(spark: SparkSession, path: str | list[str], fmt: str = "text") -> DataFrame:
     """Distinct (file, split start) pairs of a scan, with their rows."""
     df = spark.read.format(fmt).load(path)
@@ -37,19 +44,14 @@ def split_report(spark: SparkSession, path: str | list[str], sizes_mb: Sequence[
     """One row per split size: (split_mb, tasks, splits, rows) - the
     planned read tasks, the splits that held rows, and the rows read.
 
-    The split size is a read-time setting, so each size is its own scan;
-    the session value is restored afterwards.
+    The split size is a read-time setting, so each size is its own scan, in a
+    child session of its own: other queries of ``spark`` never see it.
     """
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
     rows = []
-    try:
-        for size in sizes_mb:
-            spark.conf.set(key, str(size * MB))
-            tasks = read_tasks(spark, path, fmt)
-            got = splits_of(spark, path, fmt).agg(
-                F.count(F.lit(1)).alias("splits"), F.sum("rows").alias("rows")).first()
-            rows.append((int(size), tasks, int(got["splits"]), int(got["rows"] or 0)))
-    finally:
-        spark.conf.set(key, before)
+    for size in sizes_mb:
+        child = session_with_splits(spark, size)
+        tasks = read_tasks(child, path, fmt)
+        got = splits_of(child, path, fmt).agg(
+            F.count(F.lit(1)).alias("splits"), F.sum("rows").alias("rows")).first()
+        rows.append((int(size), tasks, int(got["splits"]), int(got["rows"] or 0)))
     return spark.createDataFrame(rows, "split_mb int, tasks int, splits long, rows long")

@@ -1,61 +1,31 @@
-"""Table sources and scan parallelism."""
+"""Table sources."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# A scan with at least this many read tasks per core is left alone without
-# looking closer: it has work for every core.
-CLEARLY_ENOUGH_TASKS_PER_CORE = 4
-
-
-def scan_partitions(df: DataFrame) -> int:
-    """Read tasks of a plain scan (plans the scan; runs no job). Only call it
-    on a scan without shuffles."""
-    return df.rdd.getNumPartitions()
-
-
-def busy_partitions(df: DataFrame) -> int:
-    """Read tasks of a parquet scan that get any rows. No column is read:
-    the row counts come from the row-group footers. Only used below
-    4 tasks per core, so the set of task ids is small."""
-    ids = df.select(F.spark_partition_id().alias("p")).agg(F.collect_set("p").alias("ids"))
-    return len(ids.first()["ids"])
-
-
-def spread(df: DataFrame, min_partitions: int | None = None,
-           check_row_groups: bool = False) -> DataFrame:
-    """Round-robin a scan that would keep fewer tasks busy than the cluster
-    has cores, so per-row work (tokenising long texts) uses every core.
-
-    A parquet row group is never split between tasks: a file of one large
-    row group is planned as several splits, but only one of them reads rows.
-    With ``check_row_groups`` a scan planned with between 1x and 4x as many
-    tasks as cores is checked by a footer-only job that counts the tasks
-    holding rows. A large input plans far more tasks than that and is left
-    unchanged without any check, so no shuffle is added where it would cost
-    a full copy.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        planned = scan_partitions(df)
-        if planned >= CLEARLY_ENOUGH_TASKS_PER_CORE * cores:
-            return df
-        if planned >= cores and not (check_row_groups and busy_partitions(df) < cores):
-            return df
-    except Exception:  # no SparkContext here (a Spark Connect client): leave the scan as is
-        return df
-    # Two tasks per core even out texts of very different lengths.
-    return df.repartition(min_partitions or 2 * cores)
+# A session setting that the registered queries read: into how many partitions
+# the rows of a scan are dealt out before per-row work (unset: as scanned).
+SCAN_PARTITIONS = "spark.wordmill.scanPartitions"
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None,
-               spread_rows: bool = False) -> DataFrame:
-    """Read a parquet table; ``columns`` are pruned at the scan, and with
-    ``spread_rows`` a scan that keeps too few tasks busy is spread (see
-    :func:`spread`)."""
+               partitions: int | None = None) -> DataFrame:
+    """Read a parquet table; ``columns`` are pruned at the scan.
+
+    A parquet row group is never split between tasks, so a table of a few
+    large row groups keeps few tasks busy. ``partitions`` deals its rows out
+    round-robin before the work on them; that shuffles the texts once, so it
+    is the caller's decision and off unless asked for. A large table has row
+    groups enough and needs none.
+    """
     df = spark.read.parquet(path)
     if columns:
         df = df.select(*columns)
-    return spread(df, check_row_groups=True) if spread_rows else df
+    return df.repartition(partitions) if partitions else df
+
+
+def scan_partitions(spark: SparkSession) -> int | None:
+    """The session's :data:`SCAN_PARTITIONS`, if set."""
+    value = spark.conf.get(SCAN_PARTITIONS, None)
+    return int(value) if value else None

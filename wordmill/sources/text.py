@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
@@ -32,11 +32,22 @@ def read_counts(spark: SparkSession, path: str, word_col: str = "word",
     """Read ``word<TAB>count`` lines back as (word STRING, count BIGINT).
 
     Not CSV: raw tokens may hold quotes or commas. The count is after the
-    last tab; a word never holds a tab (it is a token delimiter).
+    last tab; a word never holds a tab (it is a token delimiter). A line that
+    is no such pair fails the read, so a damaged result set is never merged
+    into a smaller total; ``bad_count_lines`` lists such lines.
     """
     lines = read_lines(spark, path)
+    damaged = F.raise_error(F.concat(F.lit("not a word<TAB>count line: "), "value")).cast("bigint")
     return lines.select(
         F.substring_index("value", "\t", 1).alias(word_col),
-        # A malformed line gives a null count instead of failing the read.
-        F.substring_index("value", "\t", -1).try_cast("bigint").alias(count_col),
+        F.coalesce(_count(), damaged).alias(count_col),
     )
+
+
+def _count() -> Column:
+    return F.when(F.col("value").contains("\t"), F.substring_index("value", "\t", -1).try_cast("bigint"))
+
+
+def bad_count_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a result set that are no ``word<TAB>count`` pair."""
+    return read_lines(spark, path).where(_count().isNull())

@@ -3,8 +3,9 @@
 The batch job counts one staged input; here new files dropped into the
 input folder are counted as they arrive, with the running totals kept in
 Spark's state store (partitioned by word, so state grows with the
-vocabulary, not with the text). Each micro-batch rewrites the full counts
-table, so readers always see a complete (word, count) set.
+vocabulary, not with the text). Each micro-batch writes the full counts to a
+folder of its own, and :func:`latest_counts` reads the newest folder that is
+complete, so a reader never sees half a result.
 
 The normalised count uses the single-aggregation form of A1 (a streaming
 query cannot chain two aggregations in complete mode); its result equals
@@ -27,7 +28,15 @@ def streaming_counts(lines: DataFrame, normalized: bool = True, col: str = "valu
     return word_count_line_first(lines, col) if normalized else token_count(lines, col)
 
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+def latest_counts(spark: SparkSession, output_path: str) -> DataFrame:
+    """The newest complete (word, count) set that the stream has published."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(output_path)
+    store = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    done = store.globStatus(sc._jvm.org.apache.hadoop.fs.Path(root, "epoch-*/_SUCCESS"))
+    if not done:
+        raise FileNotFoundError(output_path)
+    return spark.read.parquet(max(str(s.getPath().getParent()) for s in done))
 
 
 def start_word_count(spark: SparkSession, input_dir: str, output_path: str,
@@ -37,16 +46,14 @@ def start_word_count(spark: SparkSession, input_dir: str, output_path: str,
     """Start the stream. ``available_now`` processes what is there and stops
     (a repeatable incremental run); otherwise it runs on ``processing_time``.
 
-    The state (one row per distinct word) is kept in RocksDB unless the
-    session already names a state store, so a large vocabulary lives on
-    local disk instead of the executor heap.
+    The state (one row per distinct word) is kept by the session's state
+    store; for a large vocabulary name RocksDB there
+    (``spark.sql.streaming.stateStore.providerClass``).
 
     Pass the same ``checkpoint_location`` on every run to continue the
     totals (and to recover after a failure); without one a new folder under
     the shared checkpoint folder is used and counting starts afresh.
     """
-    if not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -54,8 +61,9 @@ def start_word_count(spark: SparkSession, input_dir: str, output_path: str,
     location = (checkpoint_location
                 or f"{checkpoint_dir(spark).rstrip('/')}/stream-wc-{uuid.uuid4().hex}")
 
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(output_path)
+    def publish(batch: DataFrame, epoch: int) -> None:
+        # A repeated epoch replaces its own folder only.
+        batch.write.mode("overwrite").parquet(f"{output_path}/epoch-{epoch:012d}")
 
     writer = (counts.writeStream.outputMode("complete")
               .option("checkpointLocation", location)
