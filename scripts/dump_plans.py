@@ -17,27 +17,29 @@ from wordmill.session import build_session  # noqa: E402
 
 NOTES = {
     "word_count_documents": "A1: the strip regex runs after the first shuffle, on distinct tokens only; "
-                            "the pinned filter sits on the final sum. The round-robin exchange is the "
-                            "scan spread (the table is one row group).",
+                            "the pinned filter sits on the final sum.",
     "word_count_conversations": "A1 on conversations: same plan.",
     "word_count_benchmark": "A1 on benchmark: same plan.",
     "word_count_pages": "A1 on the page HTML: same plan.",
     "word_count_line_first": "A1, single-shuffle form: strip per character of the text, one "
                              "aggregation (the streaming form).",
     "token_count_documents": "A2: one hash shuffle; `partial_count` runs before it (map-side combine).",
-    "merge_counts": "A3: four A1 plans; the final merge reuses their hash partitioning by word "
-                    "(no extra shuffle for the union).",
-    "line_scan": "S2: no shuffle besides the scan spread; lines split on LF by the JDK fast path.",
+    "merge_counts": "A3: four raw counts, one merge, and the normalisation of the merged set only.",
+    "line_scan": "S2: no shuffle; lines split on LF by the JDK fast path.",
     "text_source_lines": "S1: the text file written from documents, read back by the text source.",
     "counts_round_trip": "K1 then S4: A1 written as TSV, read back (the write is a separate job).",
-    "tokenize": "P1: per-row projection, no shuffle besides the scan spread.",
+    "tokenize": "P1: per-row projection, no shuffle.",
     "word_normalize": "P2/P3: distinct raw tokens (partial dedupe before the shuffle), then the strip.",
-    "token_rows": "P4: per-row generator, no shuffle besides the scan spread.",
+    "token_rows": "P4: per-row generator, no shuffle.",
     "sorted_counts": "O1: reads the checkpointed, range-sorted counts; the broadcast side is one row "
                      "per partition.",
     "sorted_tokens": "O1 over A2: same numbering plan over raw tokens.",
     "top_words": "O2: `TakeOrderedAndProject` keeps k rows per task.",
+    "rank_words": "O2 over the whole result: the distributed numbering, in rank order.",
     "top_tokens": "O2 over A2.",
+    "replace_output": "K2: written, replaced, read back (the writes are separate jobs).",
+    "stage_if_absent": "K3: staged twice, the first copy is read back.",
+    "append_records": "K4: one record per table appended, read back and parsed.",
     "extract_counters": "P5: the marker test is pushed into the parquet scan; no shuffle.",
     "parse_kv": "P6: per-row regex extraction; no shuffle.",
     "counter_default": "P7: per-row; no shuffle.",
@@ -48,9 +50,14 @@ NOTES = {
                       "partially aggregated.",
     "run_status": "A6: `bool_or` per conversation, partially aggregated.",
     "block_footprint": "R5: one scan, one aggregate column per block size, no join.",
+    "block_footprint_kb": "R5 with block sizes in KiB.",
     "replica_footprint": "R6: one scan, one aggregate, rows per factor by `explode`; no join.",
     "numbered_report": "O3: a tiny aggregate numbered by the checkpointed range numbering.",
     "run_report": "R7: R5 records written as K=V strings, parsed back, numbered.",
+    "report_node_memory": "R7: records of the node-memory layout, parsed and numbered.",
+    "report_task_memory": "R7: the task-memory layout.",
+    "report_replication": "R7: the replication layout.",
+    "report_vcores": "R7: the vcores layout.",
     "log_summary": "R8: one grouped pass; every metric is a partial aggregate.",
     "corpus_generate": "S3: per-row md5 draws keyed by event id; no shuffle.",
     "corpus_word_count": "S3 then A1.",
