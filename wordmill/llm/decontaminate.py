@@ -9,9 +9,10 @@ its placeholders; along one alignment (document position minus item position)
 the values must map one to one: the same item value always became the same
 document value, and different ones stayed different.
 
-Document windows are only hashes, and meet the item windows in a broadcast
-join when these are few (measured), else in a shuffle join. Texts are never
-shuffled here; matches are aggregated per document and item.
+Document windows are first only hashes, and meet the item windows in a
+broadcast join when these are few (measured), else in a shuffle join. Slots
+are looked at in documents that hold windows enough. Matches are aggregated
+per document and item.
 """
 
 from __future__ import annotations
@@ -45,40 +46,53 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(marked, r"[^\p{L}\p{N}\x01]+"), lambda t: t != "")
 
 
-def template(raw: Column) -> Column:
-    """The template of raw tokens: placeholders and lower-case words."""
-    units = F.array(*[F.lit(u) for u in UNITS])
+def _canonical(t: Column) -> Column:
+    """A raw token's place in the template. Most tokens are lower-case words:
+    they are told by two comparisons, before any pattern is tried."""
+    low = F.lower(t)
+    return (F.when((t >= "a") & (t < "{") & (low == t), F.when(t.isin(UNITS), _UNIT).otherwise(t))
+            .when(t.rlike(r"^\x01?\p{N}"), _NUMBER)
+            .when((low != t) & t.rlike(r"^\p{Lu}\p{Ll}+$"), _NAME)
+            .when(low.isin(UNITS), _UNIT)
+            .otherwise(F.translate(low, _START, "")))
 
-    def one(t: Column) -> Column:
-        low = F.lower(t)
-        return (F.when(t.rlike(r"^\x01?\p{N}"), _NUMBER)
-                .when((low != t) & t.rlike(r"^\p{Lu}\p{Ll}+$"), _NAME)
-                .when((F.length(t) <= 11) & F.array_contains(units, low), _UNIT)
-                .otherwise(F.translate(low, _START, "")))
-    return F.transform(raw, one)
+
+def _starts(column: str) -> Column:
+    """The first positions (from 0) of all windows; null if there is none."""
+    last = F.size(column) - WINDOW
+    return F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0))))
+
+
+def _hash(at: Column) -> Column:
+    return F.xxhash64(*[F.get("code", at + k) for k in range(WINDOW)])
+
+
+def _tokenised(rows: DataFrame, keys: list[str], text_col: str, *more: Column) -> DataFrame:
+    return (rows.select(*keys, tokens(text_or_empty(text_col)).alias("raw"))
+            .select(*keys, F.transform("raw", lambda t: F.xxhash64(_canonical(t))).alias("code"), *more))
+
+
+def hashes(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+    """``*keys, hash``: every window, as its hash alone."""
+    every = F.transform(_starts("code"), _hash)
+    return _tokenised(rows, keys, text_col).select(*keys, F.explode(every).alias("hash"))
 
 
 def windows(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     """``*keys, pos, hash, slots``: every window with at least
     :data:`MIN_WORDS` words; ``slots`` are its placeholders' raw values in
     order (null if it has none)."""
-    split = rows.select(*keys, tokens(text_or_empty(text_col)).alias("raw"))
-    split = split.withColumn("tpl", template(F.col("raw"))).withColumn(
-        "code", F.transform("tpl", lambda t: F.xxhash64(t)))
+    split = _tokenised(rows, keys, text_col, F.col("raw"), F.transform("raw", _canonical).alias("tpl"))
 
     def window(i: Column) -> Column:
-        part = F.slice("tpl", i, WINDOW)
+        part, raw = F.slice("tpl", i + 1, WINDOW), F.slice("raw", i + 1, WINDOW)
         n_slots = F.size(F.filter(part, lambda t: t.startswith("#")))
-        values = F.filter(F.zip_with(part, F.slice("raw", i, WINDOW), lambda t, r: F.when(
+        values = F.filter(F.zip_with(part, raw, lambda t, r: F.when(
             t.startswith("#"), F.concat(t, F.lower(F.translate(r, _START, ""))))), lambda v: v.isNotNull())
-        return F.struct(
-            i.cast("int").alias("pos"),
-            F.xxhash64(*[F.element_at("code", (i + k).cast("int")) for k in range(WINDOW)]).alias("hash"),
-            n_slots.alias("n_slots"), F.when(n_slots > 0, values).alias("slots"))
-
-    last = F.size("tpl") - (WINDOW - 1)
-    every = F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), window))
-    return (split.select(*keys, F.explode(every).alias("w"))
+        return F.struct(i.alias("pos"), _hash(i).alias("hash"), n_slots.alias("n_slots"),
+                        F.when(n_slots > 0, values).alias("slots"))
+
+    return (split.select(*keys, F.explode(F.transform(_starts("tpl"), window)).alias("w"))
             .where(F.col("w.n_slots") <= WINDOW - MIN_WORDS)
             .select(*keys, "w.pos", "w.hash", "w.slots"))
 
@@ -95,22 +109,36 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     than :data:`WINDOW` template tokens, or of hardly any word, has no window
     and is not looked for. Rows that repeat an id and a text are one document;
     ``text_key`` tells apart rows that share an id (or have none).
+
+    First all windows of all documents are joined by their hash alone; only
+    documents that hold windows enough of an item are read again, for the
+    positions and the slots.
     """
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("item_text")).distinct()
-    items = (windows(items, ["item_id"], "item_text")
-             .select("item_id", F.col("pos").alias("item_pos"), "hash", F.col("slots").alias("item_slots")))
-    items = frozen(items)
+    items = frozen(windows(items, ["item_id"], "item_text")
+                   .select("item_id", F.col("pos").alias("item_pos"), "hash", F.col("slots").alias("item_slots")))
     wanted = frozen(items.groupBy(F.col("item_id").alias("wanted_id"))
                     .agg(F.count_distinct("item_pos").alias("n_windows")))
+    same_item = F.col("item_id").eqNullSafe(F.col("wanted_id"))
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        text_key(text_col).alias("text_key"))
-    found = (windows(rows, ["id", "text_key"], "text")
+    who = ["id", "text_key"]
+    likely = (hashes(rows, who, "text")
+              .join(broadcast_if_small(items.select("item_id", "item_pos", "hash"), 64), "hash")
+              .groupBy(*who, "item_id").agg(F.size(F.collect_set("item_pos")).alias("n_held"))
+              .join(broadcast_if_small(wanted, 32), same_item)
+              .where(F.col("n_held") >= min_coverage * F.col("n_windows"))
+              .select(F.col("id").alias("likely_id"), F.col("text_key").alias("likely_key")).distinct())
+    likely = broadcast_if_small(frozen(likely), 32)
+    again = rows.join(likely, F.col("id").eqNullSafe(F.col("likely_id"))
+                      & (F.col("text_key") == F.col("likely_key")), "left_semi")
+    found = (windows(again, who, "text")
              .join(broadcast_if_small(items, 128), "hash")
              .withColumn("shift", F.col("pos") - F.col("item_pos"))
              .withColumn("pairs", F.arrays_zip("item_slots", "slots")))
     # Per alignment: at most as many positions and pairs as the item has windows.
-    aligned = (found.groupBy("id", "text_key", "item_id", "shift")
+    aligned = (found.groupBy(*who, "item_id", "shift")
                .agg(F.collect_set("item_pos").alias("at"),
                     F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
     source = F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))
@@ -118,10 +146,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     consistent = (F.size(source) == F.size("pairs")) & (F.size(target) == F.size("pairs"))
     same = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
     held = (aligned.where(consistent)
-            .select("id", "text_key", "item_id", same.alias("same"), F.explode("at").alias("item_pos"))
-            .groupBy("id", "text_key", "item_id")
+            .select(*who, "item_id", same.alias("same"), F.explode("at").alias("item_pos"))
+            .groupBy(*who, "item_id")
             .agg(F.count_distinct("item_pos").alias("n_held"), F.min("same").alias("verbatim")))
-    return (held.join(broadcast_if_small(wanted, 32), F.col("item_id").eqNullSafe(F.col("wanted_id")))
+    return (held.join(broadcast_if_small(wanted, 32), same_item)
             .withColumn("coverage", F.col("n_held") / F.col("n_windows"))
             .where(F.col("coverage") >= min_coverage)
             .select(F.col("id").alias(id_col), "text_key", "item_id", "coverage", "verbatim"))
