@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, scratch_path
 
 # A table is broadcast by hint only when it was written and measured first and
 # holds at most this many bytes; beyond that the same join runs as a shuffle
@@ -28,18 +27,6 @@ def frozen(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the shared checkpoint folder, deleted when the
-    application's JVM ends (Hadoop's ``deleteOnExit``)."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(hpath)
-    fs.deleteOnExit(hpath)
-    return path
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in a scratch folder, reread."""
     path = scratch_path(df.sparkSession, name)
