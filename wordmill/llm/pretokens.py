@@ -30,16 +30,16 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class PretokenTable:
-    """``encode(list of bytes) -> list of uint32 arrays`` with a memo.
+    """``encode(pre-tokens) -> (ids of each, all ids)`` with a memo; a caller
+    that only counts may give no ids.
 
     ``strip``: the first byte of a pre-token (its space) is not part of it,
-    except for the first pre-token of a text.
+    except for the first pre-token of a text. ``known``: pre-tokens of one id.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list[np.ndarray]],
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray | None]],
                  may_split: Callable[[np.ndarray], np.ndarray], strip: bool,
-                 known: Callable[[], tuple[list[bytes], list[np.ndarray]]] | None = None,
-                 size_bits: int = 20):
+                 known: list[bytes] | None = None, size_bits: int = 21):
         self.encode, self.may_split, self.strip, self.known = encode, may_split, strip, known
         self.bits, self.size = size_bits, 1 << size_bits
         self.powers = [_powers(b, _BLOCK + 2 * _LONG) for b in _BASES]
@@ -52,14 +52,13 @@ class PretokenTable:
         self.length = np.full(self.size, -1, np.int64)
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = self.filled = 0
-        if self.known is not None:
-            keys, values = self.known()
-            buf = np.frombuffer(b"".join(keys), np.uint8)
-            ends = np.cumsum([len(k) for k in keys])
-            starts = ends - [len(k) for k in keys]
-            for lo, hi in self._blocks(starts, ends):
-                h1, h2 = self._hash(buf, starts[lo:hi], ends[lo:hi])
-                self._insert(h1, h2, values[lo:hi])
+        if self.known:
+            buf = np.frombuffer(b"".join(self.known), np.uint8)
+            sizes = np.fromiter(map(len, self.known), np.int64, len(self.known))
+            ends = np.cumsum(sizes)
+            for lo, hi in self._blocks(ends - sizes, ends):
+                h1, h2 = self._hash(buf, (ends - sizes)[lo:hi], ends[lo:hi])
+                self._insert(h1, h2, np.ones(hi - lo, np.int64), None)
 
     # -- table ------------------------------------------------------------
 
@@ -79,18 +78,16 @@ class PretokenTable:
             slot[left] = (slot[left] + 1) & (self.size - 1)
         return found
 
-    def _insert(self, h1: np.ndarray, h2: np.ndarray, values: list[np.ndarray]) -> None:
+    def _insert(self, h1: np.ndarray, h2: np.ndarray, lengths: np.ndarray, ids: np.ndarray | None) -> None:
         """Add distinct keys that are not in the table."""
-        lengths = np.fromiter(map(len, values), np.int64, len(values))
         starts = self.used + np.cumsum(lengths) - lengths
-        total = int(lengths.sum())
-        if self.used + total > len(self.pool):
-            self.pool = np.concatenate([self.pool[:self.used],
-                                        np.zeros(2 * (self.used + total), np.uint32)])
-        if total:
-            self.pool[self.used:self.used + total] = np.concatenate(values)
-        self.used += total
-        self.filled += len(values)
+        if ids is not None:
+            if self.used + len(ids) > len(self.pool):
+                self.pool = np.concatenate([self.pool[:self.used],
+                                            np.zeros(2 * (self.used + len(ids)), np.uint32)])
+            self.pool[self.used:self.used + len(ids)] = ids
+            self.used += len(ids)
+        self.filled += len(lengths)
         slot, left = self._slot(h1), np.arange(len(h1))
         while len(left):
             s = slot[left]
@@ -124,7 +121,7 @@ class PretokenTable:
             out.append((sums[b] - sums[a]) * down[a])
         return out
 
-    def lookup(self, texts: list[bytes]):
+    def lookup(self, texts: list[bytes], with_ids: bool):
         """Yields ``(text_index, counts, ids)`` per block of pre-tokens in text
         order: the text of each pre-token, its number of ids, and all ids."""
         buf = np.frombuffer(b"".join(texts), np.uint8)
@@ -132,7 +129,8 @@ class PretokenTable:
         ends_of = np.cumsum(sizes)
         begin = (ends_of - sizes)[sizes > 0]
         cut = self.may_split(buf)
-        cut[ends_of[sizes > 0] - 1] = False  # the last byte of a text is not cut off
+        last = ends_of[sizes > 0] - 1
+        cut[last] &= buf[last] != 32  # a space that ends a text is not cut off
         cut[begin] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(buf))
@@ -144,8 +142,7 @@ class PretokenTable:
         for lo, hi in self._blocks(starts, ends):
             a, b, who = starts[lo:hi], ends[lo:hi], owner[lo:hi]
             if hi - lo == 1 and b[0] - a[0] > _LONG:
-                ids = self.encode([bytes(buf[a[0]:b[0]])])[0]
-                yield who, np.array([len(ids)]), ids
+                yield who, *self.encode([bytes(buf[a[0]:b[0]]).decode()])
                 continue
             if self.filled + hi - lo > self.size // 2:
                 self.clear()
@@ -156,11 +153,12 @@ class PretokenTable:
                 keys = np.stack([h1[miss], h2[miss]], axis=1).view([("h1", "u8"), ("h2", "u8")]).ravel()
                 _, first = np.unique(keys, return_index=True)
                 new = miss[first]
-                values = self.encode([bytes(buf[x:y]) for x, y in zip(a[new], b[new])])
-                self._insert(h1[new], h2[new], values)
+                part = bytes(buf[a[0]:b[-1]])
+                self._insert(h1[new], h2[new], *self.encode(
+                    [part[x:y].decode() for x, y in zip((a[new] - a[0]).tolist(), (b[new] - a[0]).tolist())]))
                 slots[miss] = self._find(h1[miss], h2[miss])
             n = self.length[slots]
-            yield who, n, self._gather(slots, n)
+            yield who, n, self._gather(slots, n) if with_ids else None
 
     def _gather(self, slots: np.ndarray, n: np.ndarray) -> np.ndarray:
         total = int(n.sum())
@@ -169,7 +167,7 @@ class PretokenTable:
 
     def counts(self, texts: list[bytes]) -> np.ndarray:
         out = np.zeros(len(texts), np.int64)
-        for who, n, _ in self.lookup(texts):
+        for who, n, _ in self.lookup(texts, False):
             out += np.bincount(who, n, len(texts)).astype(np.int64)
         return out
 
@@ -177,7 +175,7 @@ class PretokenTable:
         """The ids of each text."""
         counts = np.zeros(len(texts), np.int64)
         parts = [np.zeros(0, np.uint32)]
-        for who, n, ids in self.lookup(texts):
+        for who, n, ids in self.lookup(texts, True):
             counts += np.bincount(who, n, len(texts)).astype(np.int64)
             parts.append(ids)
         return np.split(np.concatenate(parts), np.cumsum(counts)[:-1])

@@ -53,12 +53,11 @@ def counter(model_path: str):
         raise ValueError("a piece of this vocabulary crosses a space")
     whole = [w.encode() for w in whole_tokens(model)]
 
-    def encode(keys: list[bytes]) -> list[np.ndarray]:
-        coded = model.encode([k.decode() for k in keys], num_threads=1)
-        return [np.zeros(len(ids), np.uint32) for ids in coded]
+    def encode(keys: list[str]) -> tuple[np.ndarray, None]:
+        coded = model.encode(keys, num_threads=1)
+        return np.fromiter(map(len, coded), np.int64, len(keys)), None
 
-    one = np.zeros(1, np.uint32)
-    return PretokenTable(encode, _may_split, strip=True, known=lambda: (whole, [one] * len(whole))).counts
+    return PretokenTable(encode, _may_split, strip=True, known=whole).counts
 
 
 def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
