@@ -25,7 +25,8 @@ def texts(page):
     ("x<script>var t=\"</p>\";a<b</script>y", ["x y"]), ("<style>p{}</style><!-- <p>n</p> -->z", ["z"]),
     ("<script>never closed", []), ("a<!-- never closed", ["a"]), ("1 < 2 and 3 > 2", ["1 < 2 and 3 > 2"]),
     ("<a title='x>y'>l</a> t", ["l t"]), ("<p title=\"open>t", ["t"]), ("<ul><li>a<li>b</ul>c", ["a", "b", "c"]),
-    ("<P>&#233;&nbsp;&lt;b&gt;</P>", ["é <b>"]), ("wo<b>r</b>d <i>x</i>", ["word x"]), ("</p></div>a", ["a"]),
+    ("<P>&#233;&nbsp;&lt;b&gt;</P>", ["é <b>"]), ("wo<b>r</b>d <i>x</i>", ["word x"]),
+    ("&am<b>p;</b> &amp;lt;", ["&amp; &lt;"]), ("</p></div>a", ["a"]),
 ])
 def test_blocks(page, want):
     assert texts(page) == want

@@ -48,7 +48,7 @@ def blocks(page: str) -> list[Block]:
     links = [0, 0]  # depth of <a>, characters in links of this block
 
     def flush() -> None:
-        whole = " ".join(html.unescape("".join(text)).split())
+        whole = " ".join("".join(text).split())
         if whole:
             out.append(Block(tuple(n for _, names in stack for n in names), whole, links[1]))
         text.clear()
@@ -67,7 +67,8 @@ def blocks(page: str) -> list[Block]:
         m = _TAG.search(page, at)
         chunk = page[at:m.start() if m else len(page)]
         if chunk:
-            text.append(chunk)
+            # Decoded here: a reference does not reach over a tag.
+            text.append(html.unescape(chunk) if "&" in chunk else chunk)
             if links[0]:
                 links[1] += len(chunk)
         if m is None:
