@@ -3,8 +3,10 @@
 Texts are equal when they are identical after white space
 (``[\\x20\\x09-\\x0D]``) is deleted. Candidates shrink level by level: rows
 that share a length, of those the rows that share a hash of the first
-characters, of those the rows that share the SHA-256 of the whole text. Only
-key columns are shuffled, never a text.
+characters, of those the rows that share the SHA-256 of the whole text. The
+levels shuffle key columns only. (Where the digest is left to the survivors,
+their texts are found by a semi join on the surviving keys: a broadcast while
+these are few, measured, else a shuffle.)
 
 Every level is a partial aggregate followed by a join with the (small) set of
 surviving keys. The key set is written first, so both join sides are plain
