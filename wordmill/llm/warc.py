@@ -39,7 +39,7 @@ MIN_REVISIT_BYTES = 1000
 #: A file is closed when it has this many compressed bytes.
 ROLL_BYTES = 32 << 20
 #: Payload bytes of a shard on average.
-SHARD_BYTES = 128 << 20
+SHARD_BYTES = 32 << 20
 #: Archives carry this date unless the caller gives one, so equal pages make equal files.
 DATE = "1970-01-01T00:00:00Z"
 _READ_BATCH_BYTES = 4 << 20
