@@ -39,7 +39,7 @@ class PretokenTable:
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray | None]],
                  may_split: Callable[[np.ndarray], np.ndarray], strip: bool,
-                 known: list[bytes] | None = None, size_bits: int = 21):
+                 known: list[bytes] | None = None, size_bits: int = 20):
         self.encode, self.may_split, self.strip, self.known = encode, may_split, strip, known
         self.bits, self.size = size_bits, 1 << size_bits
         self.powers = [_powers(b, _BLOCK + 2 * _LONG) for b in _BASES]
@@ -48,8 +48,8 @@ class PretokenTable:
     def clear(self) -> None:
         self.h1 = np.zeros(self.size, np.uint64)
         self.h2 = np.zeros(self.size, np.uint64)
-        self.at = np.zeros(self.size, np.int64)
-        self.length = np.full(self.size, -1, np.int64)
+        self.at = np.zeros(self.size, np.int32)
+        self.length = np.full(self.size, -1, np.int32)
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = self.filled = 0
         if self.known:
