@@ -108,3 +108,30 @@ def test_hard_rows(spark):
 def test_queries_run(spark):
     from wordmill.llm.queries import QUERIES
     assert QUERIES["op2_decontamination"](spark, SF).columns == ["doc_id", "item_id", "coverage", "verbatim"]
+
+
+def found(spark, item, texts):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    return {r.doc_id: (round(r.coverage, 3), r.verbatim) for r in dc.leaks(docs, bench).collect()}
+
+
+def test_names_that_open_sentences(spark):
+    item = "Tom has 3 apples. Tom buys 2 more. How many apples does Tom have?"
+    texts = {
+        1: item,
+        2: item.replace("Tom", "Ann"),
+        3: "Now see this. " + item.replace("Tom", "Ann").replace("3", "8"),
+        4: item.replace("Tom buys", "Ann buys").replace("does Tom", "does Eve"),  # one name, three values
+        5: item.lower(),  # as found by the reading as words alone
+        6: "Tom has a dog. How many apples are there?",
+    }
+    got = found(spark, item, texts)
+    assert set(got) == {1, 2, 3, 5} and got[1][1] and not got[2][1] and not got[3][1]
+    assert got[1][0] == got[2][0] == got[3][0] == 1.0
+
+
+def test_a_reading_with_conflicts_leaves_the_other(spark):
+    item = "Boston is a very large old city. They say that all the trains go to Boston each day."
+    got = found(spark, item, {1: item.replace("to Boston", "to Leeds")})
+    assert got == {1: (1.0, False)}

@@ -9,6 +9,11 @@ its placeholders; along one alignment (document position minus item position)
 the values must map one to one: the same item value always became the same
 document value, and different ones stayed different.
 
+A capital that begins a sentence does not tell a name from another word, so
+texts are read twice: with such words as words, and with them as names. Each
+reading of a document meets the same reading of the items, and a window is
+held if one of its readings is.
+
 Document windows are first only hashes, and meet the item windows in a
 broadcast join when these are few (measured), else in a shuffle join. Slots
 are looked at in documents that hold windows enough. Matches are aggregated
@@ -17,6 +22,8 @@ per document and item.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,32 +64,54 @@ def _canonical(t: Column) -> Column:
             .otherwise(F.translate(low, _START, "")))
 
 
+def _alternatives() -> Column:
+    """``code`` with the capitalised words that begin a sentence read as names."""
+    name = F.xxhash64(F.lit(_NAME))
+    return F.zip_with("raw", "code", lambda t, c: F.when(
+        (t < "\x02") & t.rlike(rf"^{_START}\p{{Lu}}\p{{Ll}}+$"), name).otherwise(c))
+
+
 def _starts(column: str) -> Column:
     """The first positions (from 0) of all windows; null if there is none."""
     last = F.size(column) - WINDOW
     return F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0))))
 
 
-def _hash(at: Column) -> Column:
-    return F.xxhash64(*[F.get("code", at + k) for k in range(WINDOW)])
+def _hash(at: Column, codes: str = "code") -> Column:
+    return F.xxhash64(*[F.get(codes, at + k) for k in range(WINDOW)])
 
 
-def _tokenised(rows: DataFrame, keys: list[str], text_col: str, *more: Column) -> DataFrame:
+def _tokenised(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+    """``*keys, raw, code, alt``: raw tokens and the hashes of both readings."""
     return (rows.select(*keys, tokens(text_or_empty(text_col)).alias("raw"))
-            .select(*keys, F.transform("raw", lambda t: F.xxhash64(_canonical(t))).alias("code"), *more))
+            .select(*keys, "raw", F.transform("raw", lambda t: F.xxhash64(_canonical(t))).alias("code"))
+            .select("*", _alternatives().alias("alt")))
 
 
 def hashes(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
-    """``*keys, hash``: every window, as its hash alone."""
-    every = F.transform(_starts("code"), _hash)
+    """``*keys, hash``: every window, as its hash alone; once more where a
+    sentence-start capital in it can be read as a name."""
+    def other(at: Column) -> Column:
+        differs = [F.get("alt", at + k) != F.get("code", at + k) for k in range(WINDOW)]
+        return F.when(reduce(Column.__or__, differs), _hash(at, "alt"))
+    every = F.concat(F.transform(_starts("code"), lambda i: _hash(i)),
+                     F.array_compact(F.transform(_starts("code"), other)))
     return _tokenised(rows, keys, text_col).select(*keys, F.explode(every).alias("hash"))
 
 
 def windows(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
-    """``*keys, pos, hash, slots``: every window with at least
+    """``*keys, reading, pos, hash, slots``: every window with at least
     :data:`MIN_WORDS` words; ``slots`` are its placeholders' raw values in
-    order (null if it has none)."""
-    split = _tokenised(rows, keys, text_col, F.col("raw"), F.transform("raw", _canonical).alias("tpl"))
+    order (null if it has none). Reading 0 takes capitalised words that begin
+    a sentence as words, reading 1 as names."""
+    both = _tokenised(rows, keys, text_col)
+    plain = F.transform("raw", _canonical)
+    named = F.zip_with(F.zip_with("code", "alt", lambda c, a: c != a), plain,
+                       lambda n, t: F.when(n, _NAME).otherwise(t))
+    readings = F.array(F.struct(F.lit(0).alias("reading"), F.col("code"), plain.alias("tpl")),
+                       F.struct(F.lit(1).alias("reading"), F.col("alt").alias("code"), named.alias("tpl")))
+    split = (both.select(*keys, "raw", F.explode(readings).alias("r"))
+             .select(*keys, "raw", "r.reading", "r.code", "r.tpl"))
 
     def window(i: Column) -> Column:
         part, raw = F.slice("tpl", i + 1, WINDOW), F.slice("raw", i + 1, WINDOW)
@@ -92,9 +121,9 @@ def windows(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
         return F.struct(i.alias("pos"), _hash(i).alias("hash"), n_slots.alias("n_slots"),
                         F.when(n_slots > 0, values).alias("slots"))
 
-    return (split.select(*keys, F.explode(F.transform(_starts("tpl"), window)).alias("w"))
+    return (split.select(*keys, "reading", F.explode(F.transform(_starts("tpl"), window)).alias("w"))
             .where(F.col("w.n_slots") <= WINDOW - MIN_WORDS)
-            .select(*keys, "w.pos", "w.hash", "w.slots"))
+            .select(*keys, "reading", "w.pos", "w.hash", "w.slots"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -105,7 +134,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
     ``coverage`` is the share of the item's windows that the document holds in
     alignments with consistent slots; ``verbatim`` is false if a placeholder
-    has another value in the document. Nulls are empty texts. An item of fewer
+    has another value in the document. Both are those of the reading as words
+    where that holds windows enough, else of both readings. Nulls are empty texts. An item of fewer
     than :data:`WINDOW` template tokens, or of hardly any word, has no window
     and is not looked for. Rows that repeat an id and a text are one document;
     ``text_key`` tells apart rows that share an id (or have none).
@@ -116,7 +146,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("item_text")).distinct()
     items = frozen(windows(items, ["item_id"], "item_text")
-                   .select("item_id", F.col("pos").alias("item_pos"), "hash", F.col("slots").alias("item_slots")))
+                   .select("item_id", "reading", F.col("pos").alias("item_pos"), "hash",
+                           F.col("slots").alias("item_slots")))
     wanted = frozen(items.groupBy(F.col("item_id").alias("wanted_id"))
                     .agg(F.count_distinct("item_pos").alias("n_windows")))
     same_item = F.col("item_id").eqNullSafe(F.col("wanted_id"))
@@ -125,7 +156,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                        text_key(text_col).alias("text_key"))
     who = ["id", "text_key"]
     likely = (hashes(rows, who, "text")
-              .join(broadcast_if_small(items.select("item_id", "item_pos", "hash"), 64), "hash")
+              .join(broadcast_if_small(items.select("item_id", "item_pos", "hash").distinct(), 64), "hash")
               .groupBy(*who, "item_id").agg(F.size(F.collect_set("item_pos")).alias("n_held"))
               .join(broadcast_if_small(wanted, 32), same_item)
               .where(F.col("n_held") >= min_coverage * F.col("n_windows"))
@@ -134,23 +165,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     again = rows.join(likely, F.col("id").eqNullSafe(F.col("likely_id"))
                       & (F.col("text_key") == F.col("likely_key")), "left_semi")
     found = (windows(again, who, "text")
-             .join(broadcast_if_small(items, 128), "hash")
+             .join(broadcast_if_small(items, 128), ["reading", "hash"])
              .withColumn("shift", F.col("pos") - F.col("item_pos"))
              .withColumn("pairs", F.arrays_zip("item_slots", "slots")))
     # Per alignment: at most as many positions and pairs as the item has windows.
-    aligned = (found.groupBy(*who, "item_id", "shift")
+    aligned = (found.groupBy(*who, "item_id", "shift", "reading")
                .agg(F.collect_set("item_pos").alias("at"),
                     F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
     source = F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))
     target = F.array_distinct(F.transform("pairs", lambda p: p["slots"]))
     consistent = (F.size(source) == F.size("pairs")) & (F.size(target) == F.size("pairs"))
     same = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
+    plain = F.col("reading") == 0
     held = (aligned.where(consistent)
-            .select(*who, "item_id", same.alias("same"), F.explode("at").alias("item_pos"))
+            .select(*who, "item_id", plain.alias("plain"), same.alias("same"), F.explode("at").alias("item_pos"))
             .groupBy(*who, "item_id")
-            .agg(F.count_distinct("item_pos").alias("n_held"), F.min("same").alias("verbatim")))
+            .agg(F.size(F.collect_set(F.when(F.col("plain"), F.col("item_pos")))).alias("n_plain"),
+                 F.min(F.when(F.col("plain"), F.col("same"))).alias("plain_verbatim"),
+                 F.size(F.collect_set("item_pos")).alias("n_held"), F.min("same").alias("verbatim")))
+    enough = F.col("n_plain") >= min_coverage * F.col("n_windows")
     return (held.join(broadcast_if_small(wanted, 32), same_item)
-            .withColumn("coverage", F.col("n_held") / F.col("n_windows"))
+            .withColumn("verbatim", F.when(enough, F.col("plain_verbatim")).otherwise(F.col("verbatim")))
+            .withColumn("coverage", F.when(enough, F.col("n_plain")).otherwise(F.col("n_held")) / F.col("n_windows"))
             .where(F.col("coverage") >= min_coverage)
             .select(F.col("id").alias(id_col), "text_key", "item_id", "coverage", "verbatim"))
 
