@@ -135,3 +135,30 @@ def test_a_reading_with_conflicts_leaves_the_other(spark):
     item = "Boston is a very large old city. They say that all the trains go to Boston each day."
     got = found(spark, item, {1: item.replace("to Boston", "to Leeds")})
     assert got == {1: (1.0, False)}
+
+
+LONG = ("A farmer plants rows of beans along the fence while her brother digs a narrow ditch behind the barn and "
+        "fills it with water from the old well so that the seedlings may drink all through the dry season until "
+        "rain comes; after that both of them sell what grew there at the market near the river for 40 dollars. "
+        "What did they earn?")
+
+
+def test_a_run_of_a_long_item_is_found(spark):
+    words = LONG.split()
+    filler = "Nothing of this kind is written here, nor is it anywhere else."
+    texts = {
+        1: " ".join([filler, *words[5:35], filler]),
+        2: " ".join([filler, *words[5:18], filler]),  # 13 words
+        3: " ".join([filler, *words[5:17], filler]),  # 12 words
+        4: " ".join([filler, *words[5:15], filler, *words[30:40], filler]),  # two runs of 10
+        5: " ".join([filler, *words[-18:]]).replace("40", "55"),  # the question part
+    }
+    got = found(spark, LONG, texts)
+    assert set(got) == {1, 2, 5}
+    assert all(coverage < dc.MIN_COVERAGE for coverage, _ in got.values())
+    assert got[1][1] and got[2][1] and not got[5][1]
+
+
+def test_longest_run(spark):
+    frame = spark.createDataFrame([(1, [0, 1, 2, 20, 25, 31]), (2, [8]), (3, [])], "id int, at array<int>")
+    assert {r.id: r.run for r in frame.select("id", dc._run(frame["at"]).alias("run")).collect()} == {1: 10, 2: 5, 3: 0}

@@ -34,6 +34,8 @@ WINDOW = 5
 MIN_WORDS = 2
 #: Share of an item's windows that a document must hold.
 MIN_COVERAGE = 0.6
+#: Or so many tokens of an item in one run, whatever share of it they are.
+MIN_RUN = 13
 
 # Words that are units of measure, currency or time.
 UNITS = ("mm cm m km in ft yd mi inch inches foot feet yard yards mile miles meter meters metre metres kilometer "
@@ -126,11 +128,23 @@ def windows(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
             .select(*keys, "reading", "w.pos", "w.hash", "w.slots"))
 
 
+def _run(positions: Column) -> Column:
+    """Tokens of the longest run that windows at these positions cover. Windows
+    that touch are one run: all tokens of one alignment match."""
+    def step(seen: Column, at: Column) -> Column:
+        first = F.when(at <= seen["last"] + WINDOW, seen["first"]).otherwise(at)
+        return F.struct(first.alias("first"), at.alias("last"),
+                        F.greatest(seen["best"], at + WINDOW - first).alias("best"))
+    none = F.struct(F.lit(-2 * WINDOW).alias("first"), F.lit(-2 * WINDOW).alias("last"), F.lit(0).alias("best"))
+    return F.aggregate(F.array_sort(positions), none, step, lambda seen: seen["best"])
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text",
-          min_coverage: float = MIN_COVERAGE) -> DataFrame:
+          min_coverage: float = MIN_COVERAGE, min_run: int = MIN_RUN) -> DataFrame:
     """``id, text_key, item_id, coverage, verbatim``: one row per document and
-    benchmark item that the document holds.
+    benchmark item that the document holds: ``min_coverage`` of its windows, or
+    ``min_run`` of its tokens in one run.
 
     ``coverage`` is the share of the item's windows that the document holds in
     alignments with consistent slots; ``verbatim`` is false if a placeholder
@@ -157,9 +171,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     who = ["id", "text_key"]
     likely = (hashes(rows, who, "text")
               .join(broadcast_if_small(items.select("item_id", "item_pos", "hash").distinct(), 64), "hash")
-              .groupBy(*who, "item_id").agg(F.size(F.collect_set("item_pos")).alias("n_held"))
+              .groupBy(*who, "item_id").agg(F.collect_set("item_pos").alias("at"))
               .join(broadcast_if_small(wanted, 32), same_item)
-              .where(F.col("n_held") >= min_coverage * F.col("n_windows"))
+              .where((F.size("at") >= min_coverage * F.col("n_windows")) | (_run(F.col("at")) >= min_run))
               .select(F.col("id").alias("likely_id"), F.col("text_key").alias("likely_key")).distinct())
     likely = broadcast_if_small(frozen(likely), 32)
     again = rows.join(likely, F.col("id").eqNullSafe(F.col("likely_id"))
@@ -178,16 +192,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     same = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
     plain = F.col("reading") == 0
     held = (aligned.where(consistent)
-            .select(*who, "item_id", plain.alias("plain"), same.alias("same"), F.explode("at").alias("item_pos"))
+            .select(*who, "item_id", plain.alias("plain"), same.alias("same"), _run(F.col("at")).alias("run"),
+                    F.explode("at").alias("item_pos"))
             .groupBy(*who, "item_id")
             .agg(F.size(F.collect_set(F.when(F.col("plain"), F.col("item_pos")))).alias("n_plain"),
                  F.min(F.when(F.col("plain"), F.col("same"))).alias("plain_verbatim"),
-                 F.size(F.collect_set("item_pos")).alias("n_held"), F.min("same").alias("verbatim")))
+                 F.size(F.collect_set("item_pos")).alias("n_held"), F.min("same").alias("verbatim"),
+                 F.max("run").alias("run")))
     enough = F.col("n_plain") >= min_coverage * F.col("n_windows")
     return (held.join(broadcast_if_small(wanted, 32), same_item)
             .withColumn("verbatim", F.when(enough, F.col("plain_verbatim")).otherwise(F.col("verbatim")))
             .withColumn("coverage", F.when(enough, F.col("n_plain")).otherwise(F.col("n_held")) / F.col("n_windows"))
-            .where(F.col("coverage") >= min_coverage)
+            .where((F.col("coverage") >= min_coverage) | (F.col("run") >= min_run))
             .select(F.col("id").alias(id_col), "text_key", "item_id", "coverage", "verbatim"))
 
 
