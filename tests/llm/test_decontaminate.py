@@ -162,3 +162,13 @@ def test_a_run_of_a_long_item_is_found(spark):
 def test_longest_run(spark):
     frame = spark.createDataFrame([(1, [0, 1, 2, 20, 25, 31]), (2, [8]), (3, [])], "id int, at array<int>")
     assert {r.id: r.run for r in frame.select("id", dc._run(frame["at"]).alias("run")).collect()} == {1: 10, 2: 5, 3: 0}
+
+
+def test_windows_without_slots_survive_a_conflict(spark):
+    item = LONG.replace("plants rows", "plants 40 rows")
+    assert item.count("40") == 2
+    texts = {1: item.replace("for 40", "for 55"), 2: item.replace("40", "55"),
+             3: "She plants 40 rows of beans along the road and then sells all of it for 55 dollars. What did they earn?"}
+    got = found(spark, item, texts)
+    assert set(got) == {1, 2} and not got[1][1] and not got[2][1]
+    assert dc.MIN_COVERAGE <= got[1][0] < got[2][0] == 1.0

@@ -147,12 +147,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     ``min_run`` of its tokens in one run.
 
     ``coverage`` is the share of the item's windows that the document holds in
-    alignments with consistent slots; ``verbatim`` is false if a placeholder
-    has another value in the document. Both are those of the reading as words
-    where that holds windows enough, else of both readings. Nulls are empty texts. An item of fewer
-    than :data:`WINDOW` template tokens, or of hardly any word, has no window
-    and is not looked for. Rows that repeat an id and a text are one document;
-    ``text_key`` tells apart rows that share an id (or have none).
+    alignments with consistent slots, or without slots; ``verbatim`` is false
+    if a placeholder has another value in the document. Both are those of the
+    reading as words with consistent slots where that holds windows enough,
+    else of all. Nulls are empty texts. An item of fewer than :data:`WINDOW`
+    template tokens, or of hardly any word, has no window and is not looked
+    for. Rows that repeat an id and a text are one document; ``text_key``
+    tells apart rows that share an id (or have none).
 
     First all windows of all documents are joined by their hash alone; only
     documents that hold windows enough of an item are read again, for the
@@ -185,14 +186,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     # Per alignment: at most as many positions and pairs as the item has windows.
     aligned = (found.groupBy(*who, "item_id", "shift", "reading")
                .agg(F.collect_set("item_pos").alias("at"),
+                    F.collect_set(F.when(F.col("item_slots").isNull(), F.col("item_pos"))).alias("free"),
                     F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
     source = F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))
     target = F.array_distinct(F.transform("pairs", lambda p: p["slots"]))
     consistent = (F.size(source) == F.size("pairs")) & (F.size(target) == F.size("pairs"))
     same = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
-    plain = F.col("reading") == 0
-    held = (aligned.where(consistent)
-            .select(*who, "item_id", plain.alias("plain"), same.alias("same"), _run(F.col("at")).alias("run"),
+    plain = (F.col("reading") == 0) & consistent
+    # Windows without slots are held whatever became of the values around them.
+    at = F.when(consistent, F.col("at")).otherwise(F.col("free"))
+    held = (aligned.select(*who, "item_id", plain.alias("plain"), same.alias("same"), at.alias("at"))
+            .select(*who, "item_id", "plain", "same", _run(F.col("at")).alias("run"),
                     F.explode("at").alias("item_pos"))
             .groupBy(*who, "item_id")
             .agg(F.size(F.collect_set(F.when(F.col("plain"), F.col("item_pos")))).alias("n_plain"),
