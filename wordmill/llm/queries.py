@@ -18,6 +18,7 @@ from .langid import held_out, identify, learn
 from .line_dedup import MIN_PAGES, RATIO, line_dedup
 from .packing import pack
 from .simhash import near_duplicates
+from .spelling import deletions, spelling_groups, word_counts
 from .token_counts import token_counts
 from .warc import read_warc, write_warc
 
@@ -78,6 +79,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(word_counts(_table(spark, sf_dir, "documents"), edit=deletions()))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {
