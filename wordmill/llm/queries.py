@@ -15,6 +15,7 @@ from .decontaminate import leaks
 from .exact_dedup import exact_dedup
 from .extraction import extract, train
 from .langid import held_out, identify, learn
+from .licenses import license_scan
 from .line_dedup import MIN_PAGES, RATIO, line_dedup
 from .packing import pack
 from .simhash import near_duplicates
@@ -79,6 +80,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(word_counts(_table(spark, sf_dir, "documents"), edit=deletions()))
 
@@ -94,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op12_license_scan": op12_license_scan,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
