@@ -1,0 +1,130 @@
+"""Operator 11 against counting every phrase."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tests.llm.helpers import SF, duck, hard_docs, same
+from wordmill.llm import collocations as C
+from wordmill.llm.queries import ORACLE_SQL, QUERIES
+
+
+def plain(rows, top=2000, min_count=30):
+    """All rows of the result from (lang, text) rows."""
+    f, n = Counter(), Counter()
+    for lang, text in rows:
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", low):
+            words = re.findall("[^\x20\x09]+", piece)
+            n[lang or "und"] += len(words)
+            for k in range(1, 5):
+                f.update((lang or "und", *words[i:i + k]) for i in range(len(words) - k + 1))
+    cand = {p: a for p, a in f.items() if len(p) > 2 and a >= min_count}
+    longer: dict = {}
+    for (lang, *words), a in cand.items():
+        for k in range(2, len(words)):
+            for i in range(len(words) - k + 1):
+                part = (lang, *words[i:i + k])
+                longer[part] = max(longer.get(part, 0), a)
+    out: dict = {}
+    for p, a in cand.items():
+        if 100 * longer.get(p, 0) >= 80 * a:
+            continue
+        lang, words = p[0], p[1:]
+        score, _, left, right = min((2000000 * a // (f[lang, *words[:k]] + f[lang, *words[k:]]), k,
+                                     f[lang, *words[:k]], f[lang, *words[k:]]) for k in range(1, len(words)))
+        out.setdefault(lang, []).append((-score, -a, " ".join(words).encode(), left, right))
+    return sorted((lang, i, w.decode(), -a, left, right, n[lang], -s) for lang, found in out.items()
+                  for i, (s, a, w, left, right) in enumerate(sorted(found)[:top], 1))
+
+
+def rows_of(df):
+    assert df.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.fixture(scope="module")
+def soup(spark):
+    """Texts with phrases of all lengths, nested, overlapping and rare ones."""
+    rng = random.Random(11)
+    fixed = ["new york city hall", "new york", "status quo", "a a", "a a a a", "pro bono publico", "x y z", "x y z w",
+             "élan vital", "cut\tshort"]
+    rows = []
+    for i in range(260):
+        words = [rng.choice(fixed) if rng.random() < 0.4 else rng.choice("abcdefghij") + rng.choice("kl")
+                 for _ in range(rng.randint(0, 60))]
+        rows.append((i, "".join(w + rng.choice([" ", " ", " ", ". ", "\n", "\t"]) for w in words),
+                     rng.choice(["en", "en", "fr", None])))
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+@pytest.mark.parametrize("kw, plain_kw", [
+    ({"min_count": 3}, {"min_count": 3}),
+    ({"min_count": 3, "top": 7}, {"min_count": 3, "top": 7}),
+    ({"min_count": 3, "top": 40, "first_cut": 1}, {"min_count": 3, "top": 40}),
+    ({"min_count": 4, "top": 15, "first_cut": 1, "filter_bits": 64}, {"min_count": 4, "top": 15}),
+])
+def test_equals_counting_every_phrase(spark, soup, kw, plain_kw):
+    rows, docs = soup
+    want = plain([(lang, text) for _, text, lang in rows], **plain_kw)
+    assert {len(w[2].split()) for w in want} >= {2, 3} and len({w[0] for w in want}) == 3
+    assert rows_of(C.collocations(docs, **kw)) == want
+
+
+def test_small_buffers_and_books(spark, soup, monkeypatch):
+    rows, docs = soup
+    want = plain([(lang, text) for _, text, lang in rows], min_count=3, top=30)
+    monkeypatch.setattr(C, "_TOKENS", 50)
+    monkeypatch.setattr(C, "_CHUNK", 40)
+    monkeypatch.setattr(C, "_WORDS", 60)
+    assert rows_of(C.collocations(docs, min_count=3, top=30)) == want
+
+
+def test_the_cut_is_lowered_until_settled(spark):
+    # The best pairs are all inside phrases of four words, so the first cut
+    # leaves too few survivors.
+    rng = random.Random(3)
+    texts = [f"w{i} x{i} y{i} z{i}. " * 5 for i in range(30)] + [
+        " ".join(rng.choice("abcdefgh") for _ in range(300)) for _ in range(6)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    want = plain([("en", t) for t in texts], top=80, min_count=3)
+    assert len(want) == 80 and sum(len(w[2].split()) == 4 for w in want) >= 30
+    assert rows_of(C.collocations(docs, min_count=3, top=80, first_cut=1)) == want
+
+
+def test_query_equals_sql(spark):
+    same(QUERIES["op11_collocations"](spark, SF), *duck(ORACLE_SQL["op11_collocations"]))
+
+
+def test_hard_rows(spark):
+    docs = hard_docs(spark, clash=("phrase", "a", "l", "rank", "score"))
+    rows = [(r["lang"], r["text"]) for r in docs.collect()]
+    got = rows_of(C.collocations(docs, min_count=2))
+    assert got == plain(rows, min_count=2)
+    assert rows_of(C.collocations(docs.limit(0))) == []
+
+
+def test_arithmetic_past_64_bits(spark):
+    rows = spark.createDataFrame([("en", "a b", 4_000_000_000_000_000_001)], "lang string, phrase string, a long")
+    words = spark.createDataFrame([("en", "a", 4_000_000_000_000_000_003), ("en", "b", 8_000_000_000_000_000_007)],
+                                  "lang string, phrase string, a long")
+    got = C.scored(rows, 2, words).first()
+    assert got["score"] == 2000000 * 4_000_000_000_000_000_001 // 12_000_000_000_000_000_010
+
+
+def test_filter_holds_what_it_was_given(spark):
+    phrases = spark.createDataFrame([("en", f"a{i} b{i % 7} c") for i in range(500)], "lang string, phrase string")
+    table = C.phrase_filter(phrases, 1 << 14)
+
+    def hash_of(lang, phrase):
+        h, *rest = [np.array([C._word_hash(lang, w.encode())], np.uint64) for w in phrase.split(" ")]
+        for w in rest:
+            h = C._join_hash(h, w)
+        return h
+    assert all(C._holds(table, hash_of("en", f"a{i} b{i % 7} c"))[0] for i in range(500))
+    assert sum(C._holds(table, hash_of("fr", f"a{i} b{i % 7} c"))[0] for i in range(500)) < 50

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .chaining import repeated_passages
+from .collocations import collocations
 from .decontaminate import leaks
 from .exact_dedup import exact_dedup
 from .extraction import extract, train
@@ -80,6 +81,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents")).drop("spans")
 
@@ -99,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_collocations": op11_collocations,
     "op12_license_scan": op12_license_scan,
     "op13_spelling_variants": op13_spelling_variants,
 }
@@ -146,4 +152,35 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN text IS NULL THEN 0 ELSE len(lines) END::BIGINT AS n_lines,
                CASE WHEN text IS NULL THEN 0 ELSE len(lines) - len(kept) END::BIGINT AS n_dropped
         FROM k""",
+    "op11_collocations": r"""
+        WITH p AS (
+          SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents),
+        w AS (SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\x20\x09]+') IF x <> ''] AS words FROM p),
+        g AS (
+          SELECT lang, k, unnest([array_to_string(words[i:i + k - 1], ' ') FOR i IN range(1, len(words) - k + 2)]) AS phrase
+          FROM w, (VALUES (1), (2), (3), (4)) t(k)),
+        c AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase),
+        n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM c WHERE k = 1 GROUP BY lang),
+        cand AS (SELECT *, string_split(phrase, ' ') AS words FROM c WHERE k >= 2 AND f >= 30),
+        cuts AS (
+          SELECT lang, phrase, k, f, j, array_to_string(words[1:j], ' ') AS head, array_to_string(words[j + 1:], ' ') AS tail
+          FROM cand, (VALUES (1), (2), (3)) t(j) WHERE j < k),
+        s AS (
+          SELECT cuts.lang, cuts.phrase, cuts.k, j, cuts.f AS a, h.f AS l, t.f AS r,
+                 CAST((2000000::HUGEINT * cuts.f) // (h.f + t.f) AS BIGINT) AS score
+          FROM cuts JOIN c h ON h.lang = cuts.lang AND h.phrase = cuts.head
+                    JOIN c t ON t.lang = cuts.lang AND t.phrase = cuts.tail),
+        low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        parts AS (
+          SELECT lang, f, unnest([array_to_string(words[i:i + m - 1], ' ') FOR i IN range(1, k - m + 2)]) AS phrase
+          FROM cand, (VALUES (2), (3)) t(m) WHERE m < k),
+        inside AS (SELECT lang, phrase, max(f) AS longer FROM parts GROUP BY lang, phrase),
+        kept AS (
+          SELECT low.* FROM low LEFT JOIN inside USING (lang, phrase)
+          WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
 }
