@@ -1,0 +1,141 @@
+"""K4 with arrival numbers, R7 in order of arrival."""
+
+from __future__ import annotations
+
+import os
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+
+from tests.test_cli import cli
+from wordmill.operators.runlog import RECORD_LAYOUTS, run_report
+from wordmill.sinks.records import append_records, is_record_log, read_records
+from wordmill.sinks.text import append_run
+from wordmill.sources.text import InputNotFound, read_lines_in_order
+from wordmill.store import Store
+
+
+def rows(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+def logged(spark, path):
+    return [(r["number"], r["pos"], r["record"])
+            for r in read_records(spark, path).orderBy("number", "pos").collect()]
+
+
+# Spark packs small files by size, so the longest record is read first.
+LINES = ["VCORES=2|MAP_TASKS=3", "VCORES=4|MAP_TASKS=3|REDUCE_TASKS=1|TEMPO_WC=123456.789012|VCORES_TOTAL=8",
+         "VCORES=8|MAP_TASKS=3|TEMPO_WC=1.5", "VCORES=16|MAP_TASKS=30000|REDUCE_TASKS=10000|TEMPO_WC=1.25"]
+
+
+def test_records_are_numbered_as_they_came(spark, scratch):
+    path = os.path.join(scratch, "log")
+    assert [append_records(rows(spark, line), path) for line in LINES] == [1, 2, 3, 4]
+    assert [r[2] for r in logged(spark, path)] == LINES
+    report = run_report(read_records(spark, path), RECORD_LAYOUTS["vcores"], order=["number", "pos"])
+    assert [(r["i"], r["VCORES"]) for r in report.orderBy("i").collect()] == [(1, 2), (2, 4), (3, 8), (4, 16)]
+
+
+def test_a_retried_append_adds_nothing_twice(spark, scratch, monkeypatch):
+    path = os.path.join(scratch, "log")
+    append_records(rows(spark, "A=1"), path, key="a")
+    assert append_records(rows(spark, "A=1"), path, key="a") == 1
+    # The job dies between its data and its commit: nothing of it is seen.
+    with monkeypatch.context() as m:
+        m.setattr(Store, "write_new", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            append_records(rows(spark, "B=2"), path, key="b")
+    assert logged(spark, path) == [(1, 1, "A=1")]
+    assert append_records(rows(spark, "B=2"), path, key="b") == 2
+    # The commit arrives, but its answer is lost.
+    real = Store.write_new
+
+    def lost_answer(self, *a):
+        real(self, *a)
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(Store, "write_new", lost_answer)
+        with pytest.raises(RuntimeError):
+            append_records(rows(spark, "C=3"), path, key="c")
+    assert append_records(rows(spark, "C=3"), path, key="c") == 3
+    assert [r[2] for r in logged(spark, path)] == ["A=1", "B=2", "C=3"]
+
+
+def test_another_writer_takes_the_number(spark, scratch, monkeypatch):
+    path = os.path.join(scratch, "log")
+    append_records(rows(spark, "A=1"), path)
+    real, other = Store.write_new, []
+
+    def slower(self, target, text):
+        if not other:
+            other.append(1)
+            append_records(rows(spark, "X=9"), path)
+        return real(self, target, text)
+    with monkeypatch.context() as m:
+        m.setattr(Store, "write_new", slower)
+        assert append_records(rows(spark, "B=2"), path) == 3
+    assert [r[2] for r in logged(spark, path)] == ["A=1", "X=9", "B=2"]
+
+
+def test_writers_at_the_same_time(spark, scratch):
+    path = os.path.join(scratch, "log")
+    with ThreadPoolExecutor(4) as pool:
+        numbers = list(pool.map(lambda i: append_records(rows(spark, f"A={i}"), path), range(8)))
+    assert sorted(numbers) == list(range(1, 9))
+    assert sorted(r[2] for r in logged(spark, path)) == [f"A={i}" for i in range(8)]
+
+
+def test_rows_of_one_append_and_a_new_set(spark, scratch):
+    path = os.path.join(scratch, "log")
+    append_records(rows(spark, "OLD=1"), path)
+    many = spark.createDataFrame([(3, "A=c"), (1, "A=z"), (2, "A=a"), (2, None)], "seq int, value string")
+    append_records(many, path, first=True, order=["seq", "value"])
+    append_records(rows(spark, "B=2", "B=1"), path)
+    append_records(rows(spark), path)  # no record: a number, no row
+    assert logged(spark, path) == [(2, 1, "A=z"), (2, 2, None), (2, 3, "A=a"), (2, 4, "A=c"),
+                                   (3, 1, "B=1"), (3, 2, "B=2")]
+    assert append_records(rows(spark, "tab\tkey"), path, key="k\tey") == 5
+    assert append_records(rows(spark, "tab\tkey"), path, key="k\tey") == 5
+
+
+def test_no_log(spark, scratch):
+    path = os.path.join(scratch, "none")
+    assert not is_record_log(spark, path)
+    with pytest.raises(InputNotFound):
+        read_records(spark, path)
+
+
+def test_text_lines_keep_their_order(spark, scratch):
+    path = os.path.join(scratch, "big.txt")
+    with open(path, "w") as fh:
+        fh.writelines(f"LINE={i}\n" for i in range(60000))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        lines = read_lines_in_order(spark, path)
+        assert lines.rdd.getNumPartitions() > 4
+        got = [r["line"] for r in lines.orderBy("at").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [f"LINE={i}" for i in range(60000)]
+    runs = os.path.join(scratch, "runs")
+    for i, line in enumerate(LINES):
+        append_run(rows(spark, line), runs, first=i == 0)
+    assert [r["line"] for r in read_lines_in_order(spark, runs).orderBy("at").collect()] == LINES
+
+
+def test_append_and_report_commands(scratch):
+    path = os.path.join(scratch, "log")
+    conf = ["--conf", "spark.sql.shuffle.partitions=2"]
+    assert cli(*conf, "append", path, "VCORES=1", "--first").returncode == 0
+    for n, line in enumerate(LINES[:2], 2):
+        r = cli(*conf, "append", path, line, "--key", f"run-{n}", *["--first"] * (n == 2))
+        assert r.returncode == 0 and r.stdout.strip() == f"append {n}", r.stderr[-2000:]
+    assert cli(*conf, "append", path, LINES[0], "--key", "run-2", "--first").stdout.strip() == "append 2"
+    assert cli(*conf, "append", path, *LINES[2:]).returncode == 0
+    r = cli(*conf, "report", "vcores", path)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert [ln.split(",")[0] for ln in r.stdout.splitlines() if ln.startswith("Result ")] == [
+        "Result 1: VCORES=2", "Result 2: VCORES=4", "Result 3: VCORES=8", "Result 4: VCORES=16"]
+    assert cli(*conf, "report", "vcores", os.path.join(scratch, "none")).returncode == 1

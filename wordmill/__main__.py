@@ -5,6 +5,7 @@
     corpus <output_path> [--lines N] [--seed S]
     sweep <input_path> <split_mb> [<split_mb> ...]
     merge <output_path> <counts_path> [<counts_path> ...] [--overwrite]
+    append <records_path> <record> [<record> ...] [--first] [--key KEY]
     report <layout> <records_path>
     summary <log_path> [<log_path> ...]
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-USAGE = "usage: python -m wordmill [--conf K=V] {wordcount,run,corpus,sweep,merge,report,summary} ..."
+USAGE = "usage: python -m wordmill [--conf K=V] {wordcount,run,corpus,sweep,merge,append,report,summary} ..."
 
 
 # `run` prints its report on the driver, so k is bounded; larger rankings are
@@ -62,6 +63,11 @@ def main(argv: list[str] | None = None) -> int:
     mg.add_argument("output_path")
     mg.add_argument("inputs", nargs="+")
     mg.add_argument("--overwrite", action="store_true")
+    ap = sub.add_parser("append")
+    ap.add_argument("records_path")
+    ap.add_argument("records", nargs="+")
+    ap.add_argument("--first", action="store_true", help="start a new set of records")
+    ap.add_argument("--key", default=None, help="name of this append: a retry with it adds nothing twice")
     rp = sub.add_parser("report")
     rp.add_argument("layout")
     rp.add_argument("records_path")
@@ -115,18 +121,23 @@ def main(argv: list[str] | None = None) -> int:
             for r in report.orderBy("i").collect():  # one row per setting
                 print(f"Result {r['i']}: " + ", ".join(
                     f"{k}={r[k]}" for k in report.columns if k not in ("i", "seq")))
+        elif args.cmd == "append":
+            from .sinks.records import append_records
+            rows = spark.createDataFrame(list(enumerate(args.records)), "seq int, value string")
+            number = append_records(rows, args.records_path, key=args.key, first=args.first, order=["seq"])
+            print(f"append {number}")
         elif args.cmd == "report":
-            from pyspark.sql import functions as F
-
             from .operators.runlog import run_report
-            from .sources.text import read_lines
-            records = read_lines(spark, args.records_path, line_col="record")
-            # A results file is a handful of lines, one per setting, in order.
-            records = records.withColumn("seq", F.monotonically_increasing_id())
-            report = run_report(records, RECORD_LAYOUTS[args.layout], order=["seq"])
+            from .sinks.records import is_record_log, read_records
+            from .sources.text import read_lines_in_order
+            if is_record_log(spark, args.records_path):
+                records, order = read_records(spark, args.records_path), ["number", "pos"]
+            else:  # a text file of records, one per line
+                records, order = read_lines_in_order(spark, args.records_path, "record"), ["at"]
+            report = run_report(records, RECORD_LAYOUTS[args.layout], order=order)
             for r in report.orderBy("i").toLocalIterator():
                 print(f"Result {r['i']}: " + ", ".join(
-                    f"{k}={r[k]}" for k in report.columns if k not in ("i", "seq")))
+                    f"{k}={r[k]}" for k in report.columns if k not in ("i", *order)))
         elif args.cmd == "summary":
             from pyspark.sql import functions as F
 

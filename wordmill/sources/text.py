@@ -27,6 +27,21 @@ def read_lines(spark: SparkSession, path: str | list[str], line_col: str = "valu
     return df if line_col == "value" else df.withColumnRenamed("value", line_col)
 
 
+def read_lines_in_order(spark: SparkSession, path: str | list[str], line_col: str = "line",
+                        at_col: str = "at") -> DataFrame:
+    """S1 with the place of each line: ``file, <at_col>, <line_col>``.
+
+    ``at_col`` is a struct that sorts as the lines stand: files by the time of
+    their last change (lines appended as new files come in that order), then by
+    name; in a file by the start of the split and the place in it. A row's
+    position alone does not say so: Spark deals splits to tasks by size.
+    """
+    lines = read_lines(spark, path, line_col)
+    at = F.struct(F.col("_metadata.file_modification_time").alias("changed"), F.col("_metadata.file_path").alias("file"),
+                  F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    return lines.select(F.col("_metadata.file_path").alias("file"), at.alias(at_col), line_col)
+
+
 def read_counts(spark: SparkSession, path: str, word_col: str = "word",
                 count_col: str = "count") -> DataFrame:
     """Read ``word<TAB>count`` lines back as (word STRING, count BIGINT).
