@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.ordering import global_index, range_sorted
+from ..plans.ordering import Descending, Order, global_index, range_sorted
 
 
 def sorted_counts(df: DataFrame, word_col: str = "word", rank_col: str | None = "rank",
@@ -22,12 +22,16 @@ def sorted_counts(df: DataFrame, word_col: str = "word", rank_col: str | None =
     return global_index(df, [F.col(word_col)], rank_col, num_partitions, distinct_rows=True)
 
 
+def _top_keys(count_col: str = "count", word_col: str = "word") -> list[Column]:
+    return [F.col(count_col), F.concat(F.col(word_col), F.lit("\t"))]
+
+
 def top_order(count_col: str = "count", word_col: str = "word") -> list[Column]:
     """Order of ``sort -t$'\\t' -k2 -nr`` on ``word<TAB>count`` lines (C
     locale): count descending, then the whole line compared bytewise and
     reversed. With equal counts that is ``word || TAB`` descending, which
     differs from ``word`` descending when a raw token holds a byte < 0x09."""
-    return [F.col(count_col).desc(), F.concat(F.col(word_col), F.lit("\t")).desc()]
+    return [c.desc() for c in _top_keys(count_col, word_col)]
 
 
 def top_words(df: DataFrame, k: int = 10, count_col: str = "count", word_col: str = "word",
@@ -46,11 +50,11 @@ def rank_words(df: DataFrame, count_col: str = "count", word_col: str = "word",
                num_partitions: int | None = None) -> DataFrame:
     """O2 for a whole result set or a very large k: every word with its rank,
     numbered by the distributed numbering (filter on the rank for a top k)."""
-    return global_index(df, top_order(count_col, word_col), rank_col, num_partitions, distinct_rows=True)
+    order = [Descending(c) for c in _top_keys(count_col, word_col)]
+    return global_index(df, order, rank_col, num_partitions, distinct_rows=True)
 
 
-def numbered(df: DataFrame, order: list[str | Column], name: str = "i",
+def numbered(df: DataFrame, order: list[Order], name: str = "i",
              num_partitions: int | None = None) -> DataFrame:
     """O3: number report rows 1..n in ``order`` (the ``i=1; i++`` loop)."""
-    return global_index(df, [F.col(c) if isinstance(c, str) else c for c in order],
-                        name, num_partitions)
+    return global_index(df, order, name, num_partitions)
