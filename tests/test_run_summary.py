@@ -1,0 +1,145 @@
+"""R8 for runs of any size, against the one-row form and a model."""
+
+from __future__ import annotations
+
+import os
+import random
+import re
+import subprocess
+import sys
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import ROOT
+from tests.test_skew import max_reduce_records
+from wordmill.operators import runlog as ops
+from wordmill.plans.inspect import below_first
+from wordmill.plans.ordering import Descending
+
+COUNTERS = [ops.Counter("m", "Launched map tasks", default="N/A"), ops.Counter("f", ops.matches("fail|=9"), default=0)]
+
+
+def make_logs(spark, n=900):
+    rng = random.Random(2)
+    rows = []
+    for i in range(n):
+        line = rng.choice(["Launched map tasks=%d", "Launched map tasks=%d of=%d", "fail=%d", "Launched map tasks", "x=%d", "=99999999999999999999 fail", None])
+        if line and "%d" in line:
+            line = line % tuple(rng.randint(0, 12) for _ in range(line.count("%d")))
+        rows.append((rng.choice(["hot", "hot", "b", None]), rng.randint(0, n // 2), line))
+    rows += rows[:40]  # repeated lines
+    return rows, spark.createDataFrame(rows, "run string, line_no int, line string").repartition(5)
+
+
+def model(rows):
+    """(run, counter) -> all its numbers in order."""
+    out: dict = {}
+    hits = []
+    for run, at, line in rows:
+        numbers = re.findall("=(\\d+)", line or "")
+        if not numbers:
+            continue
+        hits += [(run, "m", at, numbers)] if "Launched map tasks" in line else []
+        hits += [(run, "f", at, numbers)] if re.search("fail|=9", line) else []
+    for run, name, _, numbers in sorted(hits, key=lambda h: (h[2], h[3])):
+        out.setdefault((run, name), []).extend(numbers)
+    return out
+
+
+@pytest.mark.parametrize("ranges", [None, 1, 7])
+def test_numbers_are_those_of_the_one_row_form(spark, ranges):
+    rows, df = make_logs(spark)
+    got: dict = {}
+    for r in ops.run_numbers(df, COUNTERS, num_ranges=ranges).orderBy("pos").collect():
+        assert r["value"] == (int(r["number"]) if int(r["number"]) < 2**63 else None)
+        got.setdefault((r["run"], r["counter"]), []).append((r["pos"], r["number"]))
+    want = model(rows)
+    assert {k: [n for _, n in v] for k, v in got.items()} == want
+    assert all([p for p, _ in v] == list(range(1, len(v) + 1)) for v in got.values())
+    row = {r["run"]: r for r in ops.log_summary(df, counters=COUNTERS).collect()}
+    for (run, name), numbers in want.items():
+        assert row[run][name] == "\n".join(numbers)
+
+
+def test_summary_is_the_row_of_the_one_row_form(spark):
+    rows, df = make_logs(spark)
+    rest = {"line_counts": {"failed": "fail"}, "success_marker": "tasks=12"}
+    old = {r["run"]: r.asDict() for r in ops.log_summary(df, counters=COUNTERS, **rest).collect()}
+    new = {r["run"]: r.asDict() for r in ops.run_summary(df, counters=COUNTERS, **rest).collect()}
+    want = model(rows)
+    assert set(old) == set(new) == {"hot", "b", None}
+    for run, row in new.items():
+        for name in ("m", "f"):
+            numbers = want.get((run, name), [])
+            assert row.pop(f"{name}_count") == len(numbers)
+            assert row.pop(name) == (numbers[0] if numbers else {"m": "N/A", "f": "0"}[name])
+            assert old[run].pop(name).split("\n")[0] == (numbers or {"m": ["N/A"], "f": ["0"]}[name])[0]
+        assert row == old[run]
+
+
+def test_defaults_and_empty(spark):
+    df = spark.createDataFrame([("r", 1, "nothing"), ("s", 1, "Launched map tasks=99999999999999999999")],
+                               "run string, line_no int, line string")
+    got = {r["run"]: r for r in ops.run_summary(df, counters=COUNTERS).collect()}
+    assert (got["r"]["m"], got["r"]["m_value"], got["r"]["m_count"], got["r"]["f_value"]) == ("N/A", None, 0, 0)
+    assert (got["s"]["m"], got["s"]["m_value"], got["s"]["m_count"]) == ("99999999999999999999", None, 1)
+    assert ops.run_summary(df.limit(0), counters=COUNTERS).collect() == []
+    assert ops.run_numbers(df.limit(0), COUNTERS).collect() == []
+
+
+def test_other_orders(spark):
+    df = spark.createDataFrame([("r", 1, 2, "m=1"), ("r", 1, 1, "m=2"), ("r", 2, 0, "m=3")],
+                               "run string, a int, b int, line string")
+    counter = [ops.Counter("m", "m")]
+    got = ops.run_numbers(df, counter, order=[Descending("a"), "b"]).orderBy("pos").collect()
+    assert [r["number"] for r in got] == ["3", "2", "1"]
+    assert ops.run_summary(df, counters=counter, order=[-F.col("a"), "b"]).first()["m"] == "3"
+
+
+def test_summary_combines_map_side_in_fixed_size(spark):
+    df = spark.createDataFrame([("r", 1, "x")], "run string, line_no int, line string")
+    plan = below_first(ops.run_summary(df, counters=COUNTERS), "Exchange")
+    assert any("partial_min" in ln for ln in plan) and not any("collect" in ln for ln in plan)
+
+
+SCRIPT = r'''
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import functions as F
+from wordmill.operators import runlog as ops
+from wordmill.session import build_session
+spark = build_session("local[4]", "hot-run", {
+    "spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.enabled": "false",
+    "spark.eventLog.enabled": "true", "spark.eventLog.dir": sys.argv[2],
+    "spark.eventLog.rolling.enabled": "false", "spark.eventLog.compress": "false"})
+n = 120_000
+logs = spark.range(0, n, 1, 8).select(
+    F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("r"), (F.col("id") % 5000).cast("string"))).alias("run"),
+    F.col("id").alias("line_no"), F.concat(F.lit("Launched map tasks="), F.col("id").cast("string")).alias("line"))
+counters = [ops.Counter("m", "Launched map tasks")]
+spark.sparkContext.setJobDescription("numbers")
+rows = ops.run_numbers(logs, counters)
+rows.write.format("noop").mode("overwrite").save()
+spark.sparkContext.setJobDescription("summary")
+ops.run_summary(logs, counters=counters).write.format("noop").mode("overwrite").save()
+spark.sparkContext.setJobDescription("check")
+hot = rows.where("run = 'hot'").selectExpr("count(*)", "min(pos)", "max(pos)", "count_if(value = 3 * (pos - 1))").first()
+assert tuple(hot) == (n // 3, 1, n // 3, n // 3), hot
+first = ops.run_summary(logs, counters=counters).where("run = 'hot'").first()
+assert (first["n_lines"], first["m"], first["m_count"]) == (n // 3, "0", n // 3), first
+spark.stop()
+'''
+
+
+def test_no_task_holds_a_hot_run():
+    logdir = tempfile.mkdtemp(prefix="wordmill-hot-")
+    r = subprocess.run([sys.executable, "-c", SCRIPT, ROOT, logdir], capture_output=True, text=True, timeout=600)
+    assert r.returncode == 0, r.stderr[-3000:]
+    worst = max_reduce_records(logdir)
+    # The hot run has 40,000 of the 120,000 marker lines; a range has about a
+    # twelfth of all. The summary sends a row per run and task.
+    assert 0 < worst["numbers"] < 25_000, worst
+    assert 0 < worst["summary"] < 8 * 5000 / 12 * 2, worst
+    assert os.path.isdir(logdir)

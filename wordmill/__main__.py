@@ -139,12 +139,9 @@ def main(argv: list[str] | None = None) -> int:
                 print(f"Result {r['i']}: " + ", ".join(
                     f"{k}={r[k]}" for k in report.columns if k not in ("i", *order)))
         elif args.cmd == "summary":
-            from pyspark.sql import functions as F
-
             from .operators.runlog import Counter, log_summary
-            from .sources.text import read_lines
-            logs = read_lines(spark, args.logs, line_col="line").select(
-                F.col("_metadata.file_path").alias("run"), F.monotonically_increasing_id().alias("line_no"), "line")
+            from .sources.text import read_lines_in_order
+            logs = read_lines_in_order(spark, args.logs, at_col="line_no").withColumnRenamed("file", "run")
             summary = log_summary(logs, counters=[Counter(n, m) for n, m in LOG_COUNTERS.items()],
                                   line_counts=LOG_LINES)
             for r in summary.orderBy("run").toLocalIterator():  # one row per log file

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import runlog as R
+from ..plans.ordering import Order, grouped_index
 from .rank import numbered
 
 # Fixed values from the reference: metadata bytes per block, and its sweep
@@ -218,6 +219,81 @@ class Counter:
     pattern: str = COUNTER_PATTERN
 
 
+def _found(ctr: Counter, line: Column) -> tuple[Column, Column]:
+    """The numbers of a counter on a line, and whether the line has any."""
+    numbers = F.regexp_extract_all(line, F.lit(ctr.pattern), 1)
+    return numbers, F.coalesce(_pred(ctr.marker)(line) & (F.size(numbers) > 0), F.lit(False))
+
+
+# Sorts arrays of numbers as Spark sorts the arrays: no number holds a NUL.
+_NUL = "\0"
+
+
+def run_numbers(logs: DataFrame, counters: Sequence[Counter], by: Sequence[str] = ("run",), col: str = "line",
+                order: Sequence[Order] = ("line_no",), num_ranges: int | None = None) -> DataFrame:
+    """R8, the numbers of a run of any size as rows: ``by, counter, pos,
+    number, value``.
+
+    ``pos`` numbers what a counter found in a run, from 1, in line order (lines
+    of equal order by their numbers) and along the line; ``number`` is the
+    text, ``value`` the BIGINT (null if it is none). The lines of a run are
+    merged in two levels (:func:`~wordmill.plans.ordering.grouped_index`):
+    ranked per range of the order, then shifted by the ranges before, so no
+    task holds all lines of a hot run. Null keys form a run of their own.
+    """
+    line, by = F.col(col), list(by)
+    keys = [k.column if hasattr(k, "column") else k for k in order]
+    names = [f"_o{i}" for i in range(len(keys))]
+    hits = []
+    for ctr in counters:
+        numbers, hit = _found(ctr, line)
+        hits.append(F.when(hit, F.struct(F.lit(ctr.name).alias("counter"), numbers.alias("numbers"))))
+    rows = (logs.select(*by, *[(F.col(k) if isinstance(k, str) else k).alias(n) for k, n in zip(keys, names)],
+                        F.explode(F.array_compact(F.array(*hits))).alias("_h"))
+            .groupBy(*by, *names, F.col("_h.counter").alias("counter"), F.col("_h.numbers").alias("_numbers"))
+            .agg(F.count(F.lit(1)).alias("_copies"))
+            .withColumn("_text", F.array_join("_numbers", _NUL)))
+    marks = [type(k)(n) if hasattr(k, "column") else n for k, n in zip(order, names)]
+    placed = grouped_index(rows, [*by, "counter"], [*marks, "_text"], "_start",
+                           weight=F.col("_copies") * F.size("_numbers"), num_ranges=num_ranges)
+    return (placed.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+            .select(*by, "counter", "_start", "_copy", F.size("_numbers").alias("_n"), F.posexplode("_numbers").alias("_i", "number"))
+            .select(*by, "counter", (F.col("_start") + F.col("_copy") * F.col("_n") + F.col("_i")).alias("pos"),
+                    "number", F.col("number").try_cast("bigint").alias("value")))
+
+
+def run_summary(logs: DataFrame, by: Sequence[str] = ("run",), col: str = "line",
+                order: Sequence[str | Column] = ("line_no",), counters: Sequence[Counter] = (),
+                line_counts: dict[str, str | Predicate] | None = None,
+                success_marker: str | Predicate | None = "completed successfully",
+                status_col: str = "status") -> DataFrame:
+    """R8 for runs of any size: one row per run, in one grouped pass of partial
+    aggregates of fixed size, so a run with a third of all lines costs one row
+    per task.
+
+    As :func:`log_summary`, but a counter ``c`` gives its first number in line
+    order (``c``, text, else the default; ``c_value``, BIGINT) and how many
+    there are (``c_count``); :func:`run_numbers` has them all, as rows.
+    """
+    line = F.col(col)
+    places = [F.col(k) if isinstance(k, str) else k for k in order]
+    aggs: list[Column] = [F.count(F.lit(1)).alias("n_lines")]
+    for ctr in counters:
+        numbers, hit = _found(ctr, line)
+        at = F.struct(*[p.alias(f"o{i}") for i, p in enumerate(places)], F.array_join(numbers, _NUL).alias("text"),
+                      F.get(numbers, F.lit(0)).alias("number"))
+        first = F.coalesce(F.min(F.when(hit, at))["number"], F.lit(str(ctr.default)))
+        text = R.or_default(F.min(F.when(hit, at))["number"], ctr.default)
+        aggs += [text.alias(ctr.name), first.try_cast("bigint").alias(f"{ctr.name}_value"),
+                 F.coalesce(F.sum(F.when(hit, F.size(numbers))), F.lit(0)).cast("long").alias(f"{ctr.name}_count")]
+    for name, marker in (line_counts or {}).items():
+        aggs.append(F.count_if(_pred(marker)(line)).alias(name))
+    if success_marker is not None:
+        any_hit = F.coalesce(F.bool_or(_pred(success_marker)(line)), F.lit(False))
+        aggs.append(status_of(any_hit).alias(status_col))
+    return logs.groupBy(*by).agg(*aggs)
+
+
 def log_summary(logs: DataFrame, by: Sequence[str] = ("run",), col: str = "line",
                 order_col: str = "line_no", counters: Sequence[Counter] = (),
                 line_counts: dict[str, str | Predicate] | None = None,
@@ -232,8 +308,9 @@ def log_summary(logs: DataFrame, by: Sequence[str] = ("run",), col: str = "line"
     line order, one per line as ``grep -o`` prints them, or the default as it
     is (``N/A`` stays ``N/A``). ``c_value`` is the first of them as BIGINT
     (null if it is no number). A run's numbers are kept in its row, as the
-    reference keeps them in a variable; for logs with very many marker lines
-    per run use :func:`extract_counters`, which gives one row each.
+    reference keeps them in a variable, so a row grows with its run: for logs
+    with very many marker lines per run use :func:`run_summary` and
+    :func:`run_numbers`.
     """
     line = F.col(col)
     aggs: list[Column] = [F.count(F.lit(1)).alias("n_lines")]
