@@ -49,6 +49,39 @@ def test_ids_are_the_library_s(texts, size_bits, monkeypatch):
     assert [list(x) for x in packing.tokenizer(BYTES)(texts)] == want
 
 
+@pytest.mark.parametrize("size", [1024, 2048])
+def test_words_with_equal_polynomial_hashes(spark, size):
+    # Letters by the parity of the index's bits: such a word and its mirror
+    # image collide in every polynomial hash modulo 2 ** 64.
+    for one, two in ("ab", "er", "st", "01"):
+        word = "".join((one, two)[i.bit_count() % 2] for i in range(size))
+        mirror = word.translate(str.maketrans(one + two, two + one))
+        texts = [f"x {word}", f"x {mirror}", f"{word} {mirror} {word}"]
+        model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+        assert list(token_counts.counter(PIECES)([t.encode() for t in texts])) == [len(model.encode(t)) for t in texts]
+        library = Tokenizer.from_file(BYTES)
+        assert [list(x) for x in packing.tokenizer(BYTES)(texts)] == [
+            library.encode(t, add_special_tokens=False).ids for t in texts]
+        if size == 1024:
+            docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+            got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, PIECES).collect()}
+            assert got == {i: len(model.encode(t)) for i, t in enumerate(texts)}
+            check_packing(packing.pack(docs, BYTES).collect(), {i: [t] for i, t in enumerate(texts)})
+
+
+def test_random_texts_are_the_library_s():
+    rng = random.Random(17)
+    texts = ["".join(rng.choice(" \n.,aebt'1é日") for _ in range(rng.randint(0, 60))) for _ in range(100_000)]
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    count = token_counts.counter(PIECES)
+    library = Tokenizer.from_file(BYTES)
+    ids = packing.tokenizer(BYTES)
+    for i in range(0, len(texts), 20_000):
+        part = texts[i:i + 20_000]
+        assert list(count([t.encode() for t in part])) == [len(x) for x in model.encode(part, num_threads=1)]
+        assert [x.tolist() for x in ids(part)] == [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+
+
 def test_whole_tokens_are_proven():
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     whole = token_counts.whole_tokens(model)

@@ -1,11 +1,10 @@
 """A bounded memo from pre-tokens to what a tokenizer makes of them.
 
 Texts of one slice are cut into pre-tokens at spaces where the tokenizer never
-merges across (the caller says which), hashed all at once with numpy (two
-independent 64-bit polynomial hashes, 128 bits together), and looked up in an
-open-addressing table. Only pre-tokens that are not in the table reach the
-tokenizer, each once. The table is emptied when it is full, so a task's memory
-does not grow with the corpus.
+merges across (the caller says which; numpy finds the places) and looked up by
+their bytes in a dictionary. Only pre-tokens that are not in it reach the
+tokenizer, each once, all of a block in one call. The memo is emptied when it
+is full, so a task's memory does not grow with the corpus.
 """
 
 from __future__ import annotations
@@ -14,19 +13,22 @@ from collections.abc import Callable
 
 import numpy as np
 
-_MASK = (1 << 64) - 1
-_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so they have inverses
-_BLOCK = 1 << 18  # bytes hashed at once
-_LONG = 1 << 12  # longer pre-tokens go straight to the tokenizer
-_SPREAD = np.uint64(0xFF51AFD7ED558CCD)
+_BLOCK = 1 << 18  # bytes looked up at once
+_LONG = 1 << 12  # a longer pre-token alone in its block goes straight to the tokenizer
+_HELD = 1 << 25  # bytes of pre-tokens that a memo holds
 
 
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        up = np.full(n, base & _MASK, np.uint64)
-        down = np.full(n, pow(base, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        return np.cumprod(up), np.cumprod(down)
+class _Slots(dict):
+    """Pre-token -> slot; one that is new gets the next slot and is noted."""
+
+    def __init__(self, known: list[bytes]):
+        super().__init__(zip(known, range(len(known))))
+        self.new: list[bytes] = []
+
+    def __missing__(self, key: bytes) -> int:
+        slot = self[key] = len(self)
+        self.new.append(key)
+        return slot
 
 
 class PretokenTable:
@@ -35,74 +37,41 @@ class PretokenTable:
 
     ``strip``: the first byte of a pre-token (its space) is not part of it,
     except for the first pre-token of a text. ``known``: pre-tokens of one id.
+    A memo holds up to half of ``2 ** size_bits`` pre-tokens.
     """
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray | None]],
                  may_split: Callable[[np.ndarray], np.ndarray], strip: bool,
                  known: list[bytes] | None = None, size_bits: int = 20):
-        self.encode, self.may_split, self.strip, self.known = encode, may_split, strip, known
-        self.bits, self.size = size_bits, 1 << size_bits
-        self.powers = [_powers(b, _BLOCK + 2 * _LONG) for b in _BASES]
+        self.encode, self.may_split, self.strip, self.known = encode, may_split, strip, list(dict.fromkeys(known or []))
+        self.size = 1 << size_bits
         self.clear()
 
     def clear(self) -> None:
-        self.h1 = np.zeros(self.size, np.uint64)
-        self.h2 = np.zeros(self.size, np.uint64)
-        self.at = np.zeros(self.size, np.int32)
-        self.length = np.full(self.size, -1, np.int32)
+        self.slots = _Slots(self.known)
+        self.at = np.zeros(self.size, np.int64)
+        self.length = np.ones(self.size, np.int32)  # those of the known ones stay 1
         self.pool = np.zeros(1 << 16, np.uint32)
-        self.used = self.filled = 0
-        if self.known:
-            buf = np.frombuffer(b"".join(self.known), np.uint8)
-            sizes = np.fromiter(map(len, self.known), np.int64, len(self.known))
-            ends = np.cumsum(sizes)
-            for lo, hi in self._blocks(ends - sizes, ends):
-                h1, h2 = self._hash(buf, (ends - sizes)[lo:hi], ends[lo:hi])
-                self._insert(h1, h2, np.ones(hi - lo, np.int64), None)
-
-    # -- table ------------------------------------------------------------
-
-    def _slot(self, h1: np.ndarray) -> np.ndarray:
-        return ((h1 * _SPREAD) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def _find(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-        """Slot of each key, -1 if absent."""
-        found = np.full(len(h1), -1, np.int64)
-        slot, left = self._slot(h1), np.arange(len(h1))
-        while len(left):
-            s = slot[left]
-            taken = self.length[s] >= 0
-            hit = taken & (self.h1[s] == h1[left]) & (self.h2[s] == h2[left])
-            found[left[hit]] = s[hit]
-            left = left[taken & ~hit]
-            slot[left] = (slot[left] + 1) & (self.size - 1)
-        return found
-
-    def _insert(self, h1: np.ndarray, h2: np.ndarray, lengths: np.ndarray, ids: np.ndarray | None) -> None:
-        """Add distinct keys that are not in the table."""
-        starts = self.used + np.cumsum(lengths) - lengths
+        self.used = self.held = 0
+
+    def _learn(self) -> None:
+        """What the tokenizer makes of the new pre-tokens."""
+        new, self.slots.new = self.slots.new, []
+        lengths, ids = self.encode([k.decode() for k in new])
+        end = len(self.slots)
         if ids is not None:
             if self.used + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool[:self.used],
-                                            np.zeros(2 * (self.used + len(ids)), np.uint32)])
+                self.pool = np.concatenate([self.pool[:self.used], np.zeros(2 * (self.used + len(ids)), np.uint32)])
             self.pool[self.used:self.used + len(ids)] = ids
+            self.at[end - len(new):end] = self.used + np.cumsum(lengths) - lengths
             self.used += len(ids)
-        self.filled += len(lengths)
-        slot, left = self._slot(h1), np.arange(len(h1))
-        while len(left):
-            s = slot[left]
-            free = np.flatnonzero(self.length[s] < 0)
-            places, first = np.unique(s[free], return_index=True)
-            won = left[free[first]]
-            self.h1[places], self.h2[places] = h1[won], h2[won]
-            self.at[places], self.length[places] = starts[won], lengths[won]
-            left = np.setdiff1d(left, won, assume_unique=True)
-            slot[left] = (slot[left] + 1) & (self.size - 1)
+        self.length[end - len(new):end] = lengths
+        self.held += sum(map(len, new))
 
     # -- texts ------------------------------------------------------------
 
     def _blocks(self, starts: np.ndarray, ends: np.ndarray):
-        """Runs of pre-tokens of up to :data:`_BLOCK` bytes and half a table."""
+        """Runs of pre-tokens of up to :data:`_BLOCK` bytes and half a memo."""
         lo = 0
         while lo < len(starts):
             hi = int(np.searchsorted(ends, starts[lo] + _BLOCK, "right"))
@@ -110,17 +79,6 @@ class PretokenTable:
             yield lo, hi
             lo = hi
 
-    def _hash(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-        base = int(starts[0])
-        part = buf[base:int(ends[-1])].astype(np.uint64) + np.uint64(1)
-        a, b = starts - base, ends - base
-        out = []
-        for up, down in self.powers:
-            sums = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(part * up[:len(part)], out=sums[1:])
-            out.append((sums[b] - sums[a]) * down[a])
-        return out
-
     def lookup(self, texts: list[bytes], with_ids: bool):
         """Yields ``(text_index, counts, ids)`` per block of pre-tokens in text
         order: the text of each pre-token, its number of ids, and all ids."""
@@ -144,19 +102,13 @@ class PretokenTable:
             if hi - lo == 1 and b[0] - a[0] > _LONG:
                 yield who, *self.encode([bytes(buf[a[0]:b[0]]).decode()])
                 continue
-            if self.filled + hi - lo > self.size // 2:
+            if len(self.slots) + hi - lo > self.size // 2 or self.held > _HELD:
                 self.clear()
-            h1, h2 = self._hash(buf, a, b)
-            slots = self._find(h1, h2)
-            miss = np.flatnonzero(slots < 0)
-            if len(miss):
-                keys = np.stack([h1[miss], h2[miss]], axis=1).view([("h1", "u8"), ("h2", "u8")]).ravel()
-                _, first = np.unique(keys, return_index=True)
-                new = miss[first]
-                part = bytes(buf[a[0]:b[-1]])
-                self._insert(h1[new], h2[new], *self.encode(
-                    [part[x:y].decode() for x, y in zip((a[new] - a[0]).tolist(), (b[new] - a[0]).tolist())]))
-                slots[miss] = self._find(h1[miss], h2[miss])
+            base, part = a[0], bytes(buf[a[0]:b[-1]])
+            keys = [part[x:y] for x, y in zip((a - base).tolist(), (b - base).tolist())]
+            slots = np.fromiter(map(self.slots.__getitem__, keys), np.int64, hi - lo)
+            if self.slots.new:
+                self._learn()
             n = self.length[slots]
             yield who, n, self._gather(slots, n) if with_ids else None
 

@@ -3,9 +3,10 @@
 For a sentencepiece BPE vocabulary in which no piece holds the space mark
 after another character, no merge crosses the place before a run of spaces, so
 a text's tokens are those of its pre-tokens. Vocabulary strings that encode
-alone as one token are found once per task by asking the tokenizer for every
-one of them; pre-tokens among these count one and are never merged. The rest
-is merged by the tokenizer, each distinct one once per memo (a bounded table).
+alone as one token are proved before the job by asking the tokenizer for every
+one of them (a list of at most the vocabulary's size, sent with the tasks);
+pre-tokens among these count one and are never merged. The rest is merged by
+the tokenizer, each distinct one once per memo (bounded, keyed by the bytes).
 """
 
 from __future__ import annotations
@@ -46,12 +47,18 @@ def _may_split(buf: np.ndarray) -> np.ndarray:
     return cut
 
 
-def counter(model_path: str):
-    """``texts -> token counts`` for one task."""
+def prove(model_path: str) -> list[bytes]:
+    """The whole tokens of a vocabulary that never merges across spaces."""
     model = sentencepiece.SentencePieceProcessor(model_file=model_path)
     if not splits_at_spaces(model):
         raise ValueError("a piece of this vocabulary crosses a space")
-    whole = [w.encode() for w in whole_tokens(model)]
+    return [w.encode() for w in whole_tokens(model)]
+
+
+def counter(model_path: str, whole: list[bytes] | None = None):
+    """``texts -> token counts`` for one task, given its :func:`prove`."""
+    model = sentencepiece.SentencePieceProcessor(model_file=model_path)
+    whole = prove(model_path) if whole is None else whole
 
     def encode(keys: list[str]) -> tuple[np.ndarray, None]:
         coded = model.encode(keys, num_threads=1)
@@ -67,10 +74,13 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     Counts are those of the library on the whole text, without begin or end
     tokens; strings of control tokens inside a text are ordinary text. A null
     or empty text has zero bytes and tokens; repeated rows are each returned;
-    other columns are ignored. The tokenizer file must exist on the executors.
+    other columns are ignored. The tokenizer file must exist on the driver and the
+    executors.
     """
+    whole = prove(model_path)
+
     def start():
-        count = counter(model_path)
+        count = counter(model_path, whole)
 
         def work(ids, texts):
             coded = [t.encode() for t in texts]
