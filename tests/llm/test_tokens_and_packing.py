@@ -189,3 +189,34 @@ def test_local_search_empties_bins():
     start = packing._best_fit(counts, 106)
     found = check_plan(counts, 106)
     assert found <= sum(start.count.values())
+
+
+@pytest.mark.parametrize("n, low, high, at_most", [
+    (2000, 300, 1200, 740), (20000, 400, 1400, 8820), (200000, 300, 1500, 88100)])
+def test_local_search_goes_on_until_no_exchange_is_left(n, low, high, at_most):
+    rng = random.Random(1)
+    counts = Counter(rng.randint(low, high) for _ in range(n))
+    start = sum(packing._best_fit(counts, 2048).count.values())
+    found = check_plan(dict(counts), 2048)
+    assert found <= at_most < start
+    bins = packing._best_fit(counts, 2048)
+    search = packing._Search(bins)
+    search.run()
+    if search.n_bins > -(-sum(k * v for k, v in counts.items()) // 2048):
+        search.least = 1
+        assert all(search._partner(p) is None for p, k in bins.count.items() if k and bins.fill(p) < 2048)
+
+
+def test_search_over_a_billion_pieces_ends():
+    rng = random.Random(1)
+    counts = {k: rng.randint(1, 2_000_000) for k in range(300, 1500)}
+    bins = packing._best_fit(counts, 2048)
+    start = sum(bins.count.values())
+    packing._Search(bins).run()
+    assert sum(bins.count.values()) < start
+    total = Counter()
+    for pattern, n in bins.count.items():
+        assert bins.fill(pattern) <= 2048
+        for length, k in pattern:
+            total[length] += k * n
+    assert total == Counter(counts)
