@@ -39,6 +39,28 @@ def kv_value(col: str | Column, key: str, pair_sep: str = "|", kv_sep: str = "="
     return F.nullif(F.regexp_extract(_col(col), pattern, 1), F.lit(""))
 
 
+def kv_entries(col: str | Column, pair_sep: str = "|", kv_sep: str = "=") -> Column:
+    """P6 without a field list: the ``key, value`` entries of a ``K=V<sep>K=V``
+    record, in order, as an array of structs.
+
+    The key ends at the first ``kv_sep``; parts without one are no entries.
+    The first occurrence of a key wins, an empty value is null, both as in
+    :func:`kv_value`. Repeated keys are found by sorting the entries of the
+    record, so a record of many pairs costs no more than that.
+    """
+    parts = F.transform(
+        F.filter(F.split(_col(col), regex_quote(pair_sep)), lambda p: p.contains(kv_sep)),
+        lambda p, i: F.struct(F.substring_index(p, kv_sep, 1).alias("key"), i.alias("at"),
+                              F.nullif(p.substr(F.length(F.substring_index(p, kv_sep, 1)) + len(kv_sep) + 1,
+                                                F.length(p)), F.lit("")).alias("value")))
+    ranked = F.sort_array(parts)  # by key, then place
+    before = F.concat(F.array(F.lit(None)).cast("array<struct<key:string,at:int,value:string>>"), ranked)
+    first = F.array_compact(F.zip_with(ranked, before, lambda e, b: F.when(
+        e.isNotNull() & (b.isNull() | (b["key"] != e["key"])),
+        F.struct(e["at"].alias("at"), e["key"].alias("key"), e["value"].alias("value")))))
+    return F.transform(F.sort_array(first), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+
+
 def or_default(col: str | Column, default) -> Column:
     """``value || echo default`` - a missing or empty value becomes
     ``default``. Works on the extracted text, before any typing."""

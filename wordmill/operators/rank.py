@@ -54,6 +54,38 @@ def rank_words(df: DataFrame, count_col: str = "count", word_col: str = "word",
     return global_index(df, order, rank_col, num_partitions, distinct_rows=True)
 
 
+# A count is rounded down to this many leading bits in the histogram.
+_BITS = 7
+
+
+def count_cutoff(df: DataFrame, k: int, count_col: str = "count") -> int | None:
+    """A count that at least the ``k`` most frequent words reach, as near to
+    theirs as a histogram of the counts tells; None if there are fewer words.
+
+    The histogram has a row per count of up to 128 and per 1/64 of a power of
+    two above, less than 4,000 rows whatever the data holds, and is combined
+    in the tasks. Runs one job, which returns one number.
+    """
+    c = F.col(count_col).cast("long")
+    low = F.greatest(F.length(F.bin(c)) - _BITS, F.lit(0))
+    edge = F.when(c > 0, F.call_function("shiftleft", F.call_function("shiftright", c, low), low)).otherwise(c)
+    steps = df.select(edge.alias("edge")).groupBy("edge").agg(F.count(F.lit(1)).alias("n"))
+    reached = F.sum("n").over(Window.orderBy(F.col("edge").desc()))
+    return steps.withColumn("reached", reached).where(F.col("reached") >= k).agg(F.max("edge")).first()[0]
+
+
+def top_ranked(df: DataFrame, k: int, count_col: str = "count", word_col: str = "word", rank_col: str = "rank",
+               num_partitions: int | None = None) -> DataFrame:
+    """O2 for a large k: the same rows and ranks as :func:`top_words`. Words
+    below a cut-off from the histogram of counts go in the scan; what passes
+    (k words and those that share the cut-off's step) is ranked by the
+    distributed numbering, so no task gathers the k best of every other task.
+    """
+    cutoff = count_cutoff(df, k, count_col)
+    passed = df if cutoff is None else df.where(F.col(count_col) >= cutoff)
+    return rank_words(passed, count_col, word_col, rank_col, num_partitions).where(F.col(rank_col) <= k)
+
+
 def numbered(df: DataFrame, order: list[Order], name: str = "i",
              num_partitions: int | None = None) -> DataFrame:
     """O3: number report rows 1..n in ``order`` (the ``i=1; i++`` loop)."""

@@ -103,6 +103,31 @@ def parse_kv(df: DataFrame, fields: Sequence[Field | str], col: str = "record",
     return df.select(*keep, *[field_column(col, f, pair_sep, kv_sep) for f in specs])
 
 
+def kv_rows(df: DataFrame, col: str = "record", pair_sep: str = "|", kv_sep: str = "=",
+            keep: Sequence[str] | None = None, pos_col: str | None = None) -> DataFrame:
+    """P6 without a field list: one row per record and key, ``keep, key,
+    value``, whatever the keys are; with ``pos_col`` the place of the key among
+    the record's keys, from 1.
+
+    The first occurrence of a key wins, an empty value is null, a null record
+    has no key. No shuffle: a record's keys are compared in its own row.
+    """
+    keep = list(keep if keep is not None else [c for c in df.columns if c != col])
+    entries = R.kv_entries(col, pair_sep, kv_sep)
+    rows = df.select(*keep, F.posexplode(entries).alias("_p", "_e"))
+    place = [(F.col("_p") + 1).cast("long").alias(pos_col)] if pos_col else []
+    return rows.select(*keep, *place, F.col("_e.key").alias("key"), F.col("_e.value").alias("value"))
+
+
+def discover_keys(df: DataFrame, col: str = "record", pair_sep: str = "|", kv_sep: str = "=") -> DataFrame:
+    """The keys that occur in the records of a set: ``key, n_records, n_values,
+    n_numbers`` (records that have the key, with a value, with a number)."""
+    rows = kv_rows(df.select(col), col, pair_sep, kv_sep, keep=[])
+    return rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n_records"), F.count("value").alias("n_values"),
+        F.count(F.col("value").try_cast("decimal(38,10)")).alias("n_numbers"))
+
+
 # The fields of the reference's five record layouts, in order.
 RECORD_LAYOUTS: dict[str, tuple[Field, ...]] = {
     "block_size": (Field("BLOCKSIZE", "int"), Field("BLOCOS", "int"), Field("MAP_TASKS", "int"),

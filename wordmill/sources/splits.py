@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 MB = 1024 * 1024
 
 
-def session_with_splits(spark: SparkSession, size_mb: int) -> SparkSession:
+def session_with_splits(spark: SparkSession, size_mb: int, unit_bytes: int = MB) -> SparkSession:
     """A child session (same context, own settings) with this split size."""
     child = spark.newSession()
-    child.conf.set("spark.sql.files.maxPartitionBytes", str(size_mb * MB))
+    child.conf.set("spark.sql.files.maxPartitionBytes", str(size_mb * unit_bytes))
     return child
 
 
@@ -40,18 +40,19 @@ def read_tasks(spark: SparkSession, path: str | list[str], fmt: str = "text") ->
 
 
 def split_report(spark: SparkSession, path: str | list[str], sizes_mb: Sequence[int],
-                 fmt: str = "text") -> DataFrame:
+                 fmt: str = "text", size_col: str = "split_mb", unit_bytes: int = MB) -> DataFrame:
     """One row per split size: (split_mb, tasks, splits, rows) - the
-    planned read tasks, the splits that held rows, and the rows read.
+    planned read tasks, the splits that held rows, and the rows read. Sizes are
+    in units of ``unit_bytes`` (MB unless given).
 
     The split size is a read-time setting, so each size is its own scan, in a
     child session of its own: other queries of ``spark`` never see it.
     """
     rows = []
     for size in sizes_mb:
-        child = session_with_splits(spark, size)
+        child = session_with_splits(spark, size, unit_bytes)
         tasks = read_tasks(child, path, fmt)
         got = splits_of(child, path, fmt).agg(
             F.count(F.lit(1)).alias("splits"), F.sum("rows").alias("rows")).first()
         rows.append((int(size), tasks, int(got["splits"]), int(got["rows"] or 0)))
-    return spark.createDataFrame(rows, "split_mb int, tasks int, splits long, rows long")
+    return spark.createDataFrame(rows, f"{size_col} int, tasks int, splits long, rows long")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
+from ..store import Store
+
 
 class InputNotFound(FileNotFoundError):
     """The input path does not exist (the job must not start)."""
@@ -49,9 +51,10 @@ def read_counts(spark: SparkSession, path: str, word_col: str = "word",
     Not CSV: raw tokens may hold quotes or commas. The count is after the
     last tab; a word never holds a tab (it is a token delimiter). A line that
     is no such pair fails the read, so a damaged result set is never merged
-    into a smaller total; ``bad_count_lines`` lists such lines.
+    into a smaller total; ``bad_count_lines`` lists such lines. If a replacement
+    of the set was cut off between its renames, the whole copy is read.
     """
-    lines = read_lines(spark, path)
+    lines = read_lines(spark, Store(spark, path).current(path))
     damaged = F.raise_error(F.concat(F.lit("not a word<TAB>count line: "), "value")).cast("bigint")
     return lines.select(
         F.substring_index("value", "\t", 1).alias(word_col),

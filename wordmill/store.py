@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# The marker of a staged input; a folder written by a Spark job has _SUCCESS.
+STAGED = "_STAGED"
+
+
 class Store:
     """The file system of ``path``; all paths are strings."""
 
@@ -26,11 +30,11 @@ class Store:
     def _full(self, path: str):
         return self._fs.makeQualified(self._path(path))
 
-    def beside(self, path: str, kind: str) -> str:
-        """A new hidden name in the folder of ``path``: ``.<name>.<kind>-<id>``
-        (Spark's readers pass over names that start with a dot)."""
+    def beside(self, path: str, kind: str, tag: str | None = None) -> str:
+        """A hidden name in the folder of ``path``: ``.<name>.<kind>-<tag>``, new
+        without a tag (Spark's readers pass over names that start with a dot)."""
         full = self._full(path)
-        return f"{full.getParent().toString().rstrip('/')}/.{full.getName()}.{kind}-{uuid.uuid4().hex}"
+        return f"{full.getParent().toString().rstrip('/')}/.{full.getName()}.{kind}-{tag or uuid.uuid4().hex}"
 
     def kept_beside(self, path: str, kind: str) -> list[str]:
         """The paths that :meth:`beside` named and that exist."""
@@ -68,6 +72,45 @@ class Store:
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
+    def complete(self, path: str) -> bool:
+        """Whether ``path`` is a file, or a folder that a job finished (its
+        marker is there)."""
+        return self.is_file(path) or any(self.exists(f"{path}/{m}") for m in ("_SUCCESS", STAGED))
+
+    def current(self, path: str) -> str:
+        """Where the data of ``path`` is: there, or, if a replacement was cut
+        off between its two renames, beside it: the new one if it is whole,
+        else the old one. A path that nobody was replacing is just missing."""
+        old = [] if self.exists(path) else self.kept_beside(path, "old")
+        for moved in old:
+            new = self.beside(path, "new", moved.rsplit("-", 1)[1])
+            if self.complete(new):
+                return new
+        return next(iter(old), path)
+
+    def replace(self, path: str, write) -> None:
+        """``write(folder)`` in a hidden folder beside ``path``, then put that in
+        its place by two renames. If the job fails, ``path`` is as it was; if
+        the process dies between the renames, :meth:`current` finds the data
+        and the next replacement goes on from there."""
+        left = self.current(path)
+        if left != path:
+            self.move(left, path)
+        tag = uuid.uuid4().hex
+        new, old = self.beside(path, "new", tag), self.beside(path, "old", tag)
+        try:
+            write(new)
+        except BaseException:
+            self.delete(new)
+            raise
+        if self.exists(path):
+            for rest in self.kept_beside(path, "old"):  # of a replacement that died at its end
+                self.delete(rest)
+            self.move(path, old)
+        if not self.move(new, path):
+            raise FileExistsError(f"{path} was written by another job; this one's result is in {new}")
+        self.delete(old)
+
     def write_new(self, path: str, text: str) -> bool:
         """A small file with ``text``, whole or not at all; False where ``path``
         exists already."""
