@@ -17,8 +17,11 @@ from ..functions import text as T
 from ..operators import rank, runlog
 from ..operators import text as ops
 from ..sources import corpus as corpus_src
+from ..sinks.buckets import merge_into, read_bucketed, write_bucketed
+from ..sinks.records import append_records, read_records
 from ..sinks.text import append_run, stage, write_counts
 from ..session import scratch_path
+from ..sources.splits import split_report
 from ..sources.tables import read_table, scan_partitions
 from ..sources.text import read_counts, read_lines
 
@@ -303,6 +306,120 @@ def q_log_summary(spark, sf_dir):
         line_counts={"tops": "#top", "resubmits": "Resubmitting"}, success_marker=".html")
 
 
+def q_record_log(spark, sf_dir):
+    # K4 with arrival numbers: records of unequal length, one append each; the
+    # first starts a new set, and every append is tried twice.
+    path = f"{scratch_path(spark, 'log')}/records"
+    append_records(table(spark, sf_dir, "benchmark", ["text"]).limit(1).select(F.lit("OLD=1").alias("value")), path)
+    for i, name in enumerate(ARRIVAL):
+        col = TEXT_TABLES[name]
+        size = table(spark, sf_dir, name, [col]).agg(
+            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(col)), F.lit(0)).alias("b"))
+        record = size.select(runlog.to_record([("TABELA", F.lit(name)), ("LINHAS", "n"), ("BYTES", "b")]).alias("value"))
+        for _ in range(2):
+            append_records(record, path, key=name, first=i == 0)
+    fields = [runlog.Field("TABELA"), runlog.Field("LINHAS", "bigint"), runlog.Field("BYTES", "bigint")]
+    return runlog.run_report(read_records(spark, path), fields, order=["number", "pos"]).drop("pos")
+
+
+def q_report_arrival(spark, sf_dir):
+    # R7 in order of arrival: one append per block size, in no sorted order,
+    # with a record per language.
+    path = f"{scratch_path(spark, 'log')}/records"
+    docs = table(spark, sf_dir, "documents")
+    for size in ARRIVAL_KB:
+        sweep = runlog.block_footprint(docs, "text", sizes=[size], by=["lang"], size_col="size", unit_bytes=1024)
+        append_records(sweep.select("lang", runlog.to_record(
+            [("BLOCKSIZE", "size"), ("LANG", "lang"), ("BLOCOS", "blocks"), ("METADATA", "metadata_bytes")]
+        ).alias("value")), path, order=["lang"])
+    fields = [runlog.Field("BLOCKSIZE", "int"), runlog.Field("LANG"), runlog.Field("BLOCOS", "int"),
+              runlog.Field("MAP_TASKS", "int", default=R.kv_value("record", "BLOCOS")), runlog.Field("METADATA", "bigint")]
+    return runlog.run_report(read_records(spark, path), fields, order=["number", "pos"]).drop("number", "pos")
+
+
+# Tables and block sizes in the order in which their records arrive.
+ARRIVAL = ("pages", "benchmark", "documents", "conversations")
+ARRIVAL_KB = (16, 1, 4)
+
+
+def _host_logs(spark, sf_dir):
+    # The stand-in job logs of q_log_summary.
+    return table(spark, sf_dir, "pages").select(
+        F.regexp_extract("url", r"//([^/]*)", 1).alias("host"), F.col("page_id").alias("line_no"), _numbered_url().alias("line"))
+
+
+_HOST_COUNTERS = [runlog.Counter("pages", "page=", default="N/A"), runlog.Counter("feeds", "=feed", default=0)]
+
+
+def q_run_summary(spark, sf_dir):
+    return runlog.run_summary(
+        _host_logs(spark, sf_dir), by=["host"], counters=_HOST_COUNTERS,
+        line_counts={"tops": "#top", "resubmits": "Resubmitting"}, success_marker=".html")
+
+
+def q_run_numbers(spark, sf_dir):
+    return runlog.run_numbers(_host_logs(spark, sf_dir), _HOST_COUNTERS, by=["host"])
+
+
+# The documents as text files of 200 lines each, and split sizes smaller than them.
+FILE_DOCS, SPLIT_KB = 200, (64, 128, 256)
+
+
+def q_split_report(spark, sf_dir):
+    # R9 over a written copy. How many tasks Spark plans depends on the
+    # cluster; the splits that held rows do not.
+    path = f"{scratch_path(spark, 'splits')}/in"
+    one_line = F.translate(F.coalesce("text", F.lit("")), "\n\r", "  ")
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    (docs.select(F.floor(F.col("doc_id") / FILE_DOCS).alias("file"), "doc_id", one_line.alias("value"))
+     .repartition("file").sortWithinPartitions("file", "doc_id").drop("doc_id")
+     .write.partitionBy("file").text(path))
+    return split_report(spark, path, SPLIT_KB, size_col="split_kb", unit_bytes=1024).drop("tasks")
+
+
+def q_stage_after_crash(spark, sf_dir):
+    # K3: a folder without a marker, as a job leaves that dies while it
+    # commits, is staged again; after that nothing is.
+    path = f"{scratch_path(spark, 'stage')}/in"
+    (table(spark, sf_dir, "benchmark", ["text"]).write
+     .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").text(path))
+    stage(table(spark, sf_dir, "conversations", ["text"]), path)
+    stage(table(spark, sf_dir, "benchmark", ["text"]), path)
+    return read_lines(spark, path, line_col="line")
+
+
+def q_merge_into(spark, sf_dir):
+    # A3: the raw counts of the other tables merged into the bucketed set of one.
+    path = f"{scratch_path(spark, 'set')}/counts"
+    raw = {t: ops.token_count(table(spark, sf_dir, t, [c], True), c) for t, c in TEXT_TABLES.items()}
+    write_bucketed(raw.pop("documents"), path, buckets=16)
+    merge_into(path, *raw.values())
+    return read_bucketed(spark, path)
+
+
+def _unlisted_records(spark, sf_dir):
+    # Stand-in records with unknown and repeated keys: URL query strings and more.
+    number = F.col("page_id").cast("string")
+    return table(spark, sf_dir, "pages").select("page_id", F.concat(
+        _page_query(), F.lit("&page=0&k"), (F.col("page_id") % 7).cast("string"), F.lit("="), number,
+        F.lit("&ref=again&empty=&word")).alias("record"))
+
+
+def q_kv_rows(spark, sf_dir):
+    return runlog.kv_rows(_unlisted_records(spark, sf_dir), pair_sep="&", keep=["page_id"])
+
+
+def q_discover_keys(spark, sf_dir):
+    return runlog.discover_keys(_unlisted_records(spark, sf_dir), pair_sep="&")
+
+
+LARGE_K = 20_000
+
+
+def q_top_ranked(spark, sf_dir):
+    return rank.top_ranked(ops.word_count(table(spark, sf_dir, "documents", ["text"], True), "text"), LARGE_K)
+
+
 def q_corpus_generate(spark, sf_dir):
     # One corpus line per event id, so the corpus grows with the table.
     return corpus_src.corpus_for(table(spark, sf_dir, "events"), "event_id")
@@ -362,6 +479,16 @@ QUERIES: dict[str, Query] = {
         "VCORES": "setting", "MAP_TASKS": "n", "REDUCE_TASKS": F.lit(1), "TEMPO_WC": "seconds",
         "VCORES_TOTAL": R.vcores_total("setting")}),
     "log_summary": q_log_summary,
+    "record_log": q_record_log,
+    "report_arrival": q_report_arrival,
+    "run_summary": q_run_summary,
+    "run_numbers": q_run_numbers,
+    "split_report": q_split_report,
+    "stage_after_crash": q_stage_after_crash,
+    "merge_into": q_merge_into,
+    "kv_rows": q_kv_rows,
+    "discover_keys": q_discover_keys,
+    "top_ranked": q_top_ranked,
     "corpus_generate": q_corpus_generate,
     "corpus_word_count": q_corpus_word_count,
 }
@@ -432,6 +559,30 @@ def _counter_sql(name: str, marker: str, default: str) -> str:
     text = f"coalesce(nullif({found}, ''), '{default}')"
     return f"{text} AS {name}, TRY_CAST(string_split({text}, chr(10))[1] AS BIGINT) AS {name}_value"
 
+
+def _numbers_sql(marker: str) -> str:
+    return (f"flatten(list(regexp_extract_all({_NUMBERED_URL}, '=(\\d+)', 1) ORDER BY page_id) "
+            f"FILTER (WHERE contains({_NUMBERED_URL}, '{marker}')))")
+
+
+def _first_sql(name: str, marker: str, default: str) -> str:
+    """The first number of a host, as text and BIGINT, and how many it has."""
+    found = _numbers_sql(marker)
+    return (f"coalesce(({found})[1], '{default}') AS {name}, "
+            f"TRY_CAST(coalesce(({found})[1], '{default}') AS BIGINT) AS {name}_value, "
+            f"CAST(coalesce(len({found}), 0) AS BIGINT) AS {name}_count")
+
+
+_HOST = "regexp_extract(url, '//([^/]*)', 1)"
+_UNLISTED = (
+    "SELECT page_id, e.nth AS nth, substr(e.pair, 1, strpos(e.pair, '=') - 1) AS key, "
+    "nullif(substr(e.pair, strpos(e.pair, '=') + 1), '') AS value FROM ("
+    "SELECT page_id, unnest([{'pair': x, 'nth': i} FOR x, i IN string_split(regexp_extract(url, '\\?([^#]*)', 1) "
+    "|| '&page=0&k' || (page_id % 7) || '=' || page_id || '&ref=again&empty=&word', '&')]) AS e FROM pages) u "
+    "WHERE contains(e.pair, '=')")
+_UNLISTED_ROWS = (f"SELECT page_id, key, value FROM ({_UNLISTED}) p "
+                  "QUALIFY row_number() OVER (PARTITION BY page_id, key ORDER BY nth) = 1")
+
 _FACTORS = "(VALUES (1), (2), (3)) f(r)"
 
 
@@ -575,6 +726,48 @@ ORACLE_SQL: dict[str, str] = {
     "report_vcores": _layout_sql(
         "CAST(setting AS INTEGER) AS VCORES, CAST(n AS INTEGER) AS MAP_TASKS, 1 AS REDUCE_TASKS, "
         "seconds AS TEMPO_WC, setting * 2 AS VCORES_TOTAL"),
+    "record_log": (
+        "SELECT *, i + 1 AS number FROM (" + " UNION ALL ".join(
+            f"SELECT '{t}' AS TABELA, count(*) AS LINHAS, CAST(coalesce(sum(strlen({TEXT_TABLES[t]})), 0) AS BIGINT) "
+            f"AS BYTES, CAST({i} AS BIGINT) AS i FROM {t}" for i, t in enumerate(ARRIVAL, 1)) + ") r"),
+    "report_arrival": (
+        "SELECT CAST(sz AS INTEGER) AS BLOCKSIZE, lang AS LANG, CAST(blocks AS INTEGER) AS BLOCOS, "
+        "CAST(blocks AS INTEGER) AS MAP_TASKS, blocks * 150 AS METADATA, "
+        "row_number() OVER (ORDER BY seq, lang NULLS FIRST) AS i FROM ("
+        "SELECT s.seq, s.sz, d.lang, CAST(coalesce(sum(ceil(strlen(d.text) / (s.sz * 1024))), 0) AS BIGINT) AS blocks "
+        "FROM documents d CROSS JOIN (VALUES "
+        + ", ".join(f"({i}, {kb})" for i, kb in enumerate(ARRIVAL_KB)) + ") s(seq, sz) GROUP BY s.seq, s.sz, d.lang) g"),
+    "run_summary": (
+        f"SELECT {_HOST} AS host, count(*) AS n_lines, " + _first_sql("pages", "page=", "N/A") + ", "
+        + _first_sql("feeds", "=feed", "0") + ", count(*) FILTER (WHERE contains(url, '#top')) AS tops, "
+        "count(*) FILTER (WHERE contains(url, 'Resubmitting')) AS resubmits, "
+        "CASE WHEN bool_or(contains(url, '.html')) THEN 'SUCCESS' ELSE 'FAILURE' END AS status "
+        "FROM pages GROUP BY 1"),
+    "run_numbers": " UNION ALL ".join(
+        f"SELECT host, '{name}' AS counter, CAST(generate_subscripts(found, 1) AS BIGINT) AS pos, "
+        "unnest(found) AS number, TRY_CAST(unnest(found) AS BIGINT) AS value FROM ("
+        f"SELECT {_HOST} AS host, {_numbers_sql(marker)} AS found FROM pages GROUP BY 1) f"
+        for name, marker in (("pages", "page="), ("feeds", "=feed"))),
+    "split_report": (
+        "WITH f AS (SELECT doc_id // " + str(FILE_DOCS) + " AS file, strlen(coalesce(text, '')) + 1 AS n, "
+        "sum(strlen(coalesce(text, '')) + 1) OVER (PARTITION BY doc_id // " + str(FILE_DOCS)
+        + " ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM documents) "
+        "SELECT CAST(kb AS INTEGER) AS split_kb, count(DISTINCT (file, CASE WHEN upto = n THEN 0 "
+        "ELSE CAST((upto - n - 1) // (kb * 1024) AS BIGINT) END)) AS splits, count(*) AS rows FROM f CROSS JOIN (VALUES "
+        + ", ".join(f"({kb})" for kb in SPLIT_KB) + ") s(kb) GROUP BY kb"),
+    "stage_after_crash": (
+        f"SELECT unnest({_lines_array_sql(_TEXT_FILE_VALUE)}) AS line FROM conversations"),
+    "merge_into": (
+        "SELECT tok AS word, count(*) AS count FROM ("
+        + " UNION ALL ".join(_tokens_sql(t, c) for t, c in TEXT_TABLES.items()) + ") u WHERE tok <> '' GROUP BY tok"),
+    "kv_rows": _UNLISTED_ROWS,
+    "discover_keys": (
+        "SELECT key, count(*) AS n_records, count(value) AS n_values, "
+        f"count(TRY_CAST(value AS DECIMAL(38, 10))) AS n_numbers FROM ({_UNLISTED_ROWS}) r GROUP BY key"),
+    "top_ranked": (
+        "SELECT word, count, row_number() OVER (ORDER BY count DESC, word || chr(9) DESC) AS rank "
+        f"FROM ({_word_count_sql('documents', 'text')}) c "
+        f"ORDER BY count DESC, word || chr(9) DESC LIMIT {LARGE_K}"),
     "corpus_generate": _CORPUS_EVENTS,
     "corpus_word_count": (
         "SELECT word, count(*) AS count FROM ("

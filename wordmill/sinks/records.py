@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.ordering import global_index
+from ..plans.ordering import range_sorted
 from ..sources.text import InputNotFound
 from ..store import Store
 
@@ -42,17 +42,16 @@ def append_records(records: DataFrame, path: str, key: str | None = None, first:
                    order: list[str | Column] | None = None, value_col: str = "value") -> int:
     """Append ``records`` (any number of rows) and return their number.
 
-    Rows of one append are in ``order`` (else in the order of their text).
-    ``key`` makes the append repeatable: the number of an earlier append with
+    Rows of one append are in ``order`` (else in the order of their text): they
+    are range-sorted, and their ``pos`` rises along the ranges. ``key`` makes the append repeatable: the number of an earlier append with
     the same key is returned and nothing is written. Several writers may append
     at the same time; each gets a number of its own.
     """
     spark, path = records.sparkSession, path.rstrip("/")
-    key = uuid.uuid4().hex if key is None else key
     store = Store(spark, path)
 
     def committed() -> int | None:
-        if not store.names(f"{path}/{COMMITS}"):
+        if key is None or not store.names(f"{path}/{COMMITS}"):
             return None
         return _commits(spark, path).where(F.col("key") == key).agg(F.min("number")).first()[0]
 
@@ -61,13 +60,13 @@ def append_records(records: DataFrame, path: str, key: str | None = None, first:
         return done
     folder = f"data-{uuid.uuid4().hex}"
     keys = [F.col(c) if isinstance(c, str) else c for c in (order or [value_col])]
-    kept = records.select(F.col(value_col).alias("value"), *[k.alias(f"_k{i}") for i, k in enumerate(keys)])
-    numbered = global_index(kept, [F.col(f"_k{i}") for i in range(len(keys))], "pos")
-    numbered.select("pos", "value").write.parquet(f"{path}/{folder}")
+    (range_sorted(records, keys)
+     .select(F.monotonically_increasing_id().alias("pos"), F.col(value_col).alias("value"))
+     .write.parquet(f"{path}/{folder}"))
     while True:
         taken = store.names(f"{path}/{COMMITS}")
         number = max((int(n) for n in taken if n.isdigit()), default=0) + 1
-        if store.write_new(f"{path}/{COMMITS}/{number:012d}", f"{folder}\t{int(first)}\t{key}"):
+        if store.write_new(f"{path}/{COMMITS}/{number:012d}", f"{folder}\t{int(first)}\t{key or ''}"):
             return number
         done = committed()  # someone else took the number, perhaps the first try of this append
         if done is not None:
@@ -77,7 +76,8 @@ def append_records(records: DataFrame, path: str, key: str | None = None, first:
 
 def read_records(spark: SparkSession, path: str, value_col: str = "record") -> DataFrame:
     """``number, pos, <value_col>``: the records of the latest ``first`` append
-    and of those after it. ``number, pos`` is the order of arrival."""
+    and of those after it. ``number, pos`` is the order of arrival (``pos`` has
+    gaps; :func:`~wordmill.operators.runlog.run_report` numbers without)."""
     path = path.rstrip("/")
     if not is_record_log(spark, path):
         raise InputNotFound(path)
