@@ -11,6 +11,8 @@ the tokenizer, each distinct one once per memo (bounded, keyed by the bytes).
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -55,10 +57,10 @@ def prove(model_path: str) -> list[bytes]:
     return [w.encode() for w in whole_tokens(model)]
 
 
-def counter(model_path: str, whole: list[bytes] | None = None):
+def counter(model_path: str, whole: tuple[bytes, ...] | None = None):
     """``texts -> token counts`` for one task, given its :func:`prove`."""
     model = sentencepiece.SentencePieceProcessor(model_file=model_path)
-    whole = prove(model_path) if whole is None else whole
+    whole = list(prove(model_path) if whole is None else whole)
 
     def encode(keys: list[str]) -> tuple[np.ndarray, None]:
         coded = model.encode(keys, num_threads=1)
@@ -67,6 +69,12 @@ def counter(model_path: str, whole: list[bytes] | None = None):
     return PretokenTable(encode, _may_split, strip=True, known=whole).counts
 
 
+@lru_cache(maxsize=1)
+def _worker_counter(model_path: str, whole: tuple[bytes, ...]):
+    """One per Python worker, which runs many tasks: its memo goes on."""
+    return counter(model_path, whole)
+
+
 def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
                  limit: int = OVER_LIMIT) -> DataFrame:
     """One row per input row: ``id, n_bytes, n_tokens, over_limit``.
@@ -77,10 +85,10 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     other columns are ignored. The tokenizer file must exist on the driver and the
     executors.
     """
-    whole = prove(model_path)
+    whole = tuple(prove(model_path))
 
     def start():
-        count = counter(model_path, whole)
+        count = _worker_counter(model_path, whole)
 
         def work(ids, texts):
             coded = [t.encode() for t in texts]
