@@ -13,10 +13,10 @@ from wordmill.llm import decontaminate as dc
 
 def plain_windows(text):
     marked = regex.sub(r"(^|[.!?:;\n\"(][ \t\n\x0b\f\r]*)(\p{Lu})", "\\1\x01\\2", text or "")
-    raw = [t for t in regex.split(r"[^\p{L}\p{N}\x01]+", marked) if t]
+    raw = regex.findall(r"(?:[\p{L}\x01]|\p{N}(?:[.,](?=\p{N}))?)+", marked)
     tpl = []
     for t in raw:
-        if regex.match(r"\x01?\p{N}", t):
+        if regex.match(r"\x01?\p{N}", t) or t.lower().replace("\x01", "") in dc.NUMBER_WORDS:
             tpl.append("#n")
         elif t.lower() != t and regex.fullmatch(r"\p{Lu}\p{Ll}+", t):
             tpl.append("#a")
@@ -98,13 +98,34 @@ def test_hard_rows(spark):
     docs = hard_docs(spark, clash=("id", "hash", "slots", "raw", "text_key", "item_id", "coverage"))
     bench = spark.createDataFrame([(None, "word " * 6), (2, "a b"), (3, "É a b c x y and more")],
                                   "item_id long, text string")
-    assert {(r.doc_id, r.item_id) for r in dc.leaks(docs, bench).collect()} == {(4, None)}
+    # The text without an id is "a b", the whole of a short item.
+    assert {(r.doc_id, r.item_id) for r in dc.leaks(docs, bench).collect()} == {(4, None), (None, 2)}
     left = dc.decontaminate(docs, bench)
-    assert left.columns == docs.columns and left.count() == docs.count() - 1
+    assert left.columns == docs.columns and left.count() == docs.count() - 2
     assert dc.leaks(docs.limit(0), bench).collect() == [] == dc.leaks(docs, bench.limit(0)).collect()
     assert dc.decontaminate(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_short_items_are_found_as_whole_texts(spark):
+    texts = {1: "Who wrote Hamlet?", 2: "WHO WROTE HAMLET", 3: "Tell me who wrote Hamlet?", 4: "Who wrote Macbeth?",
+             5: "3 + 4 = ?", 6: "3 + 5 = ?", 7: "1 2 3 4 5 6 7 8", 8: "1 2 3 4 5 6 7 9", 9: "?", 10: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    items = [(1, "Who wrote Hamlet?"), (2, "3 + 4"), (3, "1 2 3 4 5 6 7 8"), (4, "?"), (5, None), (1, "Who wrote Hamlet?"),
+             (6, "who wrote hamlet")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.coverage, r.verbatim) for r in dc.leaks(docs, bench).collect())
+    assert got == [(d, i, 1.0, True) for d, i in ((1, 1), (1, 6), (2, 1), (2, 6), (5, 2), (7, 3))]
+    assert sorted(r.doc_id for r in dc.decontaminate(docs, bench).collect()) == [3, 4, 6, 8, 9, 10]
+
+
+def test_numbers_in_any_writing(spark):
+    item = "A shop sells 1,200 cards at 3.50 dollars each. Three clerks work there for twelve hours; what does one day bring?"
+    other = item.replace("1,200", "850").replace("3.50", "4").replace("Three", "Four").replace("twelve", "twenty")
+    more = item.replace("1,200", "eighty").replace("Three", "7")
+    got = found(spark, item, {1: item, 2: other, 3: more, 4: item.replace("twelve", "12")})
+    assert got == {1: (1.0, True), 2: (1.0, False), 3: (1.0, False), 4: (1.0, False)}
+
+
 def test_queries_run(spark):
     from wordmill.llm.queries import QUERIES
     assert QUERIES["op2_decontamination"](spark, SF).columns == ["doc_id", "item_id", "coverage", "verbatim"]

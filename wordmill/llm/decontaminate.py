@@ -45,32 +45,40 @@ UNITS = ("mm cm m km in ft yd mi inch inches foot feet yard yards mile miles met
          "hours day days week weeks month months year years dollar dollars cent cents euro euros usd eur gbp percent "
          "mph kmh kph degree degrees celsius fahrenheit hz khz mhz ghz watt watts kw volt volts joule joules").split()
 
+# Words that are numbers.
+NUMBER_WORDS = ("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
+                "seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand "
+                "million billion").split()
+
 _NUMBER, _NAME, _UNIT = "#n", "#a", "#u"
 _START = "\x01"  # marks a word that begins a sentence, where a capital says nothing
 
 
 def tokens(text: Column) -> Column:
-    """Raw tokens: runs of letters and digits; the first of a sentence marked."""
+    """Raw tokens: runs of letters and digits, and of digits with single points
+    or commas inside (one number); the first of a sentence marked."""
     marked = F.regexp_replace(text, r"(^|[.!?:;\n\u0022(]\s*)(\p{Lu})", "$1" + _START + "$2")
-    return F.filter(F.split(marked, r"[^\p{L}\p{N}\x01]+"), lambda t: t != "")
+    return F.filter(F.split(marked, r"(?:[^\p{L}\p{N}\x01.,]|[.,](?!\p{N})|(?<!\p{N})[.,])+"), lambda t: t != "")
 
 
 def _canonical(t: Column) -> Column:
     """A raw token's place in the template. Most tokens are lower-case words:
     they are told by two comparisons, before any pattern is tried."""
     low = F.lower(t)
-    return (F.when((t >= "a") & (t < "{") & (low == t), F.when(t.isin(UNITS), _UNIT).otherwise(t))
-            .when(t.rlike(r"^\x01?\p{N}"), _NUMBER)
+    kinds = F.when(t.isin(UNITS), _UNIT).when(t.isin(NUMBER_WORDS), _NUMBER).otherwise(t)
+    return (F.when((t >= "a") & (t < "{") & (low == t), kinds)
+            .when(t.rlike(r"^\x01?\p{N}") | F.translate(low, _START, "").isin(NUMBER_WORDS), _NUMBER)
             .when((low != t) & t.rlike(r"^\p{Lu}\p{Ll}+$"), _NAME)
             .when(low.isin(UNITS), _UNIT)
             .otherwise(F.translate(low, _START, "")))
 
 
 def _alternatives() -> Column:
-    """``code`` with the capitalised words that begin a sentence read as names."""
-    name = F.xxhash64(F.lit(_NAME))
+    """``code`` with the capitalised words that begin a sentence (numbers apart)
+    read as names."""
+    name, number = F.xxhash64(F.lit(_NAME)), F.xxhash64(F.lit(_NUMBER))
     return F.zip_with("raw", "code", lambda t, c: F.when(
-        (t < "\x02") & t.rlike(rf"^{_START}\p{{Lu}}\p{{Ll}}+$"), name).otherwise(c))
+        (t < "\x02") & (c != number) & t.rlike(rf"^{_START}\p{{Lu}}\p{{Ll}}+$"), name).otherwise(c))
 
 
 def _starts(column: str) -> Column:
@@ -90,14 +98,24 @@ def _tokenised(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
             .select("*", _alternatives().alias("alt")))
 
 
-def hashes(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+def _whole(raw: str | Column) -> Column:
+    """Hash of all tokens of a text as they are, lower-cased."""
+    return F.xxhash64(F.lit("whole"), F.transform(raw, lambda t: F.translate(F.lower(t), _START, "")))
+
+
+def hashes(rows: DataFrame, keys: list[str], text_col: str, whole_tokens: int = 0) -> DataFrame:
     """``*keys, hash``: every window, as its hash alone; once more where a
-    sentence-start capital in it can be read as a name."""
+    sentence-start capital in it can be read as a name. Texts of 1 to
+    ``whole_tokens`` tokens also give that of their whole."""
     def other(at: Column) -> Column:
         differs = [F.get("alt", at + k) != F.get("code", at + k) for k in range(WINDOW)]
         return F.when(reduce(Column.__or__, differs), _hash(at, "alt"))
     every = F.concat(F.transform(_starts("code"), lambda i: _hash(i)),
                      F.array_compact(F.transform(_starts("code"), other)))
+    if whole_tokens:
+        whole = F.when(F.size("raw").between(1, whole_tokens), F.array(_whole("raw")))
+        every = F.concat(F.coalesce(every, F.array().cast("array<bigint>")),
+                         F.coalesce(whole, F.array().cast("array<bigint>")))
     return _tokenised(rows, keys, text_col).select(*keys, F.explode(every).alias("hash"))
 
 
@@ -151,29 +169,41 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     if a placeholder has another value in the document. Both are those of the
     reading as words with consistent slots where that holds windows enough,
     else of all. Nulls are empty texts. An item of fewer than :data:`WINDOW`
-    template tokens, or of hardly any word, has no window and is not looked
-    for. Rows that repeat an id and a text are one document; ``text_key``
+    template tokens, or of hardly any word, has no window: it is found where it
+    is the whole text, token by token in any case (coverage 1, verbatim); an
+    item without a token is not looked for. Rows that repeat an id and a text are one document; ``text_key``
     tells apart rows that share an id (or have none).
 
     First all windows of all documents are joined by their hash alone; only
     documents that hold windows enough of an item are read again, for the
     positions and the slots.
     """
-    items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("item_text")).distinct()
-    items = frozen(windows(items, ["item_id"], "item_text")
+    texts = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("item_text")).distinct()
+    items = frozen(windows(texts, ["item_id"], "item_text")
                    .select("item_id", "reading", F.col("pos").alias("item_pos"), "hash",
                            F.col("slots").alias("item_slots")))
     wanted = frozen(items.groupBy(F.col("item_id").alias("wanted_id"))
                     .agg(F.count_distinct("item_pos").alias("n_windows")))
     same_item = F.col("item_id").eqNullSafe(F.col("wanted_id"))
+    short = (texts.select("item_id", tokens(text_or_empty("item_text")).alias("raw")).where(F.size("raw") > 0)
+             .join(wanted, same_item, "left_anti")
+             .select("item_id", _whole("raw").alias("hash"), F.size("raw").alias("n_tokens")).distinct())
+    short = frozen(short)
+    longest = short.agg(F.max("n_tokens")).first()[0] or 0
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        text_key(text_col).alias("text_key"))
     who = ["id", "text_key"]
-    likely = (hashes(rows, who, "text")
-              .join(broadcast_if_small(items.select("item_id", "item_pos", "hash").distinct(), 64), "hash")
+    sought = items.select("item_id", "item_pos", "hash").distinct()
+    n_sought = wanted
+    if longest:
+        sought = sought.unionByName(short.select("item_id", F.lit(0).alias("item_pos"), "hash"))
+        n_sought = wanted.unionByName(short.select(F.col("item_id").alias("wanted_id"), F.lit(1).cast("long").alias("n_windows"))
+                                      .distinct())
+    likely = (hashes(rows, who, "text", longest)
+              .join(broadcast_if_small(sought, 64), "hash")
               .groupBy(*who, "item_id").agg(F.collect_set("item_pos").alias("at"))
-              .join(broadcast_if_small(wanted, 32), same_item)
+              .join(broadcast_if_small(n_sought, 32), same_item)
               .where((F.size("at") >= min_coverage * F.col("n_windows")) | (_run(F.col("at")) >= min_run))
               .select(F.col("id").alias("likely_id"), F.col("text_key").alias("likely_key")).distinct())
     likely = broadcast_if_small(frozen(likely), 32)
@@ -204,11 +234,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                  F.size(F.collect_set("item_pos")).alias("n_held"), F.min("same").alias("verbatim"),
                  F.max("run").alias("run")))
     enough = F.col("n_plain") >= min_coverage * F.col("n_windows")
-    return (held.join(broadcast_if_small(wanted, 32), same_item)
+    held = (held.join(broadcast_if_small(wanted, 32), same_item)
             .withColumn("verbatim", F.when(enough, F.col("plain_verbatim")).otherwise(F.col("verbatim")))
             .withColumn("coverage", F.when(enough, F.col("n_plain")).otherwise(F.col("n_held")) / F.col("n_windows"))
             .where((F.col("coverage") >= min_coverage) | (F.col("run") >= min_run))
             .select(F.col("id").alias(id_col), "text_key", "item_id", "coverage", "verbatim"))
+    if not longest:
+        return held
+    whole = (again.select(*who, tokens(text_or_empty("text")).alias("raw")).where(F.size("raw").between(1, longest))
+             .select(*who, _whole("raw").alias("hash")).distinct()
+             .join(broadcast_if_small(short, 32), "hash"))
+    return held.unionByName(whole.select(F.col("id").alias(id_col), "text_key", "item_id",
+                                         F.lit(1.0).alias("coverage"), F.lit(True).alias("verbatim")))
 
 
 def text_key(text_col: str) -> Column:
