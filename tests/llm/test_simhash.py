@@ -80,6 +80,25 @@ def test_links_of_crowded_cells(spark, monkeypatch, max_bits, cell_pairs):
     assert [got.get(s, s) for s in signed] == want
 
 
+def test_cells_hold_every_link_and_few_others(spark):
+    rng = random.Random(9)
+    bases = [rng.getrandbits(64) for _ in range(300)]
+    near = [b ^ sum(1 << i for i in rng.sample(range(64), 2)) for b in bases]
+    signed = lambda f: f - (1 << 64) if f >> 63 else f
+    frame = spark.createDataFrame([(signed(f),) for f in bases + near], "fp long")
+    cells: dict = {}
+    for r in simhash._cells(frame).collect():
+        cells.setdefault(r.cell, set()).add(r.fp)
+    assert sum(map(len, cells.values())) == 28 * 600
+    shared = {frozenset((a, b)) for fps in cells.values() for a in fps for b in fps if a != b}
+    assert {frozenset((signed(a), signed(b))) for a, b in zip(bases, near)} <= shared
+    assert len(shared) < 320
+    # No two pairs of groups share a cell, whatever the vectors are.
+    odd = spark.createDataFrame([(0,), (-1,), (0x5555555555555555,), (-0x5555555555555556,)], "fp long")
+    assert len({(r.cell) for r in simhash._cells(odd).where("fp = 0").collect()}) == 28
+    assert simhash._cells(odd).distinct().count() == 4 * 28
+
+
 def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, x) for x in range(1001, 1100)] + [(5000, 5000)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
