@@ -30,6 +30,11 @@ class Store:
     def _full(self, path: str):
         return self._fs.makeQualified(self._path(path))
 
+    def qualified(self, path: str) -> str:
+        """``path`` with the scheme and host of its file system, so that it means
+        the same on every machine."""
+        return self._full(path).toString()
+
     def beside(self, path: str, kind: str, tag: str | None = None) -> str:
         """A hidden name in the folder of ``path``: ``.<name>.<kind>-<tag>``, new
         without a tag (Spark's readers pass over names that start with a dot)."""
