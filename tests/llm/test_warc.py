@@ -56,6 +56,19 @@ def test_empty_table(spark, scratch):
     assert read(spark, scratch) == []
 
 
+def test_one_id_with_many_pages_is_cut(spark, tmp_path):
+    rows = [(i, "u", f"{k} " + "y" * 3000) for i in (None, 7) for k in range(40)] + [(9, "u", "z" * 3000)]
+    manifest = warc.write_warc(frame(spark, rows), str(tmp_path / "w"), shard_bytes=10_000).collect()
+    assert read(spark, str(tmp_path / "w")) == want(rows)
+    assert len({r.shard for r in manifest}) > 8 and max(r.n_records for r in manifest) < 30
+
+
+def test_a_bare_path_is_that_of_the_default_file_system(spark, tmp_path):
+    target = str(tmp_path / "w")
+    warc.write_warc(frame(spark, ROWS), target)
+    assert read(spark, "file://" + target) == read(spark, target) == want(ROWS)
+
+
 def archives(path):
     return {os.path.basename(f): hashlib.sha1(open(f, "rb").read()).hexdigest()
             for f in files_under(path) if f.endswith(".warc.gz")}

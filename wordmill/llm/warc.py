@@ -1,10 +1,11 @@
 """A deterministic sharded WARC writer and its reader (operator 4).
 
-Records are sorted by page id and cut into shards at page ids that a hash of
-the id picks (one in M ids, M from the measured volume), so the shards depend
-on the data alone: not on the number of executors, the split of the input or
-a retried task. A shard is written by one task in order and rolled into files
-by compressed size. Headers, ids and digests are made anew from the payload.
+Records are sorted by page id and payload digest and cut into shards at keys
+that a hash of the two picks (one in M, M from the measured volume), so the
+shards depend on the data alone: not on the number of executors, the split of
+the input or a retried task, and an id with many payloads is cut as well. A
+shard is a partition of its own, written by one task in order and rolled into
+files by compressed size. Headers, ids and digests are made anew from the payload.
 
 Every task attempt writes under a temporary name of its own. The manifest of
 finished files is a table that Spark commits, so it names the files of
@@ -12,7 +13,8 @@ successful attempts only; these are then renamed (a second, idempotent pass),
 and only after that the final manifest appears. Readers go by the manifest.
 
 Files go through ``pyarrow.fs``, so the target may be a local or shared
-folder, or an object store or HDFS that it can open.
+folder, or an object store or HDFS that it can open; a path without a scheme
+means the session's default file system, as it does for Spark.
 """
 
 from __future__ import annotations
@@ -32,14 +34,17 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..store import Store
 from .common import frozen, text_or_empty
 
 #: A payload of at least so many bytes that equals another's becomes a revisit.
 MIN_REVISIT_BYTES = 1000
 #: A file is closed when it has this many compressed bytes.
 ROLL_BYTES = 32 << 20
-#: Payload bytes of a shard on average.
+#: Payload bytes of a shard on average, and how many shards there are at most
+#: (about): from some 3 TB on shards grow instead, files are rolled as before.
 SHARD_BYTES = 32 << 20
+MAX_SHARDS = 100_000
 #: Archives carry this date unless the caller gives one, so equal pages make equal files.
 DATE = "1970-01-01T00:00:00Z"
 _READ_BATCH_BYTES = 4 << 20
@@ -157,6 +162,11 @@ def revisits(meta: DataFrame, min_bytes: int) -> DataFrame:
             .select("page_id", "digest", "refers_to").distinct())
 
 
+def _shard_key(page_id: int | None, digest: str) -> tuple:
+    """Sorts as the records do: null ids first."""
+    return (page_id is not None, page_id or 0, digest)
+
+
 def write_warc(pages: DataFrame, target: str, id_col: str = "page_id", url_col: str = "url",
                html_col: str = "html", min_revisit_bytes: int = MIN_REVISIT_BYTES,
                roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES, date: str = DATE) -> DataFrame:
@@ -171,20 +181,24 @@ def write_warc(pages: DataFrame, target: str, id_col: str = "page_id", url_col:
     of the same table.
     """
     spark = pages.sparkSession
+    target = Store(spark, target).qualified(target)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                         text_or_empty(html_col).alias("html"))
     meta = frozen(rows.select("page_id", F.sha1(F.col("html").cast("binary")).alias("digest"),
                               F.octet_length("html").cast("long").alias("n_bytes")))
 
-    # One in M ids starts a shard, so there are about as many starts as shards.
+    # One in M keys starts a shard, so there are about as many starts as shards:
+    # a short list whatever the corpus holds.
     n, volume = meta.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
-    every = max(1, n * shard_bytes // max(1, volume))
-    starts = [r.page_id for r in meta.where(F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0)
-              .select("page_id").distinct().where("page_id is not null").orderBy("page_id").collect()]
+    every = max(1, n * max(shard_bytes, volume // MAX_SHARDS) // max(1, volume))
+    starts = sorted(_shard_key(r.page_id, r.digest) for r in
+                    meta.where(F.pmod(F.xxhash64("page_id", "digest"), F.lit(every)) == 0)
+                    .select("page_id", "digest").distinct().collect())
 
     @F.pandas_udf("int")
-    def shard_of(ids: pd.Series) -> pd.Series:
-        return pd.Series([0 if pd.isna(i) else bisect_right(starts, int(i)) for i in ids.astype("Int64")], dtype="int32")
+    def shard_of(ids: pd.Series, digests: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(starts, _shard_key(None if pd.isna(i) else int(i), d))
+                          for i, d in zip(ids.astype("Int64"), digests)], dtype="int32")
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,8 +226,8 @@ def write_warc(pages: DataFrame, target: str, id_col: str = "page_id", url_col:
         "page_id", F.lit(None).cast("string").alias("url"), "digest", F.lit(None).cast("long").alias("n_bytes"),
         F.lit(None).cast("binary").alias("member"), "refers_to")
     both = (members.withColumn("refers_to", F.lit(None).cast("long")).unionByName(known)
-            .withColumn("shard", shard_of("page_id"))
-            .repartition("shard")
+            .withColumn("shard", shard_of("page_id", "digest"))
+            .repartitionById(len(starts) + 1, F.col("shard"))
             .sortWithinPartitions("shard", "page_id", "digest", F.col("member").isNotNull(), "url"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,6 +310,7 @@ def read_warc(spark: SparkSession, target: str) -> DataFrame:
     payload, payload_bytes, payload_digest, record_type, refers_to`` (a
     revisit has no payload of its own; its length and digest are the
     payload's). Each file is streamed by one task."""
+    target = Store(spark, target).qualified(target)
     manifest = spark.read.parquet(f"{target}/manifest").select("name")
     files = max(1, manifest.count())
     names = ["page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to"]
