@@ -31,8 +31,8 @@ NOTES = {
     "tokenize": "P1: per-row projection, no shuffle.",
     "word_normalize": "P2/P3: distinct raw tokens (partial dedupe before the shuffle), then the strip.",
     "token_rows": "P4: per-row generator, no shuffle.",
-    "sorted_counts": "O1: reads the checkpointed, range-sorted counts; the broadcast side is one row "
-                     "per partition.",
+    "sorted_counts": "O1: counts sent to literal key ranges once (sizes and rows share the exchange); the "
+                     "broadcast side is one row per range.",
     "sorted_tokens": "O1 over A2: same numbering plan over raw tokens.",
     "top_words": "O2: `TakeOrderedAndProject` keeps k rows per task.",
     "rank_words": "O2 over the whole result: the distributed numbering, in rank order.",
@@ -52,13 +52,23 @@ NOTES = {
     "block_footprint": "R5: one scan, one aggregate column per block size, no join.",
     "block_footprint_kb": "R5 with block sizes in KiB.",
     "replica_footprint": "R6: one scan, one aggregate, rows per factor by `explode`; no join.",
-    "numbered_report": "O3: a tiny aggregate numbered by the checkpointed range numbering.",
+    "numbered_report": "O3: a tiny aggregate numbered by literal key ranges.",
     "run_report": "R7: R5 records written as K=V strings, parsed back, numbered.",
     "report_node_memory": "R7: records of the node-memory layout, parsed and numbered.",
     "report_task_memory": "R7: the task-memory layout.",
     "report_replication": "R7: the replication layout.",
     "report_vcores": "R7: the vcores layout.",
     "log_summary": "R8: one grouped pass; every metric is a partial aggregate.",
+    "record_log": "K4 with arrival numbers: commits joined with the records by folder, then R7.",
+    "report_arrival": "R7 in order of arrival.",
+    "run_summary": "R8, rows of fixed size: one grouped pass, every metric a partial aggregate.",
+    "run_numbers": "R8, the numbers as rows: ranked per (run, key range), shifted by the ranges before.",
+    "split_report": "R9: a row per split size (each size is a scan of its own, run before).",
+    "stage_after_crash": "K3: the staged copy, read back.",
+    "merge_into": "A3 into a bucketed set: the set read back (the merge is a separate job; its plan is tested).",
+    "kv_rows": "P6 without a field list: per-row, no shuffle.",
+    "discover_keys": "P6: keys of a set, partially aggregated.",
+    "top_ranked": "O2 for a large k: the cut-off filters the counts, what passes is numbered by ranges.",
     "corpus_generate": "S3: per-row md5 draws keyed by event id; no shuffle.",
     "corpus_word_count": "S3 then A1.",
 }
