@@ -32,6 +32,18 @@ def test_blocks(page, want):
     assert texts(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be</p>", ["Let x=2 be"]),
+    ("<p>See <object data=a.pdf>the <b>report</b></object> here</p>", ["See the report here"]),
+    ("<p>a <svg><title>icon</title><path d='M0'/><text>drawn</text></svg> b</p>", ["a b"]),
+    ("<p>a <svg><path d='M0'> lost</p><p>kept</p> <svg><g>no</g></svg> too", ["a", "kept", "too"]),
+    ("<p>a <svg viewBox='0 0 1 1'><g>drawn", ["a"]),
+    ("<p>a <svg/> b</p><script>if (a < b) {", ["a b"]),
+])
+def test_formulas_objects_and_drawings(page, want):
+    assert texts(page) == want
+
+
 def test_paths():
     page = "<html><body><div class='Side bar' id=x><p>a<div>b</div></div><article><p>c<p>d</article><p>e"
     assert [b.path for b in hb.blocks(page)] == [

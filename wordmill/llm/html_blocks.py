@@ -1,8 +1,9 @@
 """Pages as sequences of leaf blocks: the reader of operator 8.
 
 A block is the text between two block-level tags, with the path of open
-elements it stands in. Scripts, styles, comments and markup are left out,
-character references decoded, white space squeezed.
+elements it stands in. Scripts, styles, drawings, comments and markup are left
+out, character references decoded, white space squeezed. Text of formulas and
+of objects' fallbacks is text.
 """
 
 from __future__ import annotations
@@ -19,7 +20,9 @@ BLOCK_TAGS = frozenset("""address article aside blockquote body button caption c
 fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main menu
 nav noscript ol optgroup option p pre section select summary table tbody td textarea tfoot th thead title tr ul
 """.split())
-RAW_TAGS = frozenset("script style template svg math object".split())
+RAW_TAGS = frozenset("script style template svg".split())
+# Tags that end a drawing which holds them, closed or not.
+BREAKS_SVG = re.compile(r"</?(?:blockquote|body|center|dd|div|dl|dt|h[1-6]|head|hr|li|menu|ol|p|pre|table|ul)\b", re.I)
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # An element of the first kind closes an open one of the second.
 CLOSES = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
@@ -79,7 +82,8 @@ def blocks(page: str) -> list[Block]:
         if tag in RAW_TAGS and not closing:
             if not m[0].endswith("/>"):
                 end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                stop = BREAKS_SVG.search(page, at, end.start() if end else len(page)) if tag == "svg" else None
+                at = stop.start() if stop else end.end() if end else len(page)
             text.append(" ")
         elif tag == "a":
             links[0] = 0 if closing else 1
