@@ -13,7 +13,7 @@ from wordmill.llm import decontaminate as dc
 
 def plain_windows(text):
     marked = regex.sub(r"(^|[.!?:;\n\"(][ \t\n\x0b\f\r]*)(\p{Lu})", "\\1\x01\\2", text or "")
-    raw = regex.findall(r"(?:[\p{L}\x01]|\p{N}(?:[.,](?=\p{N}))?)+", marked)
+    raw = regex.findall(r"(?:[\p{L}\p{N}\x01]|(?<=[0-9])[.,](?=[0-9]))+", marked)
     tpl = []
     for t in raw:
         if regex.match(r"\x01?\p{N}", t) or t.lower().replace("\x01", "") in dc.NUMBER_WORDS:

@@ -52,22 +52,25 @@ NUMBER_WORDS = ("zero one two three four five six seven eight nine ten eleven tw
 
 _NUMBER, _NAME, _UNIT = "#n", "#a", "#u"
 _START = "\x01"  # marks a word that begins a sentence, where a capital says nothing
+_INSIDE = "\x02"  # stands for the point or comma inside a number
 
 
 def tokens(text: Column) -> Column:
-    """Raw tokens: runs of letters and digits, and of digits with single points
-    or commas inside (one number); the first of a sentence marked."""
+    """Raw tokens: runs of letters and digits (a point or comma between two
+    digits 0-9 is in the number); the first of a sentence marked."""
     marked = F.regexp_replace(text, r"(^|[.!?:;\n\u0022(]\s*)(\p{Lu})", "$1" + _START + "$2")
-    return F.filter(F.split(marked, r"(?:[^\p{L}\p{N}\x01.,]|[.,](?!\p{N})|(?<!\p{N})[.,])+"), lambda t: t != "")
+    whole = F.when(marked.rlike("[0-9][.,][0-9]"), F.regexp_replace(marked, "([0-9])[.,](?=[0-9])", "$1" + _INSIDE)
+                   ).otherwise(marked)
+    return F.filter(F.split(whole, r"[^\p{L}\p{N}\x01\x02]+"), lambda t: t != "")
 
 
 def _canonical(t: Column) -> Column:
     """A raw token's place in the template. Most tokens are lower-case words:
     they are told by two comparisons, before any pattern is tried."""
     low = F.lower(t)
-    kinds = F.when(t.isin(UNITS), _UNIT).when(t.isin(NUMBER_WORDS), _NUMBER).otherwise(t)
+    kinds = F.when(t.isin(UNITS + NUMBER_WORDS), F.when(t.isin(UNITS), _UNIT).otherwise(_NUMBER)).otherwise(t)
     return (F.when((t >= "a") & (t < "{") & (low == t), kinds)
-            .when(t.rlike(r"^\x01?\p{N}") | F.translate(low, _START, "").isin(NUMBER_WORDS), _NUMBER)
+            .when(t.rlike(r"^\x01?\p{N}") | low.isin(NUMBER_WORDS + [_START + w for w in NUMBER_WORDS]), _NUMBER)
             .when((low != t) & t.rlike(r"^\p{Lu}\p{Ll}+$"), _NAME)
             .when(low.isin(UNITS), _UNIT)
             .otherwise(F.translate(low, _START, "")))
