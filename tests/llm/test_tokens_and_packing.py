@@ -220,3 +220,15 @@ def test_search_over_a_billion_pieces_ends():
         for length, k in pattern:
             total[length] += k * n
     assert total == Counter(counts)
+
+
+@pytest.mark.parametrize("n", [60_000, 5_000_000])
+def test_no_exchange_is_left_at_any_size(n):
+    # A pass over single bins ends the search, also with far more than 100,000 of them.
+    rng = np.random.default_rng(1)
+    counts = dict(zip(range(300, 1500), rng.multinomial(n, [1 / 1200] * 1200).tolist()))
+    bins = packing._best_fit(counts, 2048)
+    search = packing._Search(bins)
+    search.run()
+    assert search.least == 1 and (n < 100_000 or search.n_bins > 1_000_000)
+    assert all(search._partner(p) is None for p, k in bins.count.items() if k and bins.fill(p) < 2048)

@@ -32,10 +32,9 @@ from .pretokens import PretokenTable
 
 CAPACITY = 2048
 END_ID = 0
-#: Smallest share of all bins that an exchange of the local search concerns, at
-#: first and at last: with more than 100,000 bins, exchanges of fewer than one
-#: in 100,000 of them are left out. There is no limit on their number.
-SHARES = (64, 100_000)
+#: Part of all bins that an exchange of the local search concerns at first; at
+#: last it is one bin, however many there are.
+SHARE = 64
 
 
 # -- tokens ----------------------------------------------------------------
@@ -200,7 +199,7 @@ class _Search:
 
     Equal bins are exchanged together. Exchanges of many bins come first: a
     pass takes those of at least a share of all bins, and when it finds none
-    the share goes down, from the first to the last of :data:`SHARES`.
+    the share goes down, from one in :data:`SHARE` to a single bin.
     """
 
     def __init__(self, bins: _Bins):
@@ -209,7 +208,7 @@ class _Search:
         self.targets: list[dict] = [{} for _ in range(self.capacity + 1)]
         self.used = 0  # bit c: some target is filed under c
         self.queue: list[tuple] = []  # donors to try, the emptiest first
-        self.least = max(self.n_bins // SHARES[0], 1)
+        self.least = max(self.n_bins // SHARE, 1)
         for pattern in list(bins.count):
             self._file(pattern)
 
@@ -258,7 +257,7 @@ class _Search:
 
     def run(self) -> None:
         """Until the lower bound is met or a pass over all donors finds no
-        exchange of the smallest share (of one bin, up to 100,000 bins)."""
+        exchange, not even of one bin."""
         count = self.bins.count
         total = sum(_Bins.fill(p) * n for p, n in count.items())
         bound = -(-total // self.capacity)
@@ -266,10 +265,9 @@ class _Search:
         while self.n_bins > bound:
             if not self.queue:
                 if not moved:
-                    finest = max(self.n_bins // SHARES[-1], 1)
-                    if self.least <= finest:
+                    if self.least == 1:
                         return
-                    self.least = max(self.least // 4, finest)
+                    self.least = max(self.least // 4, 1)
                 moved = False
                 self.queue = sorted((_Bins.fill(p), p) for p in count if _Bins.fill(p) < self.capacity)
             _, donor = heappop(self.queue)
