@@ -232,3 +232,46 @@ def test_no_exchange_is_left_at_any_size(n):
     search.run()
     assert search.least == 1 and (n < 100_000 or search.n_bins > 1_000_000)
     assert all(search._partner(p) is None for p, k in bins.count.items() if k and bins.fill(p) < 2048)
+
+
+def test_a_block_looks_up_each_distinct_pretoken_once():
+    given, asked = [], []
+
+    def encode(keys):
+        given.extend(keys)
+        return np.array([len(k) for k in keys]), np.array([c for k in keys for c in k], np.uint32)
+    table = PretokenTable(encode, lambda buf: buf == 32, strip=False)
+    slot_of = type(table.slots).__getitem__
+
+    class Slots(type(table.slots)):
+        def __getitem__(self, key):
+            asked.append(key)
+            return slot_of(self, key)
+    table.slots = Slots([])
+    texts = [b"ab cd cd", b"", b"cd ab ab ab", b" cd"] * 50
+    assert [bytes(x.tolist()) for x in table.ids(texts)] == texts
+    assert sorted(asked) == sorted(given) == [b" ab", b" cd", b"ab", b"cd"]
+
+
+def test_unknown_pretokens_go_to_the_tokenizer_in_runs(monkeypatch):
+    import tokenizers
+    library, calls = Tokenizer.from_file(BYTES), []
+
+    class Spy:
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return library.encode_batch_fast(texts, **options)
+
+        def encode(self, text, **options):
+            raise AssertionError("one by one")
+
+    class Files:
+        from_file = staticmethod(lambda path: Spy())
+    monkeypatch.setattr(tokenizers, "Tokenizer", Files)
+    text = " ".join(f"w{i}x" for i in range(1000)) + "\n a  b. c\u00e9 \u00e9d"
+    ids = packing.tokenizer(BYTES)([text])
+    assert ids[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert 0 < sum(calls) < 40

@@ -21,6 +21,7 @@ from bisect import bisect_left, insort
 from collections import Counter
 from functools import lru_cache
 from heapq import heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ from .pretokens import PretokenTable
 
 CAPACITY = 2048
 END_ID = 0
+#: Unknown pre-tokens that the tokenizer gets as one text.
+RUN = 64
 #: Part of all bins that an exchange of the local search concerns at first; at
 #: last it is one bin, however many there are.
 SHARE = 64
@@ -64,9 +67,31 @@ def tokenizer(path: str):
     library = Tokenizer.from_file(path)
     special = [t.content for t in library.get_added_tokens_decoder().values()]
 
-    def encode(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        # The words of one "pre-tokenised" text: each is encoded by itself.
-        coded = library.encode(keys, is_pretokenized=True, add_special_tokens=False)
+    # The bytes of each id: a byte-level vocabulary writes one character a byte.
+    width = np.zeros(library.get_vocab_size(), np.int64)
+    for token, i in library.get_vocab().items():
+        width[i] = len(token)
+
+    def encode(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        # A key after whose first space the tokenizer always begins a pre-token
+        # may follow any other, so runs of such keys are one text; the bytes of
+        # the ids tell where each key ends.
+        sizes = np.fromiter(map(len, keys), np.int64, len(keys))
+        ends = np.cumsum(sizes)
+        buf = np.frombuffer(b"".join(keys), np.uint8)
+        at = ends - sizes
+        joins = (sizes > 1) & (buf[at] == 32) & _may_split(buf)[at]
+        joins[::RUN] = False
+        heads = np.append(np.flatnonzero(~joins), len(keys))
+        texts = [b"".join(keys[a:b]).decode() for a, b in zip(heads[:-1], heads[1:])]
+        coded = library.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.asarray(list(chain.from_iterable(c.ids for c in coded)), np.uint32)
+        upto = np.append(np.cumsum(width[ids]), 0)
+        last = np.searchsorted(upto[:-1], ends)
+        if np.array_equal(upto[last], ends):
+            return np.diff(last, prepend=-1), ids
+        # A byte without an id: as words of one "pre-tokenised" text, each by itself.
+        coded = library.encode([k.decode() for k in keys], is_pretokenized=True, add_special_tokens=False)
         return (np.bincount(np.asarray(coded.word_ids, np.int64), minlength=len(keys)),
                 np.asarray(coded.ids, np.uint32))
     table = PretokenTable(encode, _may_split, strip=False)

@@ -1,10 +1,11 @@
 """A bounded memo from pre-tokens to what a tokenizer makes of them.
 
 Texts of one slice are cut into pre-tokens at spaces where the tokenizer never
-merges across (the caller says which; numpy finds the places) and looked up by
-their bytes in a dictionary. Only pre-tokens that are not in it reach the
-tokenizer, each once, all of a block in one call. The memo is emptied when it
-is full, so a task's memory does not grow with the corpus.
+merges across (the caller says which; numpy finds the places). Arrow numbers
+the distinct ones of a block, and these are looked up by their bytes in a
+dictionary. Only pre-tokens that are not in it reach the tokenizer, each once,
+all of a block in one call. The memo is emptied when it is full, so a task's
+memory does not grow with the corpus.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 
-_BLOCK = 1 << 18  # bytes looked up at once
+_BLOCK = 1 << 20  # bytes looked up at once
 _LONG = 1 << 12  # a longer pre-token alone in its block goes straight to the tokenizer
 _HELD = 1 << 25  # bytes of pre-tokens that a memo holds
 
@@ -32,15 +34,15 @@ class _Slots(dict):
 
 
 class PretokenTable:
-    """``encode(pre-tokens) -> (ids of each, all ids)`` with a memo; a caller
-    that only counts may give no ids.
+    """``encode(pre-tokens) -> (number of ids of each, all ids)`` with a memo; a
+    caller that only counts may give no ids.
 
     ``strip``: the first byte of a pre-token (its space) is not part of it,
     except for the first pre-token of a text. ``known``: pre-tokens of one id.
     A memo holds up to half of ``2 ** size_bits`` pre-tokens.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray | None]],
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray | None]],
                  may_split: Callable[[np.ndarray], np.ndarray], strip: bool,
                  known: list[bytes] | None = None, size_bits: int = 20):
         self.encode, self.may_split, self.strip, self.known = encode, may_split, strip, list(dict.fromkeys(known or []))
@@ -57,7 +59,7 @@ class PretokenTable:
     def _learn(self) -> None:
         """What the tokenizer makes of the new pre-tokens."""
         new, self.slots.new = self.slots.new, []
-        lengths, ids = self.encode([k.decode() for k in new])
+        lengths, ids = self.encode(new)
         end = len(self.slots)
         if ids is not None:
             if self.used + len(ids) > len(self.pool):
@@ -96,17 +98,24 @@ class PretokenTable:
         if self.strip:
             first = np.zeros(len(buf), bool)
             first[begin] = True
-            starts = starts + ~first[starts]
+            spaces = ~first[starts]
+            buf = np.delete(buf, starts[spaces])
+            ends = ends - np.cumsum(spaces)
+            starts = np.append(np.zeros(1, np.int64), ends)[:len(ends)]
         for lo, hi in self._blocks(starts, ends):
             a, b, who = starts[lo:hi], ends[lo:hi], owner[lo:hi]
+            part = bytes(buf[a[0]:b[-1]])
             if hi - lo == 1 and b[0] - a[0] > _LONG:
-                yield who, *self.encode([bytes(buf[a[0]:b[0]]).decode()])
+                yield who, *self.encode([part])
                 continue
-            if len(self.slots) + hi - lo > self.size // 2 or self.held > _HELD:
+            bounds = np.append(a, b[-1]) - a[0]
+            coded = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), hi - lo, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(part)]
+            ).dictionary_encode()
+            keys = coded.dictionary.to_numpy(zero_copy_only=False)
+            if len(self.slots) + len(keys) > self.size // 2 or self.held > _HELD:
                 self.clear()
-            base, part = a[0], bytes(buf[a[0]:b[-1]])
-            keys = [part[x:y] for x, y in zip((a - base).tolist(), (b - base).tolist())]
-            slots = np.fromiter(map(self.slots.__getitem__, keys), np.int64, hi - lo)
+            slots = np.fromiter(map(self.slots.__getitem__, keys), np.int64, len(keys))[coded.indices.to_numpy()]
             if self.slots.new:
                 self._learn()
             n = self.length[slots]

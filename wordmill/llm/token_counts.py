@@ -62,8 +62,8 @@ def counter(model_path: str, whole: tuple[bytes, ...] | None = None):
     model = sentencepiece.SentencePieceProcessor(model_file=model_path)
     whole = list(prove(model_path) if whole is None else whole)
 
-    def encode(keys: list[str]) -> tuple[np.ndarray, None]:
-        coded = model.encode(keys, num_threads=1)
+    def encode(keys: list[bytes]) -> tuple[np.ndarray, None]:
+        coded = model.encode([k.decode() for k in keys], num_threads=1)
         return np.fromiter(map(len, coded), np.int64, len(keys)), None
 
     return PretokenTable(encode, _may_split, strip=True, known=whole).counts
