@@ -68,6 +68,24 @@ def test_split_report(spark, scratch):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(1024 * 1024)
 
 
+def test_split_report_reads_many_splits_in_a_task(spark, scratch):
+    # What tasks report to the driver must not grow with the number of splits.
+    path = os.path.join(scratch, "many.txt")
+    with open(path, "wb") as fh:
+        fh.write((b"x" * 63 + b"\n") * (4 << 14))  # 4 MiB
+    sc = spark.sparkContext
+    sc.setJobGroup("split-report-tasks", "")
+    try:
+        rep = split_report(spark, path, [16], unit_bytes=1024).first()
+        tracker = sc.statusTracker()
+        tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("split-report-tasks")
+                 for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert (rep["tasks"], rep["splits"], rep["rows"]) == (256, 256, 4 << 14)
+    assert 0 < max(tasks) <= max(sc.defaultParallelism, 8) + 1
+
+
 def test_streaming_word_count_incremental(spark, scratch):
     inp = os.path.join(scratch, "in")
     os.makedirs(inp)
