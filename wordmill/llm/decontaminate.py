@@ -22,8 +22,6 @@ per document and item.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,29 +57,33 @@ def tokens(text: Column) -> Column:
     """Raw tokens: runs of letters and digits (a point or comma between two
     digits 0-9 is in the number); the first of a sentence marked."""
     marked = F.regexp_replace(text, r"(^|[.!?:;\n\u0022(]\s*)(\p{Lu})", "$1" + _START + "$2")
-    whole = F.when(marked.rlike("[0-9][.,][0-9]"), F.regexp_replace(marked, "([0-9])[.,](?=[0-9])", "$1" + _INSIDE)
+    whole = F.when(text.rlike("[0-9][.,][0-9]"), F.regexp_replace(marked, "([0-9])[.,](?=[0-9])", "$1" + _INSIDE)
                    ).otherwise(marked)
-    return F.filter(F.split(whole, r"[^\p{L}\p{N}\x01\x02]+"), lambda t: t != "")
+    return F.array_remove(F.split(whole, r"[^\p{L}\p{N}\x01\x02]+"), "")
 
 
 def _canonical(t: Column) -> Column:
     """A raw token's place in the template. Most tokens are lower-case words:
-    they are told by two comparisons, before any pattern is tried."""
+    they are told by two comparisons, before any pattern is tried; then plain
+    words that begin a sentence, by one pattern."""
     low = F.lower(t)
     kinds = F.when(t.isin(UNITS + NUMBER_WORDS), F.when(t.isin(UNITS), _UNIT).otherwise(_NUMBER)).otherwise(t)
+    first = F.substring(low, 2, 1 << 30)
     return (F.when((t >= "a") & (t < "{") & (low == t), kinds)
+            .when((t < "\x02") & t.rlike(rf"^{_START}[A-Za-z]+$"),
+                  F.when(first.isin(NUMBER_WORDS), _NUMBER).otherwise(first))
             .when(t.rlike(r"^\x01?\p{N}") | low.isin(NUMBER_WORDS + [_START + w for w in NUMBER_WORDS]), _NUMBER)
             .when((low != t) & t.rlike(r"^\p{Lu}\p{Ll}+$"), _NAME)
             .when(low.isin(UNITS), _UNIT)
             .otherwise(F.translate(low, _START, "")))
 
 
-def _alternatives() -> Column:
-    """``code`` with the capitalised words that begin a sentence (numbers apart)
-    read as names."""
+def _named() -> Column:
+    """The name's code where a capitalised word begins a sentence (numbers
+    apart), else null."""
     name, number = F.xxhash64(F.lit(_NAME)), F.xxhash64(F.lit(_NUMBER))
     return F.zip_with("raw", "code", lambda t, c: F.when(
-        (t < "\x02") & (c != number) & t.rlike(rf"^{_START}\p{{Lu}}\p{{Ll}}+$"), name).otherwise(c))
+        (t < "\x02") & (c != number) & t.rlike(rf"^{_START}\p{{Lu}}\p{{Ll}}+$"), name))
 
 
 def _starts(column: str) -> Column:
@@ -95,10 +97,12 @@ def _hash(at: Column, codes: str = "code") -> Column:
 
 
 def _tokenised(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
-    """``*keys, raw, code, alt``: raw tokens and the hashes of both readings."""
+    """``*keys, raw, code, named, alt``: raw tokens, the hashes of both readings
+    and where they differ."""
     return (rows.select(*keys, tokens(text_or_empty(text_col)).alias("raw"))
             .select(*keys, "raw", F.transform("raw", lambda t: F.xxhash64(_canonical(t))).alias("code"))
-            .select("*", _alternatives().alias("alt")))
+            .select("*", _named().alias("named"))
+            .select("*", F.zip_with("named", "code", lambda n, c: F.coalesce(n, c)).alias("alt")))
 
 
 def _whole(raw: str | Column) -> Column:
@@ -110,16 +114,18 @@ def hashes(rows: DataFrame, keys: list[str], text_col: str, whole_tokens: int =
     """``*keys, hash``: every window, as its hash alone; once more where a
     sentence-start capital in it can be read as a name. Texts of 1 to
     ``whole_tokens`` tokens also give that of their whole."""
-    def other(at: Column) -> Column:
-        differs = [F.get("alt", at + k) != F.get("code", at + k) for k in range(WINDOW)]
-        return F.when(reduce(Column.__or__, differs), _hash(at, "alt"))
-    every = F.concat(F.transform(_starts("code"), lambda i: _hash(i)),
-                     F.array_compact(F.transform(_starts("code"), other)))
-    if whole_tokens:
-        whole = F.when(F.size("raw").between(1, whole_tokens), F.array(_whole("raw")))
-        every = F.concat(F.coalesce(every, F.array().cast("array<bigint>")),
-                         F.coalesce(whole, F.array().cast("array<bigint>")))
-    return _tokenised(rows, keys, text_col).select(*keys, F.explode(every).alias("hash"))
+    at, none = F.col("at"), F.array().cast("array<int>")
+    # -1 stands for the whole text. (The places are no column of their own:
+    # Spark would make a filter of one and read the texts twice.)
+    places = F.concat(F.coalesce(_starts("code"), none),
+                      F.when(F.col("whole").isNotNull(), F.array(F.lit(-1))).otherwise(none))
+    each = (_tokenised(rows, keys, text_col)
+            .select(*keys, "code", "named", "alt",
+                    F.when(F.size("raw").between(1, whole_tokens), _whole("raw")).alias("whole"))
+            .select(*keys, "code", "named", "alt", "whole", F.explode(places).alias("at")))
+    differs = (at >= 0) & F.coalesce(*[F.get("named", at + k) for k in range(WINDOW)]).isNotNull()
+    one = F.when(at >= 0, _hash(at)).otherwise(F.col("whole"))
+    return each.select(*keys, F.explode(F.when(differs, F.array(one, _hash(at, "alt"))).otherwise(F.array(one))).alias("hash"))
 
 
 def windows(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
