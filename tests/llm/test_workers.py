@@ -1,0 +1,59 @@
+"""What Python workers keep when they go on to another operator's tasks."""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from wordmill.llm import common, langid, packing, simhash
+
+
+def held(batches):
+    import gc
+
+    import pyarrow as pa
+    from wordmill.llm.pretokens import PretokenTable
+    n = sum(isinstance(x, PretokenTable) for x in gc.get_objects())
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([n] * batch.num_rows, pa.int64())], names=["n"])
+
+
+def memos(docs):
+    return max(r.n for r in docs.select("doc_id").mapInArrow(held, "n long").collect())
+
+
+def test_a_worker_drops_another_operator_s_memo(spark):
+    docs = spark.createDataFrame(
+        [(i, "en" if i % 2 else "de", f"word{i} and " + ("the cat sat" if i % 2 else "die Katze sitzt")) for i in range(40)],
+        "doc_id long, lang string, text string").coalesce(1)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+
+    def packed():
+        return {(r.doc_id, r.length, r.ids_crc32) for r in packing.pack(docs, path).collect()}
+    first = packed()
+    assert len(first) == 40
+    profiles = langid.learn(docs)
+    assert langid.identify(docs, profiles).count() == 40
+    simhash.fingerprints(docs, "doc_id", "text", 3).count()
+    # Every idle worker takes part in one of these tasks.
+    wide = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text")).repartition(64)
+    simhash.fingerprints(wide, "doc_id", "text", 3).agg(F.max("fp")).collect()
+    assert memos(docs) == 0
+    assert packed() == first
+
+
+def test_a_worker_keeps_one_operator_s_memo():
+    made = []
+
+    def make(*key):
+        made.append(key)
+        return key
+    assert common.kept(make, "a") is common.kept(make, "a")
+    assert made == [("a",)]
+    assert list(common.worker_batches([1, 2], keeps=True)) == [1, 2]
+    common.kept(make, "a")
+    assert made == [("a",)]
+    common.kept(make, "b")
+    assert len(common._kept) == 1
+    assert list(common.worker_batches([1, 2])) == [1, 2]
+    assert not common._kept

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import text_slices, worker_batches
 
 #: N-grams in a profile.
 SIZE = 400
@@ -97,7 +97,7 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", size:
                     held[lang] = [merged(parts)]
             return sum(len(g) for parts in held.values() for g, _ in parts) > HELD_NGRAMS
 
-        for batch in batches:
+        for batch in worker_batches(batches):
             for langs, texts in text_slices(batch.column(0), batch.column(1)):
                 by_lang: dict[str, list] = {}
                 for lang, text in zip(langs, texts):
@@ -154,7 +154,7 @@ def verdict(profiles: list[tuple], text: Column, size: int = SIZE) -> Column:
     @F.pandas_udf("lang_pred string, score double")
     def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = Classifier(profiles, size)
-        for texts in batches:
+        for texts in worker_batches(batches):
             yield pd.DataFrame([model.predict(t or "") for t in texts], columns=["lang_pred", "score"])
     return classify(text)
 

@@ -19,7 +19,6 @@ import os
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
-from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import chain
 
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import frozen, text_slices
+from .common import frozen, kept, text_slices, worker_batches
 from .pretokens import PretokenTable
 
 CAPACITY = 2048
@@ -107,21 +106,15 @@ def tokenizer(path: str):
     return ids
 
 
-@lru_cache(maxsize=1)
-def _worker_tokenizer(path: str):
-    """One per Python worker, which runs many tasks: its memo goes on."""
-    return tokenizer(path)
-
-
 def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int, end_id: int) -> DataFrame:
     """``id, piece, start, length, ids_crc32``: each document's ids, then the
     end id, cut from the end into pieces of ``capacity`` (the first is shorter)."""
     names = ["id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches):
-        ids_of = _worker_tokenizer(path)
+        ids_of = kept(tokenizer, path)  # its memo goes on
         end = np.array([end_id], np.uint32)
-        for batch in batches:
+        for batch in worker_batches(batches, keeps=True):
             for keys, texts in text_slices(batch.column(0), batch.column(1)):
                 rows: list[tuple] = []
                 for key, ids in zip(keys, ids_of(texts)):

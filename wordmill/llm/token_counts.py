@@ -11,15 +11,13 @@ the tokenizer, each distinct one once per memo (bounded, keyed by the bytes).
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import kept, map_texts
 from .pretokens import PretokenTable
 
 OVER_LIMIT = 4096
@@ -69,12 +67,6 @@ def counter(model_path: str, whole: tuple[bytes, ...] | None = None):
     return PretokenTable(encode, _may_split, strip=True, known=whole).counts
 
 
-@lru_cache(maxsize=1)
-def _worker_counter(model_path: str, whole: tuple[bytes, ...]):
-    """One per Python worker, which runs many tasks: its memo goes on."""
-    return counter(model_path, whole)
-
-
 def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
                  limit: int = OVER_LIMIT) -> DataFrame:
     """One row per input row: ``id, n_bytes, n_tokens, over_limit``.
@@ -88,7 +80,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     whole = tuple(prove(model_path))
 
     def start():
-        count = _worker_counter(model_path, whole)
+        count = kept(counter, model_path, whole)  # its memo goes on
 
         def work(ids, texts):
             coded = [t.encode() for t in texts]
@@ -96,6 +88,6 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
                     "n_bytes": pa.array(list(map(len, coded)), pa.int64()),
                     "n_tokens": pa.array(count(coded), pa.int64())}
         return work
-    rows = map_texts(docs, id_col, text_col, "id long, n_bytes long, n_tokens long", start)
+    rows = map_texts(docs, id_col, text_col, "id long, n_bytes long, n_tokens long", start, keeps=True)
     return rows.select(F.col("id").alias(id_col), "n_bytes", "n_tokens",
                        (F.col("n_tokens") > limit).alias("over_limit"))
